@@ -1,3 +1,3 @@
 """Imports every query module so that all keys are registered."""
 
-from geotrace.plans import q_features  # noqa: F401
+from geotrace.plans import q_features, q_outliers, q_quality  # noqa: F401
