@@ -224,3 +224,20 @@ def features_sql(names: list[str], where: str = "TRUE", rounded: bool = True, ex
         cols.append(f"{round_sql(e, FEATURE_KIND[k]) if rounded else e} AS {k}")
     sel = ", ".join(["trajectory_id", *cols]) + (f", {extra}" if extra else "")
     return with_derived(*feature_ctes()) + f"\nSELECT {sel} FROM fx_ WHERE {where}"
+
+
+# --- shared blocks for train-side queries ------------------------------------------------
+
+CLEAN_TRAIN = """
+ctr AS (SELECT * FROM trj WHERE split = 'train' AND n_path >= 2 AND dest_lat IS NOT NULL AND dest_lon IS NOT NULL
+        AND trajectory_id <> '128_20090222093321')"""
+
+
+def feature_table_cte(name: str, where: str, names: list[str], rounded: bool) -> str:
+    """CTE ``name`` with trajectory_id, dest, ingest_seq and the (optionally rounded) features."""
+    cols = []
+    for k in names:
+        e = feature_expr(k)
+        cols.append(f"{round_sql(e, FEATURE_KIND[k]) if rounded else e} AS {k}")
+    return (f"{name} AS (SELECT trajectory_id, dest_lat, dest_lon, ingest_seq, {', '.join(cols)} "
+            f"FROM fx_ WHERE {where})")
