@@ -115,8 +115,8 @@ def _row_values(traj: DataFrame, keep: list[str]) -> DataFrame:
         geo.haversine(e_lat, e_lon, F.col("dest_lat"), F.col("dest_lon")).alias("remaining"),
         F.atan2(e_lon - s_lon, e_lat - s_lat).alias("planar_se"),
     )
-    kp = F.struct(*[F.col(c) for c in keep]) if keep else F.lit(None)
-    return traj.select("trajectory_id", "path_lat", "path_lon", rl.alias("rl"), kp.alias("kp"))
+    kp = [F.struct(*[F.col(c) for c in keep]).alias("kp")] if keep else []
+    return traj.select("trajectory_id", "path_lat", "path_lon", rl.alias("rl"), *kp)
 
 
 def trajectory_aggregates(traj: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -124,14 +124,18 @@ def trajectory_aggregates(traj: DataFrame, keep: list[str] | None = None) -> Dat
     if "dest_lat" not in traj.columns:
         traj = traj.withColumn("dest_lat", F.lit(None).cast("double")).withColumn(
             "dest_lon", F.lit(None).cast("double"))
-    pts = with_segments(explode_points(_row_values(traj, keep or []), keep=["rl", "kp"]))
+    carried = ["rl", "kp"] if keep else ["rl"]
+    pts = with_segments(explode_points(_row_values(traj, keep or []), keep=carried))
     n = F.col("rl.n")
     t = F.col("pos") - (n - 1) / 2.0          # centred index: sum t = sum t^3 = 0
     ylat = F.col("lat") - F.col("rl.s_lat")  # centred values keep the digits of the fit
     ylon = F.col("lon") - F.col("rl.s_lon")
     dd = F.abs(F.col("brg") - F.col("rl.planar_se"))
-    return pts.groupBy("trajectory_id").agg(
-        F.any_value("rl").alias("rl"), F.any_value("kp").alias("kp"),
+    # The row values depend on the id alone, so they are grouping keys rather than
+    # any_value() buffers: struct buffers would force a sort-based aggregate, while
+    # extra keys keep the hash aggregate and add no exchange (the data stay clustered
+    # by trajectory_id).
+    return pts.groupBy("trajectory_id", *carried).agg(
         F.avg("lat").alias("mean_lat"), F.avg("lon").alias("mean_lon"),
         F.stddev_pop("lat").alias("std_lat"), F.stddev_pop("lon").alias("std_lon"),
         F.percentile("lat", 0.5).alias("median_lat"), F.percentile("lon", 0.5).alias("median_lon"),
