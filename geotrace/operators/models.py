@@ -8,7 +8,7 @@ closed form, the size-dependent tree count) are resolved at fit time.
 Tree ensembles map to ``RandomForestRegressor`` / ``GBTRegressor``; library-specific
 boosters (gradient-boosting flavours, CatBoost, LightGBM) become GBT settings that
 match depth, rate, subsampling and bins as closely as Spark allows, not bit-equal.
-Not built (README): RBF SVR, MLP regressor, Bayesian ridge, AdaBoost.R2.
+Bayesian ridge and AdaBoost.R2 live in ``iterative.py``. Not built (README): RBF SVR, MLP regressor.
 """
 
 from __future__ import annotations
@@ -66,6 +66,8 @@ def model_params(name: str, n_samples: int | None = None) -> dict:
         "LinearRegression": dict(),
         "BaggedGB": dict(n_bags=5, maxIter=100, stepSize=0.1, maxDepth=3),
         "KNN": dict(k=5),
+        "BayesianRidge": dict(max_iter=300, tol=1e-3),
+        "AdaBoost": dict(n_estimators=n, learning_rate=1.0),
     }
     if name not in table:
         raise KeyError(f"model {name!r} is not available on Spark")
@@ -186,6 +188,10 @@ def builder(name: str, n_samples: int | None = None, overrides: dict | None = No
     if name == "KNN":
         from geotrace.operators.knn import knn_builder
         return knn_builder(params.get("k", 5))
+    if name in ("BayesianRidge", "AdaBoost"):
+        from geotrace.operators import iterative
+        cls = iterative.BayesianRidge if name == "BayesianRidge" else iterative.AdaBoostR2
+        return lambda train, label: cls(labelCol=label, **params)
     return _gbt(params)
 
 

@@ -222,3 +222,15 @@ def prediction_comparison_q(spark, sf_dir):
     kinds = {"last_lat": "coord", "last_lon": "coord", "latitude_pred": "coord", "longitude_pred": "coord",
              "distance_km": "km", "mid_lat": "coord", "mid_lon": "coord"}
     return c.select("trajectory_id", "split", *[rnd(k, v).alias(k) for k, v in kinds.items()])
+
+
+# --- X5: prediction statistics of the baseline submission -----------------------------------
+
+@register("prediction_stats", oracle.with_derived(oracle.CLEAN_TRAIN, _CLEAN_TEST) + f"""
+SELECT count(*) AS count, {round_sql('min(m.a)', 'coord')} AS min_lat, {round_sql('max(m.a)', 'coord')} AS max_lat,
+  {round_sql('min(m.o)', 'coord')} AS min_lon, {round_sql('max(m.o)', 'coord')} AS max_lon
+FROM cte_ t, (SELECT avg(dest_lat) AS a, avg(dest_lon) AS o FROM ctr) m""")
+def prediction_stats_q(spark, sf_dir):
+    from geotrace.operators.submission import prediction_stats
+    stats, _ = prediction_stats(baseline(spark, sf_dir))
+    return stats.select("count", *[rnd(c, "coord").alias(c) for c in ("min_lat", "max_lat", "min_lon", "max_lon")])

@@ -124,3 +124,18 @@ def quick_experiment(spark, sf_dir):
     ranking, _ = V.validate_models(d, models, targets=prep.target_cols, k=CV_FOLDS, y_unit="meters",
                                    parallelism=3)
     return ranking
+
+
+register("bayesian_ridge")(_predict_query(lambda: _named("BayesianRidge").build))
+register("adaboost")(_predict_query(lambda: NamedModel("AdaBoost", builder("AdaBoost", None,
+                                                                           dict(n_estimators=10))).build))
+
+
+@register("pipeline_small")
+def pipeline_small(spark, sf_dir):
+    """X8 end to end on the derived tables, with query-size settings (3 folds, 2 quick models)."""
+    from geotrace.plans.pipeline import PipelineConfig, run
+    from geotrace.sources.fixtures import gps_trajectories
+    cfg = PipelineConfig(cluster_k=3, cluster_n_init=2, models=["Ridge", "GradientBoosting"],
+                         model_params={"GradientBoosting": dict(maxIter=10)}, cv_folds=3)
+    return run(gps_trajectories(spark, sf_dir), cfg).submission

@@ -156,3 +156,21 @@ def outlier_report(spark, sf_dir):
     m = O.combine(_masks(spark, sf_dir), "any")
     r = O.report(m)
     return r.select("type", "count", rnd("percentage", "unit").alias("percentage"))
+
+
+@register("outlier_isolation")
+def outlier_isolation(spark, sf_dir):
+    """O6 on the features of the cleaned training split (rows only: the forest is random)."""
+    from geotrace.operators.isolation import add_isolation_mask
+    f = extract_features(clean_train(spark, sf_dir))
+    return add_isolation_mask(f, FEATURE_NAMES, CFG.contamination).select(
+        "trajectory_id", "anomaly_score", "is_features_isolation")
+
+
+@register("augment")
+def augment_q(spark, sf_dir):
+    """A1-A4 on the cleaned training split (p = 0.5, seed 42): id, method, point count."""
+    from geotrace.operators.augment import augment
+    a = augment(clean_train(spark, sf_dir), p=0.5, seed=42)
+    return a.select("trajectory_id", "method", F.size("path_lat").cast("long").alias("num_points"),
+                    F.element_at("path_lat", 1).alias("start_lat"), F.element_at("path_lat", -1).alias("end_lat"))

@@ -102,3 +102,21 @@ def local_xy_roundtrip(spark, sf_dir):
     la, lo = geo.from_local_xy("lat0", "lon0", "dx", "dy")
     return t.select("trajectory_id", rnd("dx", "m").alias("dx"), rnd("dy", "m").alias("dy"),
                     rnd(la, "coord").alias("lat_back"), rnd(lo, "coord").alias("lon_back"))
+
+
+# --- the shared segments table (points with their predecessor) ------------------------------
+
+_SEG_SQL = oracle.with_derived("""
+sl_ AS (SELECT trajectory_id, pos, lat, lon, lag(lat) OVER w AS plat, lag(lon) OVER w AS plon
+        FROM pts WINDOW w AS (PARTITION BY trajectory_id ORDER BY pos))""") + f"""
+SELECT trajectory_id, pos, {round_sql(oracle.hav('plat', 'plon', 'lat', 'lon'), 'm')} AS seg_m,
+  {round_sql(oracle.brg('plat', 'plon', 'lat', 'lon'), 'unit')} AS bearing
+FROM sl_ WHERE pos >= 1"""
+
+
+@register("segments", _SEG_SQL)
+def segments(spark, sf_dir):
+    from geotrace.operators.points import segments_table
+    s = segments_table(gps_trajectories(spark, sf_dir))
+    return s.select("trajectory_id", F.col("pos").cast("long").alias("pos"), rnd("seg_m", "m").alias("seg_m"),
+                    rnd("bearing", "unit").alias("bearing"))
