@@ -49,6 +49,19 @@ def balanced_folds(df: DataFrame, k: int = 10, order: str = "ingest_seq", seed:
     return r.withColumn(name, F.pmod(F.col("_r"), F.lit(k)).cast("int")).drop("_h", "_r")
 
 
+def balanced_group_folds(df: DataFrame, k: int = 10, group: str = "trajectory_id", seed: int = 42,
+                         name: str = "fold") -> DataFrame:
+    """E2, size-balanced: groups ordered by size (desc, then hash) take folds round-robin.
+
+    The group-size table has one row per group; its order is an exact distributed rank,
+    and the fold of each group is joined back on the group key.
+    """
+    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_gs")).withColumn("_h", hash32(group, seed))
+    ranked = global_rank(sizes, [F.col("_gs").desc(), F.col("_h"), F.col(group)], "_r")
+    folds = ranked.select(group, F.pmod(F.col("_r"), F.lit(k)).cast("int").alias(name))
+    return df.join(folds, group)
+
+
 def fold_integrity(df: DataFrame, group: str = "trajectory_id", fold: str = "fold") -> DataFrame:
     """Per fold: rows, groups, and groups that also appear in another fold (must be 0)."""
     per_group = df.groupBy(group).agg(F.count_distinct(fold).alias("_nf"), F.min(fold).alias("_f"))

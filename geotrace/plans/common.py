@@ -22,3 +22,11 @@ def split_features(spark, sf_dir: str, split: str, rounded: bool = False) -> Dat
 
 
 FEATURES = FEATURE_NAMES
+
+
+def materialized_features(spark, sf_dir: str, split: str, rounded: bool = False) -> DataFrame:
+    """:func:`split_features` checkpointed once: queries that take several statistics of the
+    same table (quantiles, distinct counts, correlations) then read it instead of re-deriving it."""
+    from geotrace.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    return split_features(spark, sf_dir, split, rounded).checkpoint()

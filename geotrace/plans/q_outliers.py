@@ -8,6 +8,7 @@ from geotrace.operators import outliers as O
 from geotrace.operators import quality
 from geotrace.operators.features import FEATURE_NAMES, extract_features
 from geotrace.plans import oracle
+from geotrace.plans.common import materialized_features
 from geotrace.plans.registry import register
 from geotrace.plans.rounding import rnd
 from geotrace.sources.fixtures import gps_trajectories
@@ -98,7 +99,7 @@ FROM (SELECT f.trajectory_id, {hits} AS iqr_hits FROM ff_ f, fq_ q)"""
 
 @register("outlier_iqr", _iqr_sql())
 def outlier_iqr(spark, sf_dir):
-    f = extract_features(clean_train(spark, sf_dir))
+    f = materialized_features(spark, sf_dir, "train")
     m = O.add_iqr_mask(f, FEATURE_NAMES, CFG)
     return m.select("trajectory_id", F.col("iqr_hits").cast("long").alias("iqr_hits"), "is_features_iqr")
 
@@ -162,7 +163,7 @@ def outlier_report(spark, sf_dir):
 def outlier_isolation(spark, sf_dir):
     """O6 on the features of the cleaned training split (rows only: the forest is random)."""
     from geotrace.operators.isolation import add_isolation_mask
-    f = extract_features(clean_train(spark, sf_dir))
+    f = materialized_features(spark, sf_dir, "train")
     return add_isolation_mask(f, FEATURE_NAMES, CFG.contamination).select(
         "trajectory_id", "anomaly_score", "is_features_isolation")
 

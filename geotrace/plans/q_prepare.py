@@ -12,7 +12,7 @@ from geotrace.operators import prepare as P
 from geotrace.operators.features import FEATURE_NAMES
 from geotrace.operators.validation import fold_integrity, group_folds
 from geotrace.plans import oracle
-from geotrace.plans.common import split_features
+from geotrace.plans.common import materialized_features
 from geotrace.plans.registry import register
 from geotrace.plans.rounding import rnd, round_sql
 
@@ -41,7 +41,7 @@ FROM ({body})""")
 
 @register("low_variance", _low_var_sql())
 def low_variance(spark, sf_dir):
-    t = split_features(spark, sf_dir, "train", rounded=True)
+    t = materialized_features(spark, sf_dir, "train", rounded=True)
     s = P.low_variance_stats(t, FEATURE_NAMES, exact=True)
     return s.select("feature", "n_unique", F.round("std", 9).alias("std"), "dropped")
 
@@ -60,7 +60,7 @@ _DX, _DY = _xy_sql_expr()
   CASE WHEN dest_lat IS NULL OR dest_lon IS NULL THEN 0.0 ELSE {round_sql(_DX, 'm')} END AS dx,
   CASE WHEN dest_lat IS NULL OR dest_lon IS NULL THEN 0.0 ELSE {round_sql(_DY, 'm')} END AS dy FROM tf_"""))
 def local_target(spark, sf_dir):
-    t = P.local_target(split_features(spark, sf_dir, "train", rounded=True))
+    t = P.local_target(materialized_features(spark, sf_dir, "train", rounded=True))
     return t.select("trajectory_id", rnd("dx", "m").alias("dx"), rnd("dy", "m").alias("dy"))
 
 
@@ -86,7 +86,7 @@ def _standard_sql() -> str:
 
 def _scaled(kind):
     def build(spark, sf_dir):
-        t = split_features(spark, sf_dir, "train", rounded=True)
+        t = materialized_features(spark, sf_dir, "train", rounded=True)
         sc = P.fit_scaler(t, SCALE_COLS, kind, exact=True)
         return sc.transform(t).select("trajectory_id", *[F.round(c, 6).alias(c) for c in SCALE_COLS])
     return build
@@ -114,7 +114,7 @@ SELECT_COLS = SCALE_COLS
 
 @register("select_k_best", _kbest_sql())
 def select_k_best(spark, sf_dir):
-    t = P.local_target(split_features(spark, sf_dir, "train", rounded=True))
+    t = P.local_target(materialized_features(spark, sf_dir, "train", rounded=True))
     s = P.f_scores(t, SELECT_COLS, "dx")
     return s.select("feature", F.round("f_score", 6).alias("f_score"), "rank")
 

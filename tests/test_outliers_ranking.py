@@ -67,3 +67,13 @@ def test_balanced_folds_sizes(spark):
     df = spark.range(103).withColumnRenamed("id", "ingest_seq")
     sizes = [r[1] for r in balanced_folds(df, 10).groupBy("fold").count().collect()]
     assert max(sizes) - min(sizes) <= 1 and sum(sizes) == 103
+
+
+def test_balanced_group_folds(spark):
+    from geotrace.operators.validation import balanced_group_folds
+    df = spark.range(1000).select(F.concat(F.lit("g"), (F.col("id") % 37).cast("string")).alias("trajectory_id"))
+    f = balanced_group_folds(df, 5)
+    integ = fold_integrity(f).collect()
+    assert all(r["straddling_groups"] == 0 for r in integ)
+    sizes = sorted(r["rows"] for r in integ)
+    assert sum(sizes) == 1000 and sizes[-1] - sizes[0] <= 2 * 28
