@@ -8,7 +8,8 @@ closed form, the size-dependent tree count) are resolved at fit time.
 Tree ensembles map to ``RandomForestRegressor`` / ``GBTRegressor``; library-specific
 boosters (gradient-boosting flavours, CatBoost, LightGBM) become GBT settings that
 match depth, rate, subsampling and bins as closely as Spark allows, not bit-equal.
-Bayesian ridge and AdaBoost.R2 live in ``iterative.py``. Not built (README): RBF SVR, MLP regressor.
+Bayesian ridge and AdaBoost.R2 live in ``iterative.py``, the MLP in ``mlp.py``. Not built (README):
+RBF SVR.
 """
 
 from __future__ import annotations
@@ -68,6 +69,7 @@ def model_params(name: str, n_samples: int | None = None) -> dict:
         "KNN": dict(k=5),
         "BayesianRidge": dict(max_iter=300, tol=1e-3),
         "AdaBoost": dict(n_estimators=n, learning_rate=1.0),
+        "MLP": dict(hidden=(100, 50), learning_rate=1e-3, alpha=1e-4, max_iter=200),
     }
     if name not in table:
         raise KeyError(f"model {name!r} is not available on Spark")
@@ -188,6 +190,9 @@ def builder(name: str, n_samples: int | None = None, overrides: dict | None = No
     if name == "KNN":
         from geotrace.operators.knn import knn_builder
         return knn_builder(params.get("k", 5))
+    if name == "MLP":
+        from geotrace.operators.mlp import MLPRegressor
+        return lambda train, label: MLPRegressor(labelCol=label, **params)
     if name in ("BayesianRidge", "AdaBoost"):
         from geotrace.operators import iterative
         cls = iterative.BayesianRidge if name == "BayesianRidge" else iterative.AdaBoostR2

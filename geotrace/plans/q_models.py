@@ -139,3 +139,10 @@ def pipeline_small(spark, sf_dir):
     cfg = PipelineConfig(cluster_k=3, cluster_n_init=2, models=["Ridge", "GradientBoosting"],
                          model_params={"GradientBoosting": dict(maxIter=10)}, cv_folds=3)
     return run(gps_trajectories(spark, sf_dir), cfg).submission
+
+
+@register("mlp")
+def mlp(spark, sf_dir):
+    """R13 with query-size settings (30 full-batch Adam steps)."""
+    return _predict_query(lambda: NamedModel("MLP", builder("MLP", None, dict(max_iter=30, learning_rate=0.01))
+                                             ).build)(spark, sf_dir)

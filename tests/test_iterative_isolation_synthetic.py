@@ -71,3 +71,12 @@ def test_synthetic_sample_rules(spark):
     again = create_sample_data(spark, 50, 10, seed=42, num_partitions=3).collect()
     assert sorted(map(tuple, again)) == sorted(map(tuple, rows))
     assert pytest is not None
+
+
+def test_mlp_learns_linear_signal(spark):
+    from geotrace.operators.mlp import MLPRegressor
+    df = _toy(spark, 200)
+    m = MLPRegressor(labelCol="y", hidden=(16, 8), learning_rate=0.01, max_iter=60).fit(df)
+    p = m.transform(df).select("y", "prediction").toPandas()
+    assert p["prediction"].notna().all()
+    assert ((p["y"] - p["prediction"]) ** 2).mean() < 0.5 * p["y"].var()
