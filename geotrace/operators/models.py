@@ -327,3 +327,16 @@ def mean_baseline(train: DataFrame, test: DataFrame) -> DataFrame:
     """Every test id gets the mean training destination (a 1-row aggregate as scalar subquery)."""
     m = train.agg(F.struct(F.avg("dest_lat").alias("a"), F.avg("dest_lon").alias("o"))).scalar()
     return test.select("trajectory_id", m["a"].alias("latitude_pred"), m["o"].alias("longitude_pred"))
+
+
+def score(model: MultiTargetModel, df: DataFrame) -> float:
+    """Mean R^2 over the targets (the base-model ``score``), one aggregate pass."""
+    p = model.transform(df)
+    aggs = []
+    for t in model.targets:
+        sse = F.sum(F.pow(F.col(t) - F.col(f"pred_{t}"), 2))
+        sst = F.var_pop(t) * F.count(F.lit(1))
+        aggs.append(F.lit(1.0) - sse / F.nullif(sst, F.lit(0.0)))
+    row = p.agg(*aggs).first()
+    vals = [v for v in row if v is not None]
+    return float(sum(vals) / len(vals)) if vals else float("nan")

@@ -91,8 +91,7 @@ def dedup_first(df: DataFrame, keys: tuple[str, ...] = ("split", "trajectory_id"
                 order: str = "ingest_seq") -> DataFrame:
     """One row per key, the one with the smallest ``order`` (first occurrence).
 
-    NULL ids are kept as they are (pandas keeps one NULL id row per split; here rows
-    with a NULL id are kept like distinct ids would be, except exact-order duplicates).
+    NULL ids form one group per split, so the first NULL-id row is kept, as pandas does.
     """
     cols = df.columns
     row = F.struct(*[F.col(c) for c in cols])
@@ -141,3 +140,14 @@ def clean(df: DataFrame, cfg: CleanConfig | None = None) -> DataFrame:
     if cfg.drop_missing_target:                                                    # C7
         keep = keep & (~train | (F.col("dest_lat").isNotNull() & F.col("dest_lon").isNotNull()))
     return out.where(keep)
+
+
+def sample_id_check(sub: DataFrame, sample: DataFrame | None) -> DataFrame | None:
+    """Ids of the optional sample submission that the submission lacks, and the reverse
+    (two left-anti joins, tagged by ``side``); None when there is no sample file."""
+    if sample is None:
+        return None
+    a = sample.select("trajectory_id").distinct()
+    b = sub.select("trajectory_id").distinct()
+    return (a.join(b, "trajectory_id", "left_anti").withColumn("side", F.lit("missing_in_submission"))
+            .unionByName(b.join(a, "trajectory_id", "left_anti").withColumn("side", F.lit("not_in_sample"))))

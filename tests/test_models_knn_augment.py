@@ -104,3 +104,16 @@ def test_augment_keeps_rows_and_ends(traj_df):
             assert len(r["path_lat"]) == 8
     again = {r["trajectory_id"]: r["path_lat"] for r in A.augment(df.repartition(3), p=1.0, seed=7).collect()}
     assert again == {k: v["path_lat"] for k, v in got.items()}
+
+
+def test_score_and_sample_check(spark):
+    from geotrace.operators.models import score
+    from geotrace.operators.quality import sample_id_check
+    df = _linear_toy(spark)
+    m = MultiTargetRegressor(builder("LinearRegression"), ("dx", "dy")).fit(df)
+    assert score(m, df) > 0.99
+    sub = spark.createDataFrame([("a",), ("b",)], "trajectory_id string")
+    sample = spark.createDataFrame([("b",), ("c",)], "trajectory_id string")
+    got = {(r["trajectory_id"], r["side"]) for r in sample_id_check(sub, sample).collect()}
+    assert got == {("c", "missing_in_submission"), ("a", "not_in_sample")}
+    assert sample_id_check(sub, None) is None
