@@ -7,8 +7,7 @@ several seeds and the lowest training cost kept; k is chosen by silhouette with
 ``ClusteringEvaluator`` (squared Euclidean, O(n k), instead of the O(n^2) plain
 Euclidean score of the reference, so the chosen k may differ).
 
-DBSCAN (K5) is not built: its neighbour search emits all pairs inside dense cells,
-which is quadratic on a hot cell (see README).
+DBSCAN (K5) is ``method="dbscan"``: an exact blocked grid search (operators/dbscan.py).
 """
 
 from __future__ import annotations
@@ -96,13 +95,21 @@ def choose_k(vec: DataFrame, seed: int = 42, max_k: int = 10, n_init: int = 10,
 
 
 def fit_predict(traj: DataFrame, k: int | None = None, seed: int = 42, n_init: int = 10,
-                max_k: int = 10) -> DataFrame:
-    """Cluster labels per trajectory: ``trajectory_id, cluster`` (K1-K4).
+                max_k: int = 10, method: str = "kmeans", eps: float = 0.5, min_samples: int = 5) -> DataFrame:
+    """Cluster labels per trajectory: ``trajectory_id, cluster`` (K1-K5).
 
     Trajectories without cluster features (< 2 points) get no label (D21).
     """
-    cf = cluster_features(traj)
+    cf = cluster_features(traj, keep=["ingest_seq"] if "ingest_seq" in traj.columns else None)
     z = standardize(cf, CLUSTER_FEATURES, "_z")
+    if method == "dbscan":
+        from geotrace.operators.dbscan import dbscan
+        v = z.select("trajectory_id", F.array(*[F.col(c + "_z") for c in CLUSTER_FEATURES]).alias("vec"),
+                     *(["ingest_seq"] if "ingest_seq" in z.columns else []))
+        return dbscan(v, "vec", "trajectory_id", "ingest_seq" if "ingest_seq" in v.columns else None,
+                      eps, min_samples)
+    if method != "kmeans":
+        raise ValueError(f"unknown clustering method {method!r}")
     vec = assemble(z, [c + "_z" for c in CLUSTER_FEATURES]).select("trajectory_id", "features").cache()
     if k is None:
         k, _ = choose_k(vec, seed, max_k, n_init)

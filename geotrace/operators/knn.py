@@ -48,7 +48,8 @@ def knn_candidates(query: DataFrame, ref: DataFrame, k: int, q_id: str = "qid",
 
     def top_k(qp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
         if qp.empty or rp.empty:
-            return pd.DataFrame({c: [] for c in ["qid", "rid", "d2", *labels]})
+            return pd.DataFrame({"qid": pd.Series([], dtype=object), "rid": pd.Series([], dtype=object),
+                                 **{c: pd.Series([], dtype="float64") for c in ["d2", *labels]}})
         rp = rp.sort_values("rid", kind="stable")
         rv = np.stack(rp["vec"].to_numpy()).astype(float)
         rids = rp["rid"].to_numpy()

@@ -81,3 +81,9 @@ def cluster_largest(spark, sf_dir):
 def cluster_map(spark, sf_dir):
     train = clean_split(spark, sf_dir, "train")
     return K.cluster_map_data(train, _labels(spark, sf_dir))
+
+
+@register("cluster_dbscan")
+def cluster_dbscan(spark, sf_dir):
+    """K5 on the standardised cluster features (eps 0.5, min_samples 5); -1 = noise."""
+    return K.fit_predict(clean_split(spark, sf_dir, "train"), method="dbscan")
