@@ -44,7 +44,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _steps(events: DataFrame) -> DataFrame:
+def _steps(events: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
     e = events.select("event_id", "ts", "user_id")
     bucket = F.floor(F.datediff(F.to_date("ts"), F.lit(EPOCH).cast("date")) / F.lit(BUCKET_DAYS)).cast("long")
     uid = F.col("user_id")
@@ -60,13 +60,16 @@ def _steps(events: DataFrame) -> DataFrame:
                     "user_id", "bucket", "event_id", "ts",
                     lat0.cast("long").alias("lat0"), lon0.cast("long").alias("lon0"),
                     step_lat.cast("long").alias("step_lat"), step_lon.cast("long").alias("step_lon"),
-                    F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(CHUNK_SECONDS * 1_000_000))
+                    F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(chunk_seconds * 1_000_000))
                     .alias("chunk")))
 
 
-def raw_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event as a numbered position: ``trajectory_id, user_id, bucket, pos1 (1-based), n, lat, lon``."""
-    s = _steps(read_table(spark, sf_dir, "events"))
+def raw_positions(spark: SparkSession, sf_dir: str, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
+    """Every event as a numbered position: ``trajectory_id, user_id, bucket, pos1 (1-based), n, lat, lon``.
+
+    ``chunk_seconds`` only changes how the work is split, never the result.
+    """
+    s = _steps(read_table(spark, sf_dir, "events"), chunk_seconds)
     chunk_stats = (s.groupBy("trajectory_id", "chunk")
                    .agg(F.count(F.lit(1)).alias("c_n"), F.sum("step_lat").alias("c_lat"),
                         F.sum("step_lon").alias("c_lon")))
@@ -100,13 +103,13 @@ def gps_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         "trajectory_id", (F.col("pos1") - 1).alias("pos"), "lat", "lon")
 
 
-def gps_trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gps_trajectories(spark: SparkSession, sf_dir: str, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
     """One row per trajectory, the reference's input model.
 
     ``trajectory_id, split, path_lat, path_lon, dest_lat, dest_lon, ingest_seq``; paths
     with no point are ``[]``; the last bucket is the test split (dest NULL).
     """
-    p = raw_positions(spark, sf_dir)
+    p = raw_positions(spark, sf_dir, chunk_seconds)
     in_path = F.col("pos1") <= F.col("n") - 2
     is_dest = F.col("pos1") == F.col("n")
     pt = F.struct(F.col("pos1"), F.col("lat"), F.col("lon"))
