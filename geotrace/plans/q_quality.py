@@ -30,9 +30,9 @@ def parse_paths(spark, sf_dir):
 
 _NULLS_SQL = oracle.with_derived() + """
 SELECT split, count(*) AS rows,
-  sum(CAST(trajectory_id IS NULL AS BIGINT) + CAST(path_lat IS NULL AS BIGINT) + CAST(path_lon IS NULL AS BIGINT)
+  CAST(sum(CAST(trajectory_id IS NULL AS BIGINT) + CAST(path_lat IS NULL AS BIGINT) + CAST(path_lon IS NULL AS BIGINT)
       + CAST(dest_lat IS NULL AS BIGINT) + CAST(dest_lon IS NULL AS BIGINT) + CAST(ingest_seq IS NULL AS BIGINT))
-    AS null_cells,
+    AS BIGINT) AS null_cells,
   count(*) FILTER (WHERE len(path_lat) = 0) AS empty_paths
 FROM (SELECT trajectory_id, split, path_lat, path_lon, dest_lat, dest_lon, ingest_seq FROM trj_arr)
 GROUP BY split"""

@@ -55,8 +55,9 @@ def parse_trajectories(df: DataFrame) -> DataFrame:
 def read_trajectory_csv(spark: SparkSession, path: str, split: str) -> DataFrame:
     """Read a train or test CSV with header (S1). Test files have no ``dest_*`` columns.
 
-    ``ingest_seq`` records source order (file, block, position in block) so that
-    "first occurrence" rules (C2) have a deterministic meaning.
+    ``ingest_seq`` is ``monotonically_increasing_id()`` of the scan: increasing in file
+    order inside each file split, which gives "first occurrence" rules (C2) a
+    deterministic meaning for a given input layout.
     """
     header = spark.read.option("header", True).csv(path).columns
     fields = [f for f in RAW_SCHEMA.fields if f.name in header]
