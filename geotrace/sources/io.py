@@ -128,3 +128,15 @@ def latest_submission(spark: SparkSession, pattern: str) -> DataFrame:
     df = df.withColumn("_sub", F.when(F.col("_sub") == "", F.col("_file")).otherwise(F.col("_sub")))
     newest = df.groupBy("_sub").agg(F.max("_mtime").alias("m")).select(F.max_by("_sub", "m")).scalar()
     return df.where(F.col("_sub") == newest).select(*SUBMISSION_COLUMNS)
+
+
+def save_trajectory_table(df: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
+    """Store parsed trajectories bucketed and sorted by ``trajectory_id``.
+
+    Every per-trajectory step (the feature aggregate, dedup by id, joins on id) then reads
+    the data already clustered by its key, so those plans need no exchange.
+    """
+    w = df.write.mode("overwrite").format("parquet").bucketBy(buckets, "trajectory_id").sortBy("trajectory_id")
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table)

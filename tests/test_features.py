@@ -78,3 +78,14 @@ def test_keep_columns_ride_along(traj_df):
     assert f.columns == ["trajectory_id", "num_points", "dest_lat", "ingest_seq"]
     got = {r["trajectory_id"]: r for r in f.collect()}
     assert got["p4"]["dest_lat"] is None and got["p5"]["ingest_seq"] == 5
+
+
+def test_bucketed_table_needs_no_exchange(spark, tmp_path):
+    from geotrace.sources.io import save_trajectory_table
+    t = gps_trajectories(spark, SF001)
+    save_trajectory_table(t, "traj_bucketed_test", 4, str(tmp_path / "tb"))
+    f = extract_features(spark.table("traj_bucketed_test"))
+    plan = f._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert f.count() == 75
+    spark.sql("DROP TABLE traj_bucketed_test")
