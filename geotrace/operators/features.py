@@ -131,7 +131,7 @@ def _row_values(traj: DataFrame, keep: list[str]) -> DataFrame:
         "planar_se": F.atan2(e_lon - s_lon, e_lat - s_lat),
     }
     kp = [F.struct(*[F.col(c) for c in keep]).alias("kp")] if keep else []
-    med = [_quantile(F.array_sort(F.col(a)), F.size(a), 0.5).alias(_qname(nm, 0.5))
+    med = [_quantile(F.sort_array(F.col(a)), F.size(a), 0.5).alias(_qname(nm, 0.5))
            for nm, a in (("lat", "path_lat"), ("lon", "path_lon"))]
     return traj.select("trajectory_id", "path_lat", "path_lon", *kp, *[v.alias(f"rl_{k}") for k, v in rl.items()],
                        *med)
@@ -180,8 +180,8 @@ def trajectory_aggregates(traj: DataFrame, keep: list[str] | None = None) -> Dat
         F.avg(geo.smallest_angle(dd, 2 * math.pi)).alias("dc"),
         F.sum(ylat).alias("sy_lat"), F.sum(t * ylat).alias("sty_lat"), F.sum(t * t * ylat).alias("stty_lat"),
         F.sum(ylon).alias("sy_lon"), F.sum(t * ylon).alias("sty_lon"), F.sum(t * t * ylon).alias("stty_lon"),
-        F.array_sort(F.collect_list("seg")).alias("_seg"), F.array_sort(F.collect_list("bdeg")).alias("_bdeg"),
-        F.array_sort(F.collect_list("acc")).alias("_acc"),
+        F.sort_array(F.collect_list("seg")).alias("_seg"), F.sort_array(F.collect_list("bdeg")).alias("_bdeg"),
+        F.sort_array(F.collect_list("acc")).alias("_acc"),
     )
 
     def qs(arr, pcts):
