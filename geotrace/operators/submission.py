@@ -62,7 +62,7 @@ def prediction_stats(sub: DataFrame, order: str | None = None, n_first: int = 5)
     return stats, first
 
 
-def pipeline_report(model_name: str, n_train: int, n_test: int, n_features: int, outliers_flagged: int,
+def run_report(model_name: str, n_train: int, n_test: int, n_features: int, outliers_flagged: int,
                     outliers_removed: int, best_error_km: float | None, spark) -> DataFrame:
     """One-row run report (both outlier counts, before and after the safety rule, D17)."""
     return spark.createDataFrame(

@@ -21,7 +21,7 @@ from geotrace.operators import quality as Q
 from geotrace.operators import validation as V
 from geotrace.operators.features import FEATURE_NAMES, LEAKY_FEATURES, extract_features
 from geotrace.operators.models import PRIORITY_MODELS, create_all_models
-from geotrace.operators.submission import build_submission, pipeline_report, predict_latlon
+from geotrace.operators.submission import build_submission, predict_latlon, run_report
 from geotrace.session import ensure_checkpoint_dir
 from geotrace.sources.io import write_submission
 
@@ -103,7 +103,7 @@ def run(traj: DataFrame, cfg: PipelineConfig | None = None) -> PipelineResult:
     if cfg.submit_dir:
         write_submission(sub, cfg.submit_dir, best_name)
     best = ranking.first()
-    report = pipeline_report(best_name, n_train, ftest.count(), len(prep.feature_names) + 3, flagged,
+    report = run_report(best_name, n_train, ftest.count(), len(prep.feature_names) + 3, flagged,
                              removed, float(best["mean_error"]) if best else None, spark)
     design.unpersist()
     return PipelineResult(ranking, sub, report, best_name, prep.feature_names)

@@ -131,10 +131,10 @@ register("adaboost")(_predict_query(lambda: NamedModel("AdaBoost", builder("AdaB
                                                                            dict(n_estimators=10))).build))
 
 
-@register("pipeline_small")
-def pipeline_small(spark, sf_dir):
+@register("end_to_end")
+def end_to_end(spark, sf_dir):
     """X8 end to end on the derived tables, with query-size settings (3 folds, 2 quick models)."""
-    from geotrace.plans.pipeline import PipelineConfig, run
+    from geotrace.plans.end_to_end import PipelineConfig, run
     from geotrace.sources.fixtures import gps_trajectories
     cfg = PipelineConfig(cluster_k=3, cluster_n_init=2, models=["Ridge", "GradientBoosting"],
                          model_params={"GradientBoosting": dict(maxIter=10)}, cv_folds=3)
