@@ -182,14 +182,21 @@ def rank_models(fold_rows: DataFrame) -> DataFrame:
             .orderBy("mean_error", "model_name"))
 
 
-def validate_models(design: DataFrame, models: list[NamedModel], **kw) -> tuple[DataFrame, list[CVResult]]:
-    """CV every model, isolating failures; returns (ranking, results)."""
-    results = []
-    for m in models:
+def validate_models(design: DataFrame, models: list[NamedModel], model_parallelism: int = 2,
+                    **kw) -> tuple[DataFrame, list[CVResult]]:
+    """CV every model (several at once), isolating failures; returns (ranking, results).
+
+    Each model's folds run in parallel too (``parallelism``); Spark schedules the
+    concurrent fits like ``CrossValidator(parallelism=...)`` does.
+    """
+    def one(m: NamedModel):
         try:
-            results.append(cross_validate(design, m, **kw))
+            return cross_validate(design, m, **kw)
         except Exception:  # noqa: BLE001  a failing model is skipped, as in the reference
-            continue
+            return None
+
+    with ThreadPoolExecutor(max_workers=max(1, model_parallelism)) as ex:
+        results = [r for r in ex.map(one, models) if r is not None]
     if not results:
         raise RuntimeError("no model could be validated")
     rows = results[0].folds

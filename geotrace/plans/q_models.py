@@ -84,8 +84,8 @@ def _cv_design(spark, sf_dir):
 def cv_ranking(spark, sf_dir):
     prep, d = _cv_design(spark, sf_dir)
     models = [_named(n) for n in ("Ridge", "RandomForest", "GradientBoosting", "BaggedGB")]
-    ranking, _ = V.validate_models(d, models, targets=prep.target_cols, k=CV_FOLDS, y_unit="meters",
-                                   parallelism=3)
+    ranking, _ = V.validate_models(d, models, model_parallelism=4, targets=prep.target_cols, k=CV_FOLDS,
+                                   y_unit="meters", parallelism=3)
     return ranking
 
 
@@ -121,8 +121,8 @@ def quick_experiment(spark, sf_dir):
     prep, d = _cv_design(spark, sf_dir)
     models = [_named(n) for n in ("RandomForest", "XGBoost", "LightGBM", "GradientBoosting", "BaggedGB",
                                   "HistGradientBoosting")]
-    ranking, _ = V.validate_models(d, models, targets=prep.target_cols, k=CV_FOLDS, y_unit="meters",
-                                   parallelism=3)
+    ranking, _ = V.validate_models(d, models, model_parallelism=3, targets=prep.target_cols, k=CV_FOLDS,
+                                   y_unit="meters", parallelism=3)
     return ranking
 
 
