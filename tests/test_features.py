@@ -89,3 +89,22 @@ def test_bucketed_table_needs_no_exchange(spark, tmp_path):
     assert "Exchange" not in plan
     assert f.count() == 75
     spark.sql("DROP TABLE traj_bucketed_test")
+
+
+def test_random_paths_match_numpy(traj_df):
+    """Property check: 300 random paths, including repeated points and extreme coordinates."""
+    import numpy as np
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(300):
+        n = int(rng.integers(0, 15))
+        base = rng.choice([[39.9, 116.4], [-33.9, 151.2], [64.1, -21.9], [0.5, 179.99], [-80.0, -179.9]])
+        steps = rng.normal(0, rng.choice([1e-4, 1e-3, 0.05]), size=(n, 2))
+        steps[rng.random(n) < 0.2] = 0.0            # repeated points
+        pts = np.asarray(base) + np.cumsum(steps, axis=0)
+        lat, lon = pts[:, 0].round(6).tolist(), pts[:, 1].round(6).tolist()
+        dest = (float(base[0] + 0.1), float(base[1] - 0.1)) if i % 3 else (None, None)
+        rows.append((f"r{i:03d}", lat, lon, *dest))
+    got = {r["trajectory_id"]: r.asDict() for r in extract_features(traj_df(rows)).collect()}
+    assert len(got) == 300
+    check(rows, got)
