@@ -27,24 +27,8 @@ def _block(id_col: str, n_blocks: int, salt: str):
     return F.pmod(F.xxhash64(F.lit(salt), F.col(id_col)), F.lit(n_blocks)).cast("int")
 
 
-def knn_candidates(query: DataFrame, ref: DataFrame, k: int, q_id: str = "qid", r_id: str = "rid",
-                   vec: str = "vec", label_cols: tuple[str, ...] = ("y",),
-                   block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Best ``k`` neighbours per query: ``qid, rid, d2, rank, <labels>`` (rank 1 = nearest).
-
-    ``vec`` is an ``array<double>`` column on both sides.
-    """
-    nq, nr = query.count(), ref.count()
-    qb = max(1, math.ceil(nq / block_rows))
-    rb = max(1, math.ceil(nr / block_rows))
-    q = (query.select(F.col(q_id).alias("qid"), F.col(vec).alias("vec"))
-         .withColumn("qb", _block("qid", qb, "q"))
-         .withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(rb - 1)))))
-    r = (ref.select(F.col(r_id).alias("rid"), F.col(vec).alias("vec"), *[F.col(c) for c in label_cols])
-         .withColumn("rb", _block("rid", rb, "r"))
-         .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))))
-    labels = list(label_cols)
-    schema = "qid string, rid string, d2 double, " + ", ".join(f"{c} double" for c in labels)
+def _top_k_kernel(k: int, labels: list[str]):
+    """numpy kernel for one (query block, reference block) group: at most k rows per query."""
 
     def top_k(qp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
         if qp.empty or rp.empty:
@@ -72,16 +56,102 @@ def knn_candidates(query: DataFrame, ref: DataFrame, k: int, q_id: str = "qid",
                 part[c] = rp[c].to_numpy()[cols].astype(float)
             out.append(part)
         return pd.concat(out, ignore_index=True)
+    return top_k
+
+
+def knn_candidates(query: DataFrame, ref: DataFrame, k: int, q_id: str = "qid", r_id: str = "rid",
+                   vec: str = "vec", label_cols: tuple[str, ...] = ("y",),
+                   block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Best ``k`` neighbours per query: ``qid, rid, d2, rank, <labels>`` (rank 1 = nearest).
+
+    ``vec`` is an ``array<double>`` column on both sides.
+    """
+    nq, nr = query.count(), ref.count()
+    qb = max(1, math.ceil(nq / block_rows))
+    rb = max(1, math.ceil(nr / block_rows))
+    q = (query.select(F.col(q_id).alias("qid"), F.col(vec).alias("vec"))
+         .withColumn("qb", _block("qid", qb, "q"))
+         .withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(rb - 1)))))
+    r = (ref.select(F.col(r_id).alias("rid"), F.col(vec).alias("vec"), *[F.col(c) for c in label_cols])
+         .withColumn("rb", _block("rid", rb, "r"))
+         .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))))
+    labels = list(label_cols)
+    schema = "qid string, rid string, d2 double, " + ", ".join(f"{c} double" for c in labels)
+
+    top_k = _top_k_kernel(k, labels)
 
     cand = q.groupBy("qb", "rb").cogroup(r.groupBy("qb", "rb")).applyInPandas(top_k, schema)
     w = Window.partitionBy("qid").orderBy("d2", "rid")
     return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+GRID_POINTS_PER_CELL = 4
+
+
+def grid_knn_candidates(query: DataFrame, ref: DataFrame, k: int, q_id: str = "qid", r_id: str = "rid",
+                        vec: str = "vec", label_cols: tuple[str, ...] = ("y",), cell: float | None = None,
+                        block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Exact k nearest neighbours with a grid on the first two coordinates.
+
+    Reference rows go to grid cells (about ``4 k`` per cell on average); each query meets
+    only the 3 x 3 cells around its own, in (cell, query block, reference block) groups
+    sized by the densest cell. A query is finished when it has ``k`` candidates and the
+    k-th is within one cell width: any row outside the 3 x 3 square is farther than that.
+    The remaining queries (sparse areas) go through :func:`knn_candidates`.
+    """
+    from geotrace.session import ensure_checkpoint_dir
+    spark = query.sparkSession
+    ensure_checkpoint_dir(spark)
+    labels = list(label_cols)
+    r = ref.select(F.col(r_id).cast("string").alias("rid"), F.col(vec).alias("vec"),
+                   *[F.col(c).cast("double").alias(c) for c in labels]).checkpoint()
+    q = query.select(F.col(q_id).cast("string").alias("qid"), F.col(vec).alias("vec")).checkpoint()
+    st = r.agg(F.count(F.lit(1)).alias("n"), F.min(F.col("vec")[0]).alias("x0"), F.max(F.col("vec")[0]).alias("x1"),
+               F.min(F.col("vec")[1]).alias("y0"), F.max(F.col("vec")[1]).alias("y1")).first()
+    if not st["n"]:
+        return knn_candidates(query, ref, k, q_id, r_id, vec, label_cols, block_rows)
+    if cell is None:
+        area = max((st["x1"] - st["x0"]) * (st["y1"] - st["y0"]), 1e-24)
+        cell = max(math.sqrt(area * GRID_POINTS_PER_CELL * k / st["n"]), 1e-12)
+    k_eff = min(k, st["n"])
+
+    def cells(df):
+        return (df.withColumn("cx", F.floor(F.col("vec")[0] / F.lit(cell)).cast("long"))
+                .withColumn("cy", F.floor(F.col("vec")[1] / F.lit(cell)).cast("long")))
+    rc = cells(r)
+    densest = rc.groupBy("cx", "cy").count().agg(F.max("count")).first()[0]
+    nq = q.count()
+    rb = max(1, math.ceil(densest / block_rows))
+    qb = max(1, math.ceil(nq / block_rows))
+    offs = F.array(*[F.lit(o) for o in (-1, 0, 1)])
+    qv = (cells(q).withColumn("ox", F.explode(offs)).withColumn("oy", F.explode(offs))
+          .withColumn("cx", F.col("cx") + F.col("ox")).withColumn("cy", F.col("cy") + F.col("oy"))
+          .withColumn("qb", _block("qid", qb, "q")).withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(rb - 1))))
+          .select("cx", "cy", "qb", "rb", "qid", "vec"))
+    rv = (rc.withColumn("rb", _block("rid", rb, "r")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1))))
+          .select("cx", "cy", "qb", "rb", "rid", "vec", *labels))
+    schema = "qid string, rid string, d2 double, " + ", ".join(f"{c} double" for c in labels)
+    top = _top_k_kernel(k, labels)
+    cand = qv.groupBy("cx", "cy", "qb", "rb").cogroup(rv.groupBy("cx", "cy", "qb", "rb")).applyInPandas(top, schema)
+    w = Window.partitionBy("qid").orderBy("d2", "rid")
+    best = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).checkpoint()
+    done = (best.groupBy("qid").agg(F.count(F.lit(1)).alias("c"), F.max("d2").alias("kth"))
+            .where((F.col("c") >= k_eff) & (F.col("kth") <= F.lit((cell * (1 - 1e-9)) ** 2))).select("qid"))
+    exact = best.join(done, "qid", "left_semi")
+    rest = q.join(done, "qid", "left_anti")
+    far = knn_candidates(rest, r, k, "qid", "rid", "vec", tuple(labels), block_rows)
+    return exact.unionByName(far.select(*exact.columns))
+
+
 def knn_predict(query: DataFrame, ref: DataFrame, k: int, q_id: str, r_id: str, vec: str,
-                label_cols: tuple[str, ...]) -> DataFrame:
-    """Uniform-weight mean of the labels of the ``k`` nearest reference rows, per query id."""
-    c = knn_candidates(query, ref, k, q_id, r_id, vec, label_cols)
+                label_cols: tuple[str, ...], grid: bool = True) -> DataFrame:
+    """Uniform-weight mean of the labels of the ``k`` nearest reference rows, per query id.
+
+    ``grid`` (default) searches neighbouring grid cells first (exact, see
+    :func:`grid_knn_candidates`); otherwise every block pair is searched.
+    """
+    find = grid_knn_candidates if grid else knn_candidates
+    c = find(query, ref, k, q_id, r_id, vec, label_cols)
     return c.groupBy(F.col("qid").alias(q_id)).agg(*[F.avg(l).alias(l) for l in label_cols])
 
 

@@ -117,3 +117,24 @@ def test_score_and_sample_check(spark):
     got = {(r["trajectory_id"], r["side"]) for r in sample_id_check(sub, sample).collect()}
     assert got == {("c", "missing_in_submission"), ("a", "not_in_sample")}
     assert sample_id_check(sub, None) is None
+
+
+def test_grid_knn_hot_cell_and_sparse_queries(spark):
+    rng = np.random.default_rng(5)
+    hot = rng.normal(0, 0.01, size=(400, 2))            # a third-or-more of the rows in one spot
+    spread = rng.uniform(-5, 5, size=(300, 2))
+    ref = np.vstack([hot, spread])
+    y = rng.normal(size=len(ref))
+    qry = np.vstack([rng.normal(0, 0.01, size=(30, 2)), rng.uniform(-5, 5, size=(30, 2)),
+                     [[40.0, 40.0], [-30.0, 12.0]]])    # far away: must fall back to the full search
+    r = spark.createDataFrame([(f"r{i:04d}", ref[i].tolist(), float(y[i])) for i in range(len(ref))],
+                              "rid string, vec array<double>, y double")
+    q = spark.createDataFrame([(f"q{i}", qry[i].tolist()) for i in range(len(qry))], "qid string, vec array<double>")
+    for block_rows in (20_000, 50):
+        c = knn.grid_knn_candidates(q, r, 5, "qid", "rid", "vec", ("y",), block_rows=block_rows)
+        got = {row["qid"]: row["y"] for row in c.groupBy("qid").agg(F.avg("y").alias("y")).collect()}
+        assert len(got) == len(qry)
+        for i in range(len(qry)):
+            d = ((ref - qry[i]) ** 2).sum(1)
+            order = sorted(range(len(ref)), key=lambda j: (d[j], f"r{j:04d}"))[:5]
+            assert got[f"q{i}"] == pytest.approx(y[order].mean()), (i, block_rows)
