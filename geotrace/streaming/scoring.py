@@ -2,8 +2,9 @@
 
 A trajectory row is complete on arrival, so every micro-batch is scored on its own
 with the batch steps: features (F29), the fitted scaler and selection (M3-M5), the
-fitted two-target model (X1) and the submission rules (X2). Each batch is appended as
-Parquet; the stream's checkpoint lives under ``spark.checkpoint.dir``.
+fitted two-target model (X1) and the submission rules (X2). Each batch is written to
+its own ``epoch=<id>`` Parquet folder (idempotent on replay); the stream's checkpoint
+lives under ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -47,8 +48,10 @@ def score_stream(spark: SparkSession, source_dir: str, sink_dir: str, model, pre
     src = spark.readStream.schema(schema).parquet(source_dir)
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        score_batch(batch, model, prep).withColumn("epoch", F.lit(epoch_id)) \
-            .write.mode("append").partitionBy("epoch").parquet(sink_dir)
+        # One folder per epoch, overwritten: a batch replayed after a failure rewrites the
+        # same output instead of appending duplicates (foreachBatch is at-least-once).
+        score_batch(batch, model, prep).write.mode("overwrite").parquet(
+            f"{sink_dir.rstrip('/')}/epoch={epoch_id}")
 
     w = src.writeStream.foreachBatch(write).option("checkpointLocation", ck).queryName(name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
