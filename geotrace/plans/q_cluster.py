@@ -9,7 +9,7 @@ from geotrace.operators.features import FEATURE_KIND
 from geotrace.plans import oracle
 from geotrace.plans.common import clean_split
 from geotrace.plans.registry import register
-from geotrace.plans.rounding import rnd, round_frame, round_sql
+from geotrace.plans.rounding import round_frame, round_sql
 
 # Query-size settings: fewer restarts and a smaller k range than the library defaults (10, 10).
 N_INIT = 3
