@@ -18,6 +18,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The 96-column per-trajectory feature projection is too wide for one generated
+    # method; skipping codegen for stages with >= 90 fields avoids a failing compile
+    # attempt (~1 s per query). The per-point stages (~40 fields) keep whole-stage codegen.
+    "spark.sql.codegen.maxFields": "90",
 }
 
 
