@@ -114,7 +114,7 @@ def gps_trajectories(spark: SparkSession, sf_dir: str, chunk_seconds: int = CHUN
     is_dest = F.col("pos1") == F.col("n")
     pt = F.struct(F.col("pos1"), F.col("lat"), F.col("lon"))
     g = p.groupBy("trajectory_id").agg(
-        F.first("user_id").alias("user_id"), F.first("bucket").alias("bucket"),
+        F.any_value("user_id").alias("user_id"), F.any_value("bucket").alias("bucket"),
         F.sort_array(F.collect_list(F.when(in_path, pt))).alias("pts"),
         F.max(F.when(is_dest, F.col("lat"))).alias("d_lat"),
         F.max(F.when(is_dest, F.col("lon"))).alias("d_lon"))
