@@ -129,3 +129,30 @@ def fold_groups(spark, sf_dir):
     from geotrace.plans.common import clean_split
     f = group_folds(clean_split(spark, sf_dir, "train"), K_FOLDS, "trajectory_id", SEED)
     return fold_integrity(f)
+
+
+def _h32(expr: str) -> str:
+    return f"(('0x' || substr(md5('{SEED}:' || CAST({expr} AS VARCHAR)), 1, 8))::BIGINT)"
+
+
+@register("fold_balanced", oracle.with_derived(oracle.CLEAN_TRAIN) + f"""
+SELECT trajectory_id, CAST((row_number() OVER (ORDER BY {_h32('ingest_seq')}, ingest_seq) - 1) % {K_FOLDS} AS INTEGER)
+  AS fold FROM ctr""")
+def fold_balanced(spark, sf_dir):
+    """E1 (shuffled K-fold, sizes differ by at most one): rank in hashed order, fold = rank mod k."""
+    from geotrace.operators.validation import balanced_folds
+    from geotrace.plans.common import clean_split
+    f = balanced_folds(clean_split(spark, sf_dir, "train"), K_FOLDS, "ingest_seq", SEED)
+    return f.select("trajectory_id", "fold")
+
+
+@register("fold_group_balanced", oracle.with_derived(oracle.CLEAN_TRAIN) + f"""
+SELECT trajectory_id, CAST((row_number() OVER (ORDER BY gs DESC, {_h32('trajectory_id')}, trajectory_id) - 1)
+  % {K_FOLDS} AS INTEGER) AS fold
+FROM (SELECT trajectory_id, count(*) AS gs FROM ctr GROUP BY trajectory_id)""")
+def fold_group_balanced(spark, sf_dir):
+    """E2 size-balanced: groups by size (desc), then hash, take folds round-robin."""
+    from geotrace.operators.validation import balanced_group_folds
+    from geotrace.plans.common import clean_split
+    f = balanced_group_folds(clean_split(spark, sf_dir, "train"), K_FOLDS, "trajectory_id", SEED)
+    return f.select("trajectory_id", "fold")
