@@ -138,3 +138,13 @@ def test_grid_knn_hot_cell_and_sparse_queries(spark):
             d = ((ref - qry[i]) ** 2).sum(1)
             order = sorted(range(len(ref)), key=lambda j: (d[j], f"r{j:04d}"))[:5]
             assert got[f"q{i}"] == pytest.approx(y[order].mean()), (i, block_rows)
+
+
+def test_parameter_resolver_and_model_list():
+    from geotrace.operators.models import create_all_models, model_params, tree_count
+    assert [tree_count(n) for n in (None, 999, 1000, 4999, 5000)] == [100, 50, 100, 100, 200]
+    assert model_params("RandomForest", 10)["numTrees"] == 200          # at least 200 trees for the forest
+    assert model_params("HistGradientBoosting", 3000)["maxIter"] == 100
+    models = create_all_models(["Ridge", "SVR", "GradientBoosting", "NoSuchModel", "Lasso"], 500,
+                               {"GradientBoosting": {"maxIter": 7}}, ensemble=True)
+    assert [m.name for m in models] == ["Ridge", "GradientBoosting", "Lasso", "EnsembleVoting"]
