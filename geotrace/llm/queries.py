@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geotrace.llm import simhash
+from geotrace.llm import quality_rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -29,3 +29,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_groups(docs, shingle=4, max_bits=4).select("doc_id", "fingerprint", "component_id")
+
+
+@query("op6_quality_rules", f"""WITH {quality_rules.rules_sql()}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return quality_rules.judged(docs).select("doc_id", *quality_rules.STATS, "base_failed", "kept")
