@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geotrace.llm import quality_rules, simhash
+from geotrace.llm import quality_rules, simhash, syncmers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -36,3 +36,8 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return quality_rules.judged(docs).select("doc_id", *quality_rules.STATS, "base_failed", "kept")
+
+
+@query("op8_syncmers")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.edited_pairs(table(spark, sf_dir, "documents").select("doc_id", "text"))
