@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geotrace.llm import quality_rules, simhash, syncmers
+from geotrace.llm import quality_rules, simhash, syncmers, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -41,3 +41,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_syncmers")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.edited_pairs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op10_url_filter")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
