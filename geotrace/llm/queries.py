@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from geotrace.llm import quality_rules, simhash, syncmers, url_filter
+from geotrace.llm import quality_classifier, quality_rules, simhash, syncmers, url_filter
+from geotrace.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -46,3 +48,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_url_filter")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op4_quality_classifier")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    out, _ = quality_classifier.scored(docs.select("doc_id", "text"), labels.select("doc_id", "quality"))
+    return out.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score",
+                      (F.col("score") >= 0.7).cast("int").alias("predicted"))
