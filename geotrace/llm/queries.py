@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geotrace.llm import quality_classifier, quality_rules, simhash, syncmers, url_filter
+from geotrace.llm import packing, quality_classifier, quality_rules, simhash, syncmers, url_filter
 from geotrace.llm.common import held_out
 
+PIECES = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -56,3 +58,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, _ = quality_classifier.scored(docs.select("doc_id", "text"), labels.select("doc_id", "quality"))
     return out.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score",
                       (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op1_packing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return packing.pack(docs, path("word_bpe_49k.json"), with_ids=False).select(*PIECES)
