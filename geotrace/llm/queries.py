@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geotrace.llm import mixing, packing, ppm, quality_classifier, quality_rules, simhash, syncmers, url_filter
+from geotrace.llm import mixing, packing, ppm, quality_classifier, quality_rules, simhash, syncmers, url_filter, warc
 from geotrace.llm.common import held_out, stored
 
 PIECES = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -78,3 +78,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_ppm")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.scored(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op7_warc")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
