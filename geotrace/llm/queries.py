@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geotrace.llm import mixing, packing, ppm, quality_classifier, quality_rules, simhash, syncmers, url_filter, warc
+from geotrace.llm import mixing, packing, ppm, quality_classifier, quality_rules, sharding, simhash, syncmers, url_filter, warc
 from geotrace.llm.common import held_out, stored
 
 PIECES = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
+SHARD_BYTES = 1 << 20
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -83,3 +85,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_warc")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op2_sharding", sharding.sharding_sql(SHARD_BYTES))
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents").select("doc_id", "text"), SHARD_BYTES, keep_text=False)
