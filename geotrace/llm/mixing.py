@@ -44,12 +44,14 @@ def raked(cells: DataFrame, dims: Sequence[str], tokens: str, targets: Mapping[s
     """
     def goal(dim: str) -> Column:
         own = F.sum(F.col(tokens)).over(Window.partitionBy(dim)) / total
-        if targets and targets.get(dim):
-            said = F.lit(None).cast("double")
-            for value, share in targets[dim].items():
-                said = F.when(F.col(dim).eqNullSafe(F.lit(value)), float(share)).otherwise(said)
-            return F.coalesce(said, own * (1 - sum(targets[dim].values())))
-        return F.pow(own, F.lit(temper))
+        wanted = (targets or {}).get(dim)
+        if not wanted:
+            return F.pow(own, F.lit(temper))
+        said = F.lit(None).cast("double")
+        for value, share in wanted.items():
+            said = F.when(F.col(dim).eqNullSafe(F.lit(value)), float(share)).otherwise(said)
+        rest = cells.agg(F.sum(F.when(said.isNull(), F.col(tokens)))).first()[0] or 1
+        return F.coalesce(said, own * (total / float(rest) * max(0.0, 1 - sum(wanted.values()))))
 
     total = float(cells.agg(F.sum(tokens)).first()[0] or 1)
     names = [f"goal_{i}" for i in range(len(dims))]
