@@ -98,7 +98,7 @@ def segment(names: DataFrame, name: str, vocabulary: DataFrame) -> DataFrame:
 
 def judged(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
            rules: Sequence[tuple[str, str]] = RULES, seed_block: Sequence[str] = SEED_BLOCK,
-           seed_weight: int = 20) -> DataFrame:
+           seed_weight: int = 5) -> DataFrame:
     """(id, host, path, rule, verdict, score): score is the log odds of block by the method, for every url."""
     pages = without(pages, "host", "path", "rule", "verdict", "score")
     url, html = F.col(url_col), F.coalesce(F.col(html_col), F.lit(""))
