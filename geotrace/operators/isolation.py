@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from geotrace.functions.hashrand import uniform
 from geotrace.operators.clustering import standardize
-from geotrace.operators.outliers import global_percentiles, use_exact
+from geotrace.operators.quantiles import quantiles
 from geotrace.session import ensure_checkpoint_dir
 
 N_TREES = 100
@@ -116,7 +116,6 @@ def add_isolation_mask(df: DataFrame, cols: list[str], contamination: float = 0.
     s = isolation_scores(df, cols, id_col, seed=seed)
     ensure_checkpoint_dir(df.sparkSession)
     s = s.checkpoint()                 # scored once, read by the quantile and the join
-    exact = use_exact(s)
-    thr = s.agg(global_percentiles(s, "anomaly_score", [1.0 - contamination], exact)).first()[0][0]
+    thr = quantiles(s, ["anomaly_score"], [1.0 - contamination])["anomaly_score"][0]
     s = s.withColumn("is_features_isolation", F.col("anomaly_score") > F.lit(thr))
     return df.join(s, id_col, "left")

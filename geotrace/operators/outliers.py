@@ -4,8 +4,8 @@ Path masks (geographic, jump/speed, target) are computed inside each trajectory
 ``array_min`` / ``array_max`` and one ``aggregate`` over the segment indexes. The
 masks land on the same row as the path, so removing outliers is a filter, never a
 join back. Global statistics (distribution bounds, IQR bounds, shares) are 1-row
-aggregates attached as scalar subqueries; exact percentiles switch to
-``percentile_approx`` above a row-count threshold.
+aggregates attached as scalar subqueries; percentiles are exact at every size
+(see quantiles.py).
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geotrace.functions import geo
+from geotrace.operators.quantiles import quantiles
 from geotrace.operators.ranking import global_rank
 
 MASKS = ["is_geographic", "is_bounds", "is_trajectory", "is_target", "is_features_iqr", "is_features_isolation"]
@@ -24,10 +25,6 @@ TYPE_NAMES = {"is_geographic": "geographic", "is_bounds": "bounds", "is_trajecto
               "is_target": "target", "is_features_iqr": "features_iqr",
               "is_features_isolation": "features_isolation"}
 
-# Above this many values a global percentile is computed approximately.
-EXACT_PERCENTILE_LIMIT = 5_000_000
-APPROX_ACCURACY = 100_000
-
 
 @dataclass
 class OutlierConfig:
@@ -50,19 +47,6 @@ class OutlierConfig:
                    max_speed_kmh=800.0, contamination=0.05, max_outlier_pct=0.20)
 
 
-def global_percentiles(df: DataFrame, col: Column | str, pcts: list[float], exact: bool | None = None) -> Column:
-    """Aggregate expression for percentiles of ``col`` over all rows (exact or approximate)."""
-    c = F.col(col) if isinstance(col, str) else col
-    if exact is None or exact:
-        return F.percentile(c, pcts)
-    return F.percentile_approx(c, pcts, APPROX_ACCURACY)
-
-
-def use_exact(df: DataFrame, limit: int = EXACT_PERCENTILE_LIMIT) -> bool:
-    """Size switch for global percentiles (one count job; cheap next to the percentiles)."""
-    return df.limit(limit + 1).count() <= limit
-
-
 def geographic_mask(cfg: OutlierConfig) -> Column:
     """O1: empty path, or any point strictly outside the box."""
     lo_a, hi_a = cfg.lat_range
@@ -112,39 +96,29 @@ def target_mask(cfg: OutlierConfig) -> Column:
     return F.coalesce(bad, F.lit(False))
 
 
-def add_bounds_mask(traj: DataFrame, exact: bool | None = None) -> DataFrame:
+def add_bounds_mask(traj: DataFrame) -> DataFrame:
     """O2: global p1/p99 of all points, widened by 10 % of the spread; flag paths leaving them.
 
     Rows with an empty path are not flagged here (they are geographic outliers already).
     """
     pts = traj.select(F.explode(F.arrays_zip("path_lat", "path_lon")).alias("p")).select("p.*")
-    if exact is None:
-        exact = use_exact(pts)
-    stats = pts.agg(global_percentiles(pts, "path_lat", [0.01, 0.99], exact).alias("a"),
-                    global_percentiles(pts, "path_lon", [0.01, 0.99], exact).alias("o"))
-    a = stats.select(F.struct(
-        (F.col("a")[0] - 0.1 * (F.col("a")[1] - F.col("a")[0])).alias("lat_lo"),
-        (F.col("a")[1] + 0.1 * (F.col("a")[1] - F.col("a")[0])).alias("lat_hi"),
-        (F.col("o")[0] - 0.1 * (F.col("o")[1] - F.col("o")[0])).alias("lon_lo"),
-        (F.col("o")[1] + 0.1 * (F.col("o")[1] - F.col("o")[0])).alias("lon_hi"))).scalar()
-    out = ((F.array_min("path_lat") < a["lat_lo"]) | (F.array_max("path_lat") > a["lat_hi"])
-           | (F.array_min("path_lon") < a["lon_lo"]) | (F.array_max("path_lon") > a["lon_hi"]))
+    found = quantiles(pts, ["path_lat", "path_lon"], [0.01, 0.99])
+    out = F.lit(False)
+    for c, pair in found.items():
+        if pair is not None:
+            lo, hi = pair[0] - 0.1 * (pair[1] - pair[0]), pair[1] + 0.1 * (pair[1] - pair[0])
+            out = out | (F.array_min(c) < lo) | (F.array_max(c) > hi)
     return traj.withColumn("is_bounds", F.coalesce(F.size("path_lat") > 0, F.lit(False)) & F.coalesce(out, F.lit(False)))
 
 
-def add_iqr_mask(feats: DataFrame, cols: list[str], cfg: OutlierConfig | None = None,
-                 exact: bool | None = None) -> DataFrame:
+def add_iqr_mask(feats: DataFrame, cols: list[str], cfg: OutlierConfig | None = None) -> DataFrame:
     """Per column, outside [Q1 - f*IQR, Q3 + f*IQR] (columns with IQR = 0 skipped);
     flagged when at least ``max(1, int(share * #columns))`` columns are out.
 
     Adds ``iqr_hits`` (count of columns out of range) and ``is_features_iqr``.
     """
     cfg = cfg or OutlierConfig()
-    if exact is None:
-        exact = use_exact(feats)
-    # One row of 2 x #columns numbers, fetched once; a scalar subquery per column would
-    # copy the feature plan into every reference.
-    row = feats.agg(*[global_percentiles(feats, c, [0.25, 0.75], exact).alias(c) for c in cols]).first()
+    row = quantiles(feats, cols, [0.25, 0.75])
     hits = F.lit(0)
     for c in cols:
         if row[c] is None:
@@ -206,17 +180,28 @@ def cap(df: DataFrame, max_pct: float, masks: list[str] | None = None, name: str
     """If the flagged share exceeds ``max_pct``, keep only the top ``int(total * max_pct)``
     rows by score (ties: source order) as outliers.
 
-    The decision needs the share (a 1-row aggregate, computed once); the top rows come
-    from an exact distributed rank.
+    Scores take a handful of values, so counts by score find the score at the cut; only the
+    order numbers of rows with that one score are ranked, and the last one kept becomes a bound.
     """
     masks = masks or present_masks(df)
-    total, flagged = df.agg(F.count(F.lit(1)), F.count_if(F.col(name))).first()
+    scored = df.withColumn("_score", outlier_score(masks))
+    counts = scored.groupBy("_score").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(name)).alias("f")).collect()
+    total, flagged = sum(r["n"] for r in counts), sum(r["f"] for r in counts)
     if total == 0 or flagged / total <= max_pct:
         return df
-    k = int(total * max_pct)
-    ranked = global_rank(df.withColumn("_score", outlier_score(masks)), [F.col("_score").desc(), F.col(order)],
-                         "_rank")
-    return ranked.withColumn(name, F.col("_rank") < k).drop("_score", "_rank")
+    left = int(total * max_pct)
+    above = []
+    for r in sorted(counts, key=lambda r: -r["_score"]):
+        if r["n"] > left:
+            break
+        above.append(r["_score"])
+        left -= r["n"]
+    kept = F.col("_score").isin(above) if above else F.lit(False)
+    if left:
+        tied = global_rank(scored.where(F.col("_score") == r["_score"]).select(order), [F.col(order)], "_rank")
+        last = tied.where(F.col("_rank") == left - 1).first()[order]
+        kept = kept | ((F.col("_score") == r["_score"]) & (F.col(order) <= F.lit(last)))
+    return scored.withColumn(name, kept).drop("_score")
 
 
 def safety_rule(df: DataFrame, guard: float = 0.03, name: str = "is_outlier") -> DataFrame:

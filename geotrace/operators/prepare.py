@@ -2,8 +2,7 @@
 
 All statistics (distinct counts, deviations, quantiles, correlations) come from one
 aggregate row per step, fitted on train and applied to train and test as column
-expressions. Exact distinct counts and quantiles switch to approximate ones above a
-row-count threshold.
+expressions. Distinct counts and quantiles are exact at every size (see quantiles.py).
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geotrace.functions import geo
-from geotrace.operators.outliers import use_exact
+from geotrace.operators.quantiles import ValueCounts, quantiles
 
 # Fixed values of the reference's preparation rules.
 QUASI_CONSTANT_SHARE = 0.02
@@ -24,19 +23,16 @@ MIN_K = 50
 K_SHARE = 0.7
 
 
-def low_variance_stats(train: DataFrame, cols: list[str], exact: bool | None = None) -> DataFrame:
-    """M1 statistics, long form: ``feature, n_unique, std, dropped`` (one aggregate)."""
-    if exact is None:
-        exact = use_exact(train)
-    distinct = F.count_distinct if exact else F.approx_count_distinct
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for c in cols:
-        aggs += [distinct(c).alias(f"u_{c}"), F.stddev_samp(c).alias(f"s_{c}")]
-    row = train.agg(*aggs).first()
+def low_variance_stats(train: DataFrame, cols: list[str]) -> DataFrame:
+    """M1 statistics, long form: ``feature, n_unique, std, dropped``.
+
+    Distinct counts come from the long (column, value) counts, so no row is copied once a column."""
+    row = train.agg(F.count(F.lit(1)).alias("_n"), *[F.stddev_samp(c).alias(f"s_{c}") for c in cols]).first()
+    unique = ValueCounts(train, cols).distinct()
     n = row["_n"]
     rows = []
     for c in cols:
-        u, s = row[f"u_{c}"], row[f"s_{c}"]
+        u, s = unique[c], row[f"s_{c}"]
         dropped = u <= 1 or (u / max(1, n)) < QUASI_CONSTANT_SHARE or (s is not None and s <= MIN_STD)
         rows.append((c, int(u), s, bool(dropped)))
     return train.sparkSession.createDataFrame(rows, "feature string, n_unique long, std double, dropped boolean")
@@ -65,22 +61,15 @@ class Scaler:
     scale: dict[str, float] = field(default_factory=dict)
 
     def transform(self, df: DataFrame, suffix: str = "") -> DataFrame:
-        out = df
-        for c in self.centre:
-            out = out.withColumn(c + suffix, (F.col(c) - F.lit(self.centre[c])) / F.lit(self.scale[c]))
-        return out
+        return df.withColumns({c + suffix: (F.col(c) - F.lit(self.centre[c])) / F.lit(self.scale[c]) for c in self.centre})
 
 
-def fit_scaler(train: DataFrame, cols: list[str], kind: str = "robust", exact: bool | None = None) -> Scaler:
+def fit_scaler(train: DataFrame, cols: list[str], kind: str = "robust") -> Scaler:
     """M3: robust ``(x - median) / IQR`` or standard ``(x - mean) / sigma_pop``; zero scale -> 1."""
     if kind == "robust":
-        if exact is None:
-            exact = use_exact(train)
-        pct = (lambda c: F.percentile(c, [0.25, 0.5, 0.75])) if exact else \
-            (lambda c: F.percentile_approx(c, [0.25, 0.5, 0.75], 100_000))
-        row = train.agg(*[pct(c).alias(c) for c in cols]).first()
-        centre = {c: row[c][1] for c in cols}
-        scale = {c: (row[c][2] - row[c][0]) for c in cols}
+        row = quantiles(train, cols, [0.25, 0.5, 0.75])
+        centre = {c: row[c][1] if row[c] else None for c in cols}
+        scale = {c: row[c][2] - row[c][0] if row[c] else None for c in cols}
     elif kind == "standard":
         row = train.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
                         *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).first()

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from geotrace.functions import geo
 from geotrace.functions.hashrand import uniform
 from geotrace.operators.models import MultiTargetRegressor, NamedModel
+from geotrace.operators.quantiles import quantiles
 from geotrace.operators.ranking import global_rank
 
 
@@ -94,35 +95,33 @@ QUANTILES = [0.25, 0.5, 0.75, 0.9, 0.95]
 def metrics_full(pred: DataFrame) -> DataFrame:
     """Haversine mean/median/std, MSE/MAE/R^2 per axis, quantiles, n (one row)."""
     d = with_distance(pred)
-    q = F.percentile("dist_km", QUANTILES)
+    q = quantiles(d, ["dist_km"], QUANTILES)["dist_km"] or [None] * len(QUANTILES)
 
     def r2(t, p):
         sse = F.sum(F.pow(F.col(t) - F.col(p), 2))
         sst = F.var_pop(t) * F.count(F.lit(1))
         return F.lit(1.0) - sse / F.nullif(sst, F.lit(0.0))
 
-    a = d.agg(
-        F.avg("dist_km").alias("mean_haversine_km"), F.percentile("dist_km", 0.5).alias("median_haversine_km"),
+    return d.agg(
+        F.avg("dist_km").alias("mean_haversine_km"), F.lit(q[QUANTILES.index(0.5)]).cast("double").alias("median_haversine_km"),
         F.stddev_pop("dist_km").alias("std_haversine_km"),
         F.avg(F.pow(F.col("lat_true") - F.col("lat_pred"), 2)).alias("mse_latitude"),
         F.avg(F.pow(F.col("lon_true") - F.col("lon_pred"), 2)).alias("mse_longitude"),
         F.avg(F.abs(F.col("lat_true") - F.col("lat_pred"))).alias("mae_latitude"),
         F.avg(F.abs(F.col("lon_true") - F.col("lon_pred"))).alias("mae_longitude"),
         r2("lat_true", "lat_pred").alias("r2_latitude"), r2("lon_true", "lon_pred").alias("r2_longitude"),
-        q.alias("_q"), F.count(F.lit(1)).alias("n_samples"))
-    return a.select("*", *[F.col("_q")[i].alias(f"q{int(p * 100)}_km") for i, p in enumerate(QUANTILES)]).drop("_q")
+        F.count(F.lit(1)).alias("n_samples"),
+        *[F.lit(v).cast("double").alias(f"q{int(p * 100)}_km") for p, v in zip(QUANTILES, q, strict=True)])
 
 
 def metrics_summary(pred: DataFrame) -> DataFrame:
     """Mean, median, std, min, max, p95, p99 of the haversine km (one row)."""
     d = with_distance(pred)
-    p = F.percentile("dist_km", [0.5, 0.95, 0.99])
-    return d.agg(F.avg("dist_km").alias("mean_distance_km"), p.alias("_p"),
+    q = quantiles(d, ["dist_km"], [0.5, 0.95, 0.99])["dist_km"] or [None] * 3
+    median, p95, p99 = (F.lit(v).cast("double") for v in q)
+    return d.agg(F.avg("dist_km").alias("mean_distance_km"), median.alias("median_distance_km"),
                  F.stddev_pop("dist_km").alias("std_distance_km"), F.min("dist_km").alias("min_distance_km"),
-                 F.max("dist_km").alias("max_distance_km")) \
-        .select("mean_distance_km", F.col("_p")[0].alias("median_distance_km"), "std_distance_km",
-                "min_distance_km", "max_distance_km", F.col("_p")[1].alias("p95_distance_km"),
-                F.col("_p")[2].alias("p99_distance_km"))
+                 F.max("dist_km").alias("max_distance_km"), p95.alias("p95_distance_km"), p99.alias("p99_distance_km"))
 
 
 # --- cross-validation --------------------------------------------------------------------

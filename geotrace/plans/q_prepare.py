@@ -42,7 +42,7 @@ FROM ({body})""")
 @register("low_variance", _low_var_sql())
 def low_variance(spark, sf_dir):
     t = materialized_features(spark, sf_dir, "train", rounded=True)
-    s = P.low_variance_stats(t, FEATURE_NAMES, exact=True)
+    s = P.low_variance_stats(t, FEATURE_NAMES)
     return s.select("feature", "n_unique", F.round("std", 9).alias("std"), "dropped")
 
 
@@ -64,9 +64,7 @@ def local_target(spark, sf_dir):
     return t.select("trajectory_id", rnd("dx", "m").alias("dx"), rnd("dy", "m").alias("dy"))
 
 
-# Scaling is checked on the coordinate-valued features (exact in both engines).
-SCALE_COLS = ["start_lat", "start_lon", "end_lat", "end_lon", "median_lat", "median_lon", "lat_range",
-              "lon_range", "num_points", "n_significant_turns"]
+SCALE_COLS = FEATURE_NAMES
 
 
 def _robust_sql() -> str:
@@ -87,7 +85,7 @@ def _standard_sql() -> str:
 def _scaled(kind):
     def build(spark, sf_dir):
         t = materialized_features(spark, sf_dir, "train", rounded=True)
-        sc = P.fit_scaler(t, SCALE_COLS, kind, exact=True)
+        sc = P.fit_scaler(t, SCALE_COLS, kind)
         return sc.transform(t).select("trajectory_id", *[F.round(c, 6).alias(c) for c in SCALE_COLS])
     return build
 
@@ -108,8 +106,7 @@ FROM (SELECT feature, pos, CASE WHEN r IS NULL OR isnan(r) THEN NULL ELSE r * r
       FROM ({f}))""", lt)
 
 
-# F-scores are checked on the features whose values are exact in both engines.
-SELECT_COLS = SCALE_COLS
+SELECT_COLS = FEATURE_NAMES
 
 
 @register("select_k_best", _kbest_sql())
