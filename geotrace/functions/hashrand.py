@@ -21,6 +21,13 @@ def uniform(seed: int, *cols, tag: str = "") -> Column:
     return (h.bitwiseAND(F.lit(_MANTISSA))).cast("double") / F.lit(float(1 << 53))
 
 
+def uniform_md5(seed: int, tag: str, *cols) -> Column:
+    """Uniform draw in [0, 1) from the first 52 bits of ``md5(seed:tag:col:...)``, which any SQL engine can repeat."""
+    parts = [F.lit(f"{int(seed)}:{tag}"), *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]]
+    digits = F.substring(F.md5(F.concat_ws(":", *parts)), 1, 13)
+    return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 52))
+
+
 def uniform_range(lo: float, hi: float, seed: int, *cols, tag: str = "") -> Column:
     return F.lit(lo) + (F.lit(hi) - F.lit(lo)) * uniform(seed, *cols, tag=tag)
 
@@ -33,12 +40,15 @@ def normal(seed: int, *cols, tag: str = "") -> Column:
 
 
 def poisson1(seed: int, *cols, tag: str = "") -> Column:
-    """Poisson(1) draw (bootstrap weight) by inverting the CDF on one hashed uniform."""
+    """Poisson(1) draw (bootstrap weight) by inverting the CDF on one hashed uniform.
+
+    The table goes on until the tail is below the resolution of the draw (2**-53)."""
     u = uniform(seed, *cols, tag=tag)
-    # Cumulative Poisson(1) probabilities for k = 0..7.
-    cdf = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238463,
-           0.9963401531726563, 0.9994058151824183, 0.9999167588507119, 0.9999897508033253]
-    expr = F.lit(8.0)
+    cdf, term = [], math.exp(-1)
+    while term > 2.0 ** -54:
+        cdf.append((cdf[-1] if cdf else 0.0) + term)
+        term /= len(cdf)
+    expr = F.lit(float(len(cdf)))
     for k in range(len(cdf) - 1, -1, -1):
         expr = F.when(u < F.lit(cdf[k]), F.lit(float(k))).otherwise(expr)
     return expr

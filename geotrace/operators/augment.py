@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geotrace.functions import geo
-from geotrace.functions.hashrand import normal, uniform
+from geotrace.functions.hashrand import uniform_md5
 
 # Fixed values of the augmentation rules.
 JITTER_SIGMA_M = 5.0
@@ -27,11 +27,18 @@ def _pts() -> Column:
     return F.arrays_zip(F.col("path_lat").alias("lat"), F.col("path_lon").alias("lon"))
 
 
+def _normal(seed: int, i: Column, tag: str) -> Column:
+    """Standard normal draw for point ``i`` of a row (Box-Muller on two hashed uniforms)."""
+    u1 = F.lit(1.0) - uniform_md5(seed, tag + "1", "trajectory_id", i)  # (0, 1]
+    u2 = uniform_md5(seed, tag + "2", "trajectory_id", i)
+    return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2 * math.pi) * u2)
+
+
 def jitter(seed: int, sigma_m: float = JITTER_SIGMA_M) -> tuple[Column, Column]:
     """A1: Gaussian noise of ``sigma_m`` metres per point, each point its own reference."""
     def moved(p, i):
-        dx = F.lit(sigma_m) * normal(seed, F.col("trajectory_id"), i, tag="jx")
-        dy = F.lit(sigma_m) * normal(seed, F.col("trajectory_id"), i, tag="jy")
+        dx = F.lit(sigma_m) * _normal(seed, i, "jx")
+        dy = F.lit(sigma_m) * _normal(seed, i, "jy")
         la, lo = geo.from_local_xy(p["lat"], p["lon"], dx, dy)
         return F.struct(la.alias("lat"), lo.alias("lon"))
     moved_pts = F.transform(_pts(), moved)
@@ -43,7 +50,7 @@ def drop_points(seed: int, prob: float = DROP_PROB) -> tuple[Column, Column]:
     n = F.size("path_lat")
     idx = F.transform(_pts(), lambda p, i: F.struct(p["lat"].alias("lat"), p["lon"].alias("lon"), i.alias("i")))
     kept = F.filter(idx, lambda p: (p["i"] == 0) | (p["i"] == n - 1)
-                    | (uniform(seed, F.col("trajectory_id"), p["i"], tag="drop") >= F.lit(prob)))
+                    | (uniform_md5(seed, "drop", "trajectory_id", p["i"]) >= F.lit(prob)))
     kept = F.when(n <= 2, idx).otherwise(kept)
     return kept["lat"], kept["lon"]
 
@@ -54,7 +61,7 @@ def rotate(seed: int, max_deg: float = ROTATE_MAX_DEG, angle_deg: Column | None
     c_lat = F.aggregate("path_lat", F.lit(0.0), lambda a, x: a + x) / n
     c_lon = F.aggregate("path_lon", F.lit(0.0), lambda a, x: a + x) / n
     if angle_deg is None:
-        angle_deg = F.lit(-max_deg) + F.lit(2 * max_deg) * uniform(seed, F.col("trajectory_id"), tag="angle")
+        angle_deg = F.lit(-max_deg) + F.lit(2 * max_deg) * uniform_md5(seed, "angle", "trajectory_id")
     th = angle_deg * F.lit(math.pi / 180.0)
 
     def turned(p):
@@ -70,8 +77,8 @@ def rotate(seed: int, max_deg: float = ROTATE_MAX_DEG, angle_deg: Column | None
 def augment(traj: DataFrame, methods: list[str] | None = None, p: float = 0.5, seed: int = 42) -> DataFrame:
     """A4: with probability ``p`` per row apply one method chosen uniformly; empty paths untouched."""
     methods = methods or METHODS
-    u = uniform(seed, F.col("trajectory_id"), tag="apply")
-    pick = F.floor(uniform(seed, F.col("trajectory_id"), tag="method") * len(methods)).cast("int")
+    u = uniform_md5(seed, "apply", "trajectory_id")
+    pick = F.floor(uniform_md5(seed, "method", "trajectory_id") * len(methods)).cast("int")
     chosen = F.element_at(F.array(*[F.lit(m) for m in methods]), pick + 1)
     method = F.when((F.size("path_lat") > 0) & (u < p), chosen)
     out = traj.withColumn("method", method)

@@ -12,6 +12,7 @@ DBSCAN (K5) is ``method="dbscan"``: an exact blocked grid search (operators/dbsc
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeans
@@ -21,7 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geotrace.operators.features import extract_features
+from geotrace.session import ensure_checkpoint_dir
 
+PARALLEL_FITS = 4
+ROWS_PER_PARTITION = 50_000
 CLUSTER_FEATURES = ["start_lat", "start_lon", "end_lat", "end_lon", "centroid_lat", "centroid_lon",
                     "lat_range", "lon_range", "total_distance", "straight_distance", "straightness",
                     "num_points", "bearing"]
@@ -40,12 +44,7 @@ def standardize(df: DataFrame, cols: list[str], suffix: str = "") -> DataFrame:
     for c in cols:
         aggs += [F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}")]
     row = df.agg(*aggs).first()
-    out = df
-    for c in cols:
-        m, s = row[f"m_{c}"], row[f"s_{c}"]
-        s = 1.0 if (s is None or s == 0) else s
-        out = out.withColumn(c + suffix, (F.col(c) - F.lit(m if m is not None else 0.0)) / F.lit(s))
-    return out
+    return df.withColumns({c + suffix: (F.col(c) - F.lit(row[f"m_{c}"] or 0.0)) / F.lit(row[f"s_{c}"] or 1.0) for c in cols})
 
 
 def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
@@ -63,17 +62,22 @@ class KMeansResult:
 def best_of_kmeans(vec: DataFrame, k: int, seed: int = 42, n_init: int = 10, max_iter: int = 300,
                    features: str = "features") -> KMeansResult:
     """K3: ``n_init`` K-means runs with derived seeds; lowest training cost wins (first on ties)."""
-    best = None
-    for i in range(n_init):
-        km = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol=features, predictionCol="cluster")
-        m = km.fit(vec)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, m)
-    cost, model = best
+    def run(i: int):
+        m = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol=features, predictionCol="cluster").fit(vec)
+        return m.summary.trainingCost, i, m
+
+    with ThreadPoolExecutor(max_workers=PARALLEL_FITS) as pool:  # restarts share the cluster's free slots
+        cost, _, model = min(pool.map(run, range(n_init)), key=lambda r: r[:2])
     return KMeansResult(k, cost, model, model.transform(vec))
 
 
+def compact(vec: DataFrame) -> DataFrame:
+    """The vectors written once, in as many partitions as their number asks for (many fits read them)."""
+    ensure_checkpoint_dir(vec.sparkSession)
+    stored = vec.checkpoint()
+    return stored.coalesce(max(1, -(-stored.count() // ROWS_PER_PARTITION))).checkpoint()
+
+
 def choose_k(vec: DataFrame, seed: int = 42, max_k: int = 10, n_init: int = 10,
              features: str = "features") -> tuple[int, DataFrame]:
     """K4: k in [2, min(max_k, n - 1)] with the highest silhouette; first best wins.
@@ -110,7 +114,8 @@ def fit_predict(traj: DataFrame, k: int | None = None, seed: int = 42, n_init: i
                       eps, min_samples)
     if method != "kmeans":
         raise ValueError(f"unknown clustering method {method!r}")
-    vec = assemble(z, [c + "_z" for c in CLUSTER_FEATURES]).select("trajectory_id", "features").cache()
+    vec = assemble(z, [c + "_z" for c in CLUSTER_FEATURES]).select("trajectory_id", "features")
+    vec = compact(vec)
     if k is None:
         k, _ = choose_k(vec, seed, max_k, n_init)
     labeled = best_of_kmeans(vec, k, seed, n_init).labeled

@@ -55,7 +55,7 @@ def _blocked(points: DataFrame, n_blocks: int) -> tuple[DataFrame, DataFrame]:
 
 def dbscan(df: DataFrame, vec: str = "vec", id_col: str = "trajectory_id", order: str | None = None,
            eps: float = 0.5, min_samples: int = 5, dims: tuple[int, int, int] = (0, 1, 2),
-           block_rows: int = BLOCK_ROWS, max_rounds: int = 200) -> DataFrame:
+           block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``id, cluster`` for every row (``-1`` = noise). ``vec`` is ``array<double>``."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -133,9 +133,9 @@ def dbscan(df: DataFrame, vec: str = "vec", id_col: str = "trajectory_id", order
     und = core_edges.unionByName(core_edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct() \
         .checkpoint()
 
-    # connected components: min-id label propagation with pointer jumping
+    # connected components: min-id label propagation with pointer jumping, until no label changes
     lab = flagged.where("core").select("id", F.col("id").alias("lab")).checkpoint()
-    for _ in range(max_rounds):
+    while True:
         via = und.join(lab.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.min("lab").alias("nl"))
         new = (lab.join(via.withColumnRenamed("a", "id"), "id", "left")
                .select("id", F.least("lab", F.coalesce("nl", "lab")).alias("lab")))

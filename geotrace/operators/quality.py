@@ -1,16 +1,16 @@
 """Validation, profiling and cleaning.
 
 Profiles are single aggregates. Cleaning works on the unioned train/test frame with a
-``split`` column; the first-occurrence dedup is a ``min_by`` aggregate, which is
-partially aggregated, so an id repeated millions of times is collapsed map-side
-instead of being gathered into one window partition.
+``split`` column; the first-occurrence dedup is ``row_number() = 1``, which Spark runs
+as a map-side group limit first, so an id repeated millions of times leaves each task
+as one row.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,10 +93,8 @@ def dedup_first(df: DataFrame, keys: tuple[str, ...] = ("split", "trajectory_id"
 
     NULL ids form one group per split, so the first NULL-id row is kept, as pandas does.
     """
-    cols = df.columns
-    row = F.struct(*[F.col(c) for c in cols])
-    g = df.groupBy(*keys).agg(F.min_by(row, F.col(order)).alias("_r"))
-    return g.select(*[F.col(f"_r.{c}").alias(c) for c in cols])
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
+    return df.withColumn("_rn", first).where("_rn = 1").drop("_rn")
 
 
 def coerce_numeric(df: DataFrame) -> DataFrame:

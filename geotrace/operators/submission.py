@@ -38,13 +38,17 @@ def predict_latlon(model, design: DataFrame, targets: tuple[str, str] = ("dx", "
     return p.select("trajectory_id", la.alias("latitude_pred"), lo.alias("longitude_pred"))
 
 
-def build_submission(pred: DataFrame, traj: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def build_submission(pred: DataFrame, traj: DataFrame, a: str = "a", b: str = "b", unit: str | None = None) -> DataFrame:
     """``trajectory_id, latitude_pred, longitude_pred`` from raw two-column predictions.
 
-    If any absolute value exceeds 180 the predictions are metres (dx, dy) from the path
-    start and are converted per id; ids without a path keep their raw values.
+    ``unit`` is "meters" or "degrees". Without it, any absolute value over 180 means that the
+    predictions are metres (dx, dy) from the path start. Metres are converted per id; ids
+    without a path keep their raw values.
     """
-    is_metres = pred.select(F.max(F.greatest(F.abs(F.col(a)), F.abs(F.col(b)))) > 180).scalar()
+    if unit is None:
+        is_metres = pred.select(F.max(F.greatest(F.abs(F.col(a)), F.abs(F.col(b)))) > 180).scalar()
+    else:
+        is_metres = F.lit(unit == "meters")
     j = pred.join(path_starts(traj), "trajectory_id", "left")
     la, lo = geo.from_local_xy("start_lat", "start_lon", F.col(a), F.col(b))
     conv = is_metres & F.col("start_lat").isNotNull() & F.col("start_lon").isNotNull()

@@ -16,6 +16,7 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,8 +47,9 @@ def balanced_folds(df: DataFrame, k: int = 10, order: str = "ingest_seq", seed:
 
     The rank is exact and distributed (see ranking.global_rank).
     """
-    r = global_rank(df.withColumn("_h", hash32(order, seed)), [F.col("_h"), F.col(order)], "_r")
-    return r.withColumn(name, F.pmod(F.col("_r"), F.lit(k)).cast("int")).drop("_h", "_r")
+    keys = df.select(order, hash32(order, seed).alias("_h"))  # only the unique order numbers are ranked
+    r = global_rank(keys, [F.col("_h"), F.col(order)], "_r")
+    return df.join(r.select(order, F.pmod(F.col("_r"), F.lit(k)).cast("int").alias(name)), order)
 
 
 def balanced_group_folds(df: DataFrame, k: int = 10, group: str = "trajectory_id", seed: int = 42,
@@ -185,23 +187,31 @@ def validate_models(design: DataFrame, models: list[NamedModel], model_paralleli
                     **kw) -> tuple[DataFrame, list[CVResult]]:
     """CV every model (several at once), isolating failures; returns (ranking, results).
 
+    A model that fails stays in the ranking, last, with its error text in ``error``.
+
     Each model's folds run in parallel too (``parallelism``); Spark schedules the
     concurrent fits like ``CrossValidator(parallelism=...)`` does.
     """
     def one(m: NamedModel):
         try:
             return cross_validate(design, m, **kw)
-        except Exception:  # noqa: BLE001  a failing model is skipped, as in the reference
-            return None
+        except Exception as e:  # noqa: BLE001  a failing model doesn't stop the others
+            return (m.name, f"{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"[:500])
 
     with ThreadPoolExecutor(max_workers=max(1, model_parallelism)) as ex:
-        results = [r for r in ex.map(one, models) if r is not None]
+        found = list(ex.map(one, models))
+    results = [r for r in found if isinstance(r, CVResult)]
+    failed = [r for r in found if not isinstance(r, CVResult)]
     if not results:
-        raise RuntimeError("no model could be validated")
+        raise RuntimeError(f"no model could be validated: {failed}")
     rows = results[0].folds
     for r in results[1:]:
         rows = rows.unionByName(r.folds)
-    return rank_models(rows), results
+    ranking = rank_models(rows).withColumn("error", F.lit(None).cast("string"))
+    if failed:
+        lost = design.sparkSession.createDataFrame(failed, "model_name string, error string")
+        ranking = ranking.unionByName(lost, allowMissingColumns=True)
+    return ranking.orderBy(F.col("mean_error").asc_nulls_last(), "model_name"), results
 
 
 def refit_best(design: DataFrame, models: list[NamedModel], ranking: DataFrame,
@@ -233,10 +243,13 @@ SEARCH_SPACES = {
 }
 
 
-def trial_table(spark: SparkSession, model_name: str, n_trials: int, seed: int = 42) -> DataFrame:
-    """Seeded random-search trials, one row per trial, parameters drawn from hashed uniforms."""
+def trial_table(spark: SparkSession, model_name: str, n_trials: int, seed: int = 42,
+                space: dict[str, tuple] | None = None) -> DataFrame:
+    """Seeded random-search trials, one row per trial, parameters drawn from hashed uniforms.
+
+    ``space`` replaces ranges of the model's own space, e.g. a shorter range of rounds."""
     import math
-    space = SEARCH_SPACES[model_name]
+    space = SEARCH_SPACES[model_name] | (space or {})
     t = spark.range(n_trials).withColumnRenamed("id", "trial")
     for p, spec in space.items():
         u = uniform(seed, "trial", tag=p)
@@ -256,14 +269,20 @@ def trial_table(spark: SparkSession, model_name: str, n_trials: int, seed: int =
     return t
 
 
-def random_search(design: DataFrame, model_name: str, n_trials: int, make, seed: int = 42, **cv_kw) -> DataFrame:
-    """CV every trial's parameters; ``trials(trial, params..., mean_error)`` ascending."""
-    trials = trial_table(design.sparkSession, model_name, n_trials, seed).collect()  # n_trials rows
-    rows = []
-    for t in trials:
+def random_search(design: DataFrame, model_name: str, n_trials: int, make, seed: int = 42,
+                  space: dict[str, tuple] | None = None, trial_parallelism: int = 3, **cv_kw) -> DataFrame:
+    """CV every trial's parameters; ``trials(trial, params..., mean_error)`` ascending.
+
+    The parameters reported are those that ran; ``make`` must not change them."""
+    trials = trial_table(design.sparkSession, model_name, n_trials, seed, space).collect()  # n_trials rows
+
+    def one(t):
         params = {k: v for k, v in t.asDict().items() if k != "trial"}
         res = cross_validate(design, NamedModel(model_name, make(params)), **cv_kw)
-        rows.append((int(t["trial"]), json.dumps(params, sort_keys=True), float(res.mean_error)))
+        return int(t["trial"]), json.dumps(params, sort_keys=True), float(res.mean_error)
+
+    with ThreadPoolExecutor(max_workers=max(1, trial_parallelism)) as ex:
+        rows = list(ex.map(one, trials))
     spark = design.sparkSession
     return spark.createDataFrame(rows, "trial long, params string, mean_error double").orderBy("mean_error", "trial")
 
@@ -278,6 +297,8 @@ def read_best_params(spark: SparkSession, path: str) -> dict[str, dict]:
     """Read what :func:`write_best_params` wrote ({} when absent)."""
     try:
         row = spark.read.text(path).first()
-    except Exception:  # noqa: BLE001
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return {}
     return json.loads(row[0]) if row else {}

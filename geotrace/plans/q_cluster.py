@@ -11,9 +11,9 @@ from geotrace.plans.common import clean_split
 from geotrace.plans.registry import register
 from geotrace.plans.rounding import round_frame, round_sql
 
-# Query-size settings: fewer restarts and a smaller k range than the library defaults (10, 10).
-N_INIT = 3
-MAX_K = 6
+# The library's restarts and k range; the labelled queries take k as a parameter, as cluster_best_k chooses it.
+N_INIT = 10
+MAX_K = 10
 K_FIXED = 3
 
 
@@ -60,7 +60,8 @@ def cluster_kmeans(spark, sf_dir):
 def cluster_best_k(spark, sf_dir):
     cf = K.cluster_features(clean_split(spark, sf_dir, "train"))
     z = K.standardize(cf, K.CLUSTER_FEATURES, "_z")
-    vec = K.assemble(z, [c + "_z" for c in K.CLUSTER_FEATURES]).select("trajectory_id", "features").cache()
+    vec = K.assemble(z, [c + "_z" for c in K.CLUSTER_FEATURES]).select("trajectory_id", "features")
+    vec = K.compact(vec)
     _, table = K.choose_k(vec, max_k=MAX_K, n_init=N_INIT)
     return table
 

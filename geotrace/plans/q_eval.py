@@ -234,3 +234,75 @@ def prediction_stats_q(spark, sf_dir):
     from geotrace.operators.submission import prediction_stats
     stats, _ = prediction_stats(baseline(spark, sf_dir))
     return stats.select("count", *[rnd(c, "coord").alias(c) for c in ("min_lat", "max_lat", "min_lon", "max_lon")])
+
+
+@register("prediction_first", oracle.with_derived(oracle.CLEAN_TRAIN, _CLEAN_TEST) + f"""
+SELECT trajectory_id, {round_sql('m.a', 'coord')} AS latitude_pred, {round_sql('m.o', 'coord')} AS longitude_pred
+FROM cte_ t, (SELECT avg(dest_lat) AS a, avg(dest_lon) AS o FROM ctr) m ORDER BY trajectory_id LIMIT 5""")
+def prediction_first(spark, sf_dir):
+    """The report's table of the first five predictions (a top-k report)."""
+    from geotrace.operators.submission import prediction_stats
+    _, first = prediction_stats(baseline(spark, sf_dir))
+    return first.select("trajectory_id", rnd("latitude_pred", "coord").alias("latitude_pred"), rnd("longitude_pred", "coord").alias("longitude_pred"))
+
+
+# --- X6: GeoJSON text and centre of the map -------------------------------------------------
+
+def _geojson_sql() -> str:
+    def layer(name, src):
+        return f"""SELECT '{name}' AS layer, trajectory_id, '{{"type":"Feature","geometry":{{"type":"LineString","coordinates":[' || xy ||
+  ']}},"properties":{{"trajectory_id":"' || trajectory_id || '","layer":"{name}"}}}}' AS geojson
+FROM (SELECT * FROM {src} JOIN xy_ USING (trajectory_id) WHERE n_path > 1 ORDER BY ingest_seq, trajectory_id LIMIT {N_LAYER})"""
+    return oracle.with_derived(oracle.CLEAN_TRAIN, _CLEAN_TEST, """
+xy_ AS (SELECT trajectory_id, string_agg('[' || CAST(lon AS VARCHAR) || ',' || CAST(lat AS VARCHAR) || ']', ',' ORDER BY pos) AS xy
+        FROM pts GROUP BY trajectory_id)""") + "\n" + layer("train", "ctr") + "\nUNION ALL\n" + layer("test", "cte_")
+
+
+@register("map_geojson", _geojson_sql())
+def map_geojson(spark, sf_dir):
+    train, test = (clean_split(spark, sf_dir, s) for s in ("train", "test"))
+    return map_layers(train, test, None, N_LAYER, N_LAYER).select("layer", "trajectory_id", "geojson")
+
+
+@register("map_centre", oracle.with_derived(oracle.CLEAN_TRAIN) + f"""
+SELECT {round_sql('coalesce(avg(lat), 39.9)', 'coord')} AS lat, {round_sql('coalesce(avg(lon), 116.4)', 'coord')} AS lon
+FROM pts JOIN (SELECT trajectory_id FROM ctr ORDER BY ingest_seq, trajectory_id LIMIT 100) USING (trajectory_id)""")
+def map_centre_q(spark, sf_dir):
+    """The centre is defined over the first 100 training rows."""
+    from geotrace.operators.submission import map_centre
+    c = map_centre(clean_split(spark, sf_dir, "train"))
+    one = spark.range(1).select(c.alias("c"))
+    return one.select(rnd("c.lat", "coord").alias("lat"), rnd("c.lon", "coord").alias("lon"))
+
+
+# --- E7, and X7 for one id and with ellipsoidal distances ------------------------------------
+
+_EVAL = {"mean_haversine_km": ("avg(d)", "km"), "mse_latitude": ("avg(pow(lat_true - lat_pred, 2))", "unit"),
+         "mse_longitude": ("avg(pow(lon_true - lon_pred, 2))", "unit"), "mae_latitude": ("avg(abs(lat_true - lat_pred))", "unit"),
+         "mae_longitude": ("avg(abs(lon_true - lon_pred))", "unit")}
+
+
+@register("evaluate", _pred_sql("SELECT " + ", ".join(f"{round_sql(e, u)} AS {k}" for k, (e, u) in _EVAL.items()) + " FROM pd_"))
+def evaluate_q(spark, sf_dir):
+    m = validation.evaluate(last_point_predictions(spark, sf_dir))
+    return m.select(*[rnd(k, u).alias(k) for k, (_, u) in _EVAL.items()])
+
+
+ONE_ID = "3_4"  # a trajectory of the test split at every scale
+
+
+@register("comparison_one", "SELECT * FROM (" + _comparison_sql() + f") WHERE trajectory_id = '{ONE_ID}'")
+def comparison_one(spark, sf_dir):
+    from geotrace.operators.submission import trajectory_comparison
+    test = clean_split(spark, sf_dir, "test")
+    c = trajectory_comparison(test, baseline(spark, sf_dir), ONE_ID, geodesic=False)
+    kinds = {"last_lat": "coord", "last_lon": "coord", "latitude_pred": "coord", "longitude_pred": "coord",
+             "distance_km": "km", "mid_lat": "coord", "mid_lon": "coord"}
+    return c.select("trajectory_id", "split", *[rnd(k, v).alias(k) for k, v in kinds.items()])
+
+
+@register("comparison_geodesic")
+def comparison_geodesic(spark, sf_dir):
+    """Iterative ellipsoidal distances have no SQL twin; tests hold them to known pairs."""
+    c = prediction_comparison(clean_split(spark, sf_dir, "test"), baseline(spark, sf_dir), geodesic=True)
+    return c.select("trajectory_id", rnd("distance_km", "km").alias("distance_km"))

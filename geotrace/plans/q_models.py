@@ -31,6 +31,7 @@ SMALL = {
     "BaggedGB": dict(maxIter=10),
 }
 CV_FOLDS = 3
+SEARCH_RANGE = {"maxIter": ("int", 5, 20)}  # rounds are drawn from this range; the output states what ran
 COLS = [c for c in FEATURE_NAMES if c not in LEAKY_FEATURES]
 
 
@@ -109,10 +110,8 @@ def random_search(spark, sf_dir):
     prep, d = _cv_design(spark, sf_dir)
 
     def make(params):
-        p = dict(params)
-        p["maxIter"] = min(int(p.get("maxIter", 20)), 20)
-        return builder("GradientBoosting", None, p)
-    return V.random_search(d, "GradientBoosting", 3, make, targets=prep.target_cols, k=CV_FOLDS, y_unit="meters")
+        return builder("GradientBoosting", None, dict(params))
+    return V.random_search(d, "GradientBoosting", 3, make, space=SEARCH_RANGE, targets=prep.target_cols, k=CV_FOLDS, y_unit="meters")
 
 
 @register("quick_experiment")

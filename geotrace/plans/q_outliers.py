@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from geotrace.operators import outliers as O
@@ -109,6 +111,27 @@ def outlier_combined(spark, sf_dir):
     return O.combine(_masks(spark, sf_dir), "any").select("trajectory_id", "is_outlier")
 
 
+@register("outlier_combined_all", _sql("SELECT trajectory_id, is_geographic AND is_trajectory AND is_target AS is_outlier FROM mk_"))
+def outlier_combined_all(spark, sf_dir):
+    return O.combine(_masks(spark, sf_dir), "all").select("trajectory_id", "is_outlier")
+
+
+def _default_masks_sql() -> str:
+    d = O.OutlierConfig.reference_defaults()
+    ctr = _CTR
+    for own, other in (("18.0", d.lat_range[0]), ("54.0", d.lat_range[1]), ("73.0", d.lon_range[0]), ("135.0", d.lon_range[1]),
+                       ("km > 200.0", f"km > {d.max_jump_km}"), ("> 500.0)", f"> {d.max_speed_kmh})")):
+        ctr = ctr.replace(own, str(other))
+    return oracle.with_derived(ctr) + "\nSELECT trajectory_id, is_geographic, is_trajectory, is_target FROM mk_"
+
+
+@register("outlier_masks_default", _default_masks_sql())
+def outlier_masks_default(spark, sf_dir):
+    """O1, O3, O4 with the detector's own defaults (world box, 500 km, 800 km/h)."""
+    m = O.add_path_masks(clean_train(spark, sf_dir), O.OutlierConfig.reference_defaults())
+    return m.select("trajectory_id", "is_geographic", "is_trajectory", "is_target")
+
+
 _CAP = f"""
 sh_ AS (SELECT count(*) AS total, count(*) FILTER (WHERE is_outlier) AS flagged FROM cb_),
 rk_ AS (
@@ -168,10 +191,44 @@ def outlier_isolation(spark, sf_dir):
         "trajectory_id", "anomaly_score", "is_features_isolation")
 
 
-@register("augment")
+# --- A1-A4: every point after augmentation; the draws are MD5 bits, so SQL can repeat them ---
+
+AUGMENT_SEED = 42
+
+
+def _draw(tag: str, i: str | None = None) -> str:
+    key = f"'{AUGMENT_SEED}:{tag}:' || trajectory_id" + (f" || ':' || CAST({i} AS VARCHAR)" if i else "")
+    return f"(CAST('0x' || substr(md5({key}), 1, 13) AS BIGINT) / pow(2, 52))"
+
+
+def _augment_sql() -> str:
+    r = oracle.R_M
+    normal = lambda tag: f"sqrt(-2 * ln(1 - {_draw(tag + '1', 'pos')})) * cos({2 * math.pi!r} * {_draw(tag + '2', 'pos')})"
+
+    def back(lat0, lon0, dx, dy):
+        phi = f"(radians({lat0}) + {dy} / {r})"
+        return f"degrees({phi})", f"degrees(radians({lon0}) + {dx} / ({r} * cos(({phi} + radians({lat0})) / 2)))"
+
+    j_lat, j_lon = back("lat", "lon", f"(5.0 * {normal('jx')})", f"(5.0 * {normal('jy')})")
+    r_lat, r_lon = back("c_lat", "c_lon", "(dx * cos(th) - dy * sin(th))", "(dx * sin(th) + dy * cos(th))")
+    return _sql(f"""SELECT trajectory_id, method, CAST(row_number() OVER (PARTITION BY trajectory_id ORDER BY pos) - 1 AS BIGINT) AS pos,
+  round(CASE method WHEN 'jitter' THEN {j_lat} WHEN 'rotate' THEN {r_lat} ELSE lat END, 7) AS lat,
+  round(CASE method WHEN 'jitter' THEN {j_lon} WHEN 'rotate' THEN {r_lon} ELSE lon END, 7) AS lon
+FROM ap_ WHERE method IS DISTINCT FROM 'drop' OR n_path <= 2 OR pos = 0 OR pos = n_path - 1 OR {_draw('drop', 'pos')} >= 0.1""", f"""
+am_ AS (SELECT *, CASE WHEN n_path > 0 AND {_draw('apply')} < 0.5 THEN
+    ['jitter', 'drop', 'rotate'][CAST(floor({_draw('method')} * 3) AS INT) + 1] END AS method,
+    (-10.0 + 20.0 * {_draw('angle')}) * {math.pi / 180!r} AS th FROM ctr),
+ac_ AS (SELECT *, avg(lat) OVER (PARTITION BY trajectory_id) AS c_lat, avg(lon) OVER (PARTITION BY trajectory_id) AS c_lon
+        FROM am_ JOIN pts USING (trajectory_id)),
+ap_ AS (SELECT *, (radians(lon) - radians(c_lon)) * cos((radians(lat) + radians(c_lat)) / 2) * {r} AS dx,
+               (radians(lat) - radians(c_lat)) * {r} AS dy FROM ac_)""")
+
+
+@register("augment", _augment_sql())
 def augment_q(spark, sf_dir):
-    """A1-A4 on the cleaned training split (p = 0.5, seed 42): id, method, point count."""
+    """A1-A4 on the cleaned training split (p = 0.5, seed 42): every point with its path's method."""
     from geotrace.operators.augment import augment
-    a = augment(clean_train(spark, sf_dir), p=0.5, seed=42)
-    return a.select("trajectory_id", "method", F.size("path_lat").cast("long").alias("num_points"),
-                    F.element_at("path_lat", 1).alias("start_lat"), F.element_at("path_lat", -1).alias("end_lat"))
+    a = augment(clean_train(spark, sf_dir), p=0.5, seed=AUGMENT_SEED)
+    p = a.select("trajectory_id", "method", F.posexplode(F.arrays_zip("path_lat", "path_lon")).alias("pos", "p"))
+    return p.select("trajectory_id", "method", F.col("pos").cast("long").alias("pos"),
+                    F.round("p.path_lat", 7).alias("lat"), F.round("p.path_lon", 7).alias("lon"))

@@ -9,7 +9,7 @@ from geotrace.operators import quality
 from geotrace.plans import oracle
 from geotrace.plans.registry import register
 from geotrace.plans.rounding import rnd, round_sql
-from geotrace.sources.fixtures import gps_raw, gps_trajectories
+from geotrace.sources.fixtures import gps_raw, gps_raw_dirty, gps_trajectories
 from geotrace.sources.io import parse_trajectories
 
 # --- S3/S4: list text -> arrays, checked point by point against the integer recipe ---------
@@ -78,6 +78,60 @@ register("clean_train", _clean_sql("train"))(_clean_query("train"))
 register("clean_test", _clean_sql("test"))(_clean_query("test"))
 
 
+# --- the same steps on dirty input: every rule removes or changes rows --------------------
+
+_DIRTY_ROWS = """SELECT CASE WHEN s % 13 = 3 THEN '128_20090222093321' ELSE trajectory_id END AS trajectory_id, split,
+    CASE WHEN s % 23 = 9 THEN 'bad' WHEN s % 29 = 11 THEN 'all' WHEN s % 31 = 2 THEN 'one' WHEN s % 37 = 4 THEN 'none' ELSE 'all' END AS kind,
+    path_lat, path_lon, {dest_lat} AS dest_lat, {null_lat} AS null_lat, CASE WHEN s % 19 <> 7 THEN dest_lon END AS dest_lon,
+    CASE WHEN s % 41 = 6 THEN 95.5 WHEN s % 43 = 8 THEN NULL ELSE 10 END AS start_lat, s + {more} AS ingest_seq
+  FROM (SELECT *, ingest_seq AS s FROM trj_arr) {where}"""
+_DIRTY = "dr_ AS (" + _DIRTY_ROWS.format(
+    dest_lat="CASE WHEN split = 'train' AND s % 17 = 5 THEN NULL ELSE dest_lat END", null_lat="dest_lat IS NULL", more=0, where="") \
+    + "\n  UNION ALL\n" + _DIRTY_ROWS.format(dest_lat="1.5", null_lat="FALSE", more=1_000_000, where="WHERE s % 11 = 0") + """),
+dp_ AS (SELECT * EXCLUDE (path_lat, path_lon),
+    CASE kind WHEN 'all' THEN path_lat WHEN 'one' THEN path_lat[1:1] ELSE [] END AS path_lat,
+    CASE kind WHEN 'all' THEN path_lon WHEN 'one' THEN path_lon[1:1] ELSE [] END AS path_lon FROM dr_)"""
+
+
+@register("parse_dirty", oracle.with_derived(_DIRTY) + f"""
+SELECT ingest_seq, CAST(len(path_lat) AS BIGINT) AS n_lat, CAST(len(path_lon) AS BIGINT) AS n_lon,
+  {round_sql('list_sum(path_lat)', 'm')} AS sum_lat FROM dp_""")
+def parse_dirty(spark, sf_dir):
+    t = parse_trajectories(gps_raw_dirty(spark, sf_dir))
+    total = F.when(F.size("path_lat") > 0, F.aggregate("path_lat", F.lit(0.0), lambda a, x: a + x))
+    return t.select("ingest_seq", F.size("path_lat").cast("long").alias("n_lat"), F.size("path_lon").cast("long").alias("n_lon"),
+                    rnd(total, "m").alias("sum_lat"))
+
+
+@register("null_profile_dirty", oracle.with_derived(_DIRTY) + """
+SELECT split, count(*) AS rows, CAST(sum(CAST(null_lat AS INT) + CAST(dest_lon IS NULL AS INT)) AS BIGINT) AS null_cells,
+  count(*) FILTER (WHERE len(path_lat) = 0) AS empty_paths FROM dp_ GROUP BY split""")
+def null_profile_dirty(spark, sf_dir):
+    return quality.null_profile(parse_trajectories(gps_raw_dirty(spark, sf_dir)))
+
+
+def _dirty_sql(split: str) -> str:
+    more = "AND len(path_lat) >= 2 AND dest_lat IS NOT NULL AND dest_lon IS NOT NULL" if split == "train" else ""
+    return oracle.with_derived(_DIRTY) + f"""
+SELECT trajectory_id, CAST(len(path_lat) AS BIGINT) AS num_points, {round_sql('dest_lat', 'coord')} AS dest_lat,
+  {round_sql('dest_lon', 'coord')} AS dest_lon, ingest_seq
+FROM (SELECT *, row_number() OVER (PARTITION BY split, trajectory_id ORDER BY ingest_seq) AS rn FROM dp_
+      WHERE NOT (split = 'train' AND trajectory_id = '128_20090222093321'))
+WHERE rn = 1 AND split = '{split}' AND coalesce(start_lat BETWEEN -90 AND 90, TRUE) {more}"""
+
+
+def _dirty_query(split):
+    def build(spark, sf_dir):
+        c = quality.clean(parse_trajectories(gps_raw_dirty(spark, sf_dir))).where(F.col("split") == split)
+        return c.select("trajectory_id", F.size("path_lat").cast("long").alias("num_points"),
+                        rnd("dest_lat", "coord").alias("dest_lat"), rnd("dest_lon", "coord").alias("dest_lon"), "ingest_seq")
+    return build
+
+
+register("clean_train_dirty", _dirty_sql("train"))(_dirty_query("train"))
+register("clean_test_dirty", _dirty_sql("test"))(_dirty_query("test"))
+
+
 # --- G5/G6: destination in local metres from the path start, and back ----------------------
 
 def _xy_sql() -> str:

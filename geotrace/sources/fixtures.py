@@ -135,6 +135,31 @@ def gps_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.to_json("path_lon").alias("path_lon"), "dest_lat", "dest_lon", "ingest_seq")
 
 
+def gps_raw_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`gps_raw` with dirt by integer rule on ``s = ingest_seq``, so that every cleaning rule removes rows.
+
+    Excluded ids (s % 13 = 3), malformed (s % 23 = 9), tuple (s % 29 = 11), one-point (s % 31 = 2) and empty
+    (s % 37 = 4) path text, text (s % 17 = 5) and NULL (s % 19 = 7) targets, out-of-range (s % 41 = 6) and text
+    (s % 43 = 8) starts, and later duplicates with other targets (s % 11 = 0). The first rule that fits a path wins.
+    """
+    t = gps_trajectories(spark, sf_dir)
+    s = F.col("ingest_seq")
+
+    def text(path: str):
+        whole = F.to_json(path)
+        return (F.when(s % 23 == 9, "[1.0, 2.0").when(s % 29 == 11, F.translate(whole, "[]", "()"))
+                .when(s % 31 == 2, F.to_json(F.slice(path, 1, 1))).when(s % 37 == 4, "[]").otherwise(whole))
+
+    lat = F.when((F.col("split") == "train") & (s % 17 == 5), "abc").otherwise(F.col("dest_lat").cast("string"))
+    lon = F.when(s % 19 != 7, F.col("dest_lon").cast("string"))
+    start = F.when(s % 41 == 6, "95.5").when(s % 43 == 8, "n/a").otherwise("10")
+    rows = t.select(F.when(s % 13 == 3, "128_20090222093321").otherwise(F.col("trajectory_id")).alias("trajectory_id"), "split",
+                    text("path_lat").alias("path_lat"), text("path_lon").alias("path_lon"), lat.alias("dest_lat"),
+                    lon.alias("dest_lon"), start.alias("start_lat"), "ingest_seq")
+    again = rows.where(s % 11 == 0).withColumns({"dest_lat": F.lit("1.5"), "ingest_seq": s + 1_000_000})
+    return rows.unionByName(again)
+
+
 def train_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gps_trajectories(spark, sf_dir).where(F.col("split") == "train")
 

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,40 +53,54 @@ def parse_trajectories(df: DataFrame) -> DataFrame:
     return out
 
 
-def read_trajectory_csv(spark: SparkSession, path: str, split: str) -> DataFrame:
-    """Read a train or test CSV with header (S1). Test files have no ``dest_*`` columns.
-
-    ``ingest_seq`` is ``monotonically_increasing_id()`` of the scan: increasing in file
-    order inside each file split, which gives "first occurrence" rules (C2) a
-    deterministic meaning for a given input layout.
-    """
+def _read_raw_csv(spark: SparkSession, path: str, split: str) -> DataFrame:
+    """Text columns of a train or test CSV with the place of each row: file, block and row number."""
     header = spark.read.option("header", True).csv(path).columns
     fields = [f for f in RAW_SCHEMA.fields if f.name in header]
     df = (spark.read.schema(T.StructType(fields)).option("header", True).option("quote", '"')
           .option("escape", '"').option("mode", "PERMISSIVE").csv(path))
+    df = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
     for c in ("dest_lat", "dest_lon"):
         if c not in df.columns:
             df = df.withColumn(c, F.lit(None).cast("string"))
-    df = df.withColumn("split", F.lit(split)).withColumn("ingest_seq", F.monotonically_increasing_id())
-    return parse_trajectories(df)
+    return df.withColumn("split", F.lit(split)).withColumn("_row", F.monotonically_increasing_id())
+
+
+def _in_source_order(raw: DataFrame) -> DataFrame:
+    """Dense ``ingest_seq`` by (train before test, file name, position): Spark reads larger files first, so
+    the scan's own numbering doesn't follow file order. Row numbers rise inside a block, so one row for each
+    (file, block) with its count gives the offsets; that table has as many rows as the input has splits."""
+    place = ["split", "_file", "_block"]
+    blocks = raw.groupBy(*place).agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(F.col("split").desc(), "_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select(*place, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    seq = F.col("_offset") + F.col("_row") - F.col("_first")
+    return parse_trajectories(raw.join(offsets, place).withColumn("ingest_seq", seq).drop("_file", "_block", "_row", "_first", "_offset"))
+
+
+def read_trajectory_csv(spark: SparkSession, path: str, split: str) -> DataFrame:
+    """Read a train or test CSV with header (S1). Test files have no ``dest_*`` columns.
+
+    ``ingest_seq`` numbers the rows from 0 by file name and position in the file, which gives "first
+    occurrence" rules (C2) the same meaning for every layout of files and splits.
+    """
+    return _in_source_order(_read_raw_csv(spark, path, split))
 
 
 def load_data(spark: SparkSession, train_path: str, test_path: str) -> DataFrame:
-    """Train and test as one frame with a ``split`` column."""
-    tr = read_trajectory_csv(spark, train_path, "train")
-    te = read_trajectory_csv(spark, test_path, "test")
-    return tr.unionByName(te)
+    """Train and test as one frame with a ``split`` column (S1); test rows are numbered after train rows."""
+    return _in_source_order(_read_raw_csv(spark, train_path, "train").unionByName(_read_raw_csv(spark, test_path, "test")))
 
 
 def read_optional_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     """Read a CSV only if it exists (S2); None otherwise."""
+    r = spark.read.option("header", True)
+    r = r.schema(schema) if schema is not None else r
     try:
-        r = spark.read.option("header", True)
-        r = r.schema(schema) if schema is not None else r
-        df = r.csv(path)
-        df.schema  # noqa: B018  resolves the path
-        return df
-    except Exception:  # noqa: BLE001
+        return r.csv(path)  # resolves the path
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -115,19 +130,17 @@ def write_submission(pred: DataFrame, base_dir: str, model_name: str, when: _dt.
 
 
 def latest_submission(spark: SparkSession, pattern: str) -> DataFrame:
-    """Rows of the newest submission among files matching ``pattern``.
+    """Rows of the newest submission among the paths matching ``pattern``.
 
-    A Spark-written submission is a directory of part files, so files are grouped by their
-    parent directory, and the newest group (by latest modification time) wins. The choice
-    is a 1-row aggregate attached as a scalar subquery.
+    A Spark-written submission is a directory of part files. The newest path (by modification time, then by
+    name) is chosen from the file listing, and only that one is read.
     """
-    df = (spark.read.schema(SUBMISSION_SCHEMA).option("header", True).csv(pattern)
-          .select("*", F.col("_metadata.file_path").alias("_file"),
-                  F.col("_metadata.file_modification_time").alias("_mtime")))
-    df = df.withColumn("_sub", F.regexp_extract("_file", r"^(.*?/submission_[^/]*)", 1))
-    df = df.withColumn("_sub", F.when(F.col("_sub") == "", F.col("_file")).otherwise(F.col("_sub")))
-    newest = df.groupBy("_sub").agg(F.max("_mtime").alias("m")).select(F.max_by("_sub", "m")).scalar()
-    return df.where(F.col("_sub") == newest).select(*SUBMISSION_COLUMNS)
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    if not found:
+        raise FileNotFoundError(pattern)
+    newest = max(found, key=lambda s: (s.getModificationTime(), s.getPath().toString()))
+    return spark.read.schema(SUBMISSION_SCHEMA).option("header", True).csv(newest.getPath().toString()).select(*SUBMISSION_COLUMNS)
 
 
 def save_trajectory_table(df: DataFrame, table: str, buckets: int, path: str | None = None) -> None:

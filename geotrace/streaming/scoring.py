@@ -37,7 +37,7 @@ def score_batch(batch: DataFrame, model, prep: Prepared) -> DataFrame:
     pred = predict_latlon(model, va.transform(s), prep.target_cols,
                           "meters" if prep.target_cols == ("dx", "dy") else "degrees")
     raw = pred.select("trajectory_id", F.col("latitude_pred").alias("a"), F.col("longitude_pred").alias("b"))
-    return build_submission(raw, t)
+    return build_submission(raw, t, unit="degrees")  # not sniffed: one wild row must not re-scale its batch
 
 
 def score_stream(spark: SparkSession, source_dir: str, sink_dir: str, model, prep: Prepared,
