@@ -21,6 +21,7 @@ from geotrace.operators.quantiles import quantiles
 from geotrace.operators.ranking import global_rank
 
 MASKS = ["is_geographic", "is_bounds", "is_trajectory", "is_target", "is_features_iqr", "is_features_isolation"]
+MASKS_OF_PATHS = ["is_geographic", "is_trajectory", "is_target"]
 TYPE_NAMES = {"is_geographic": "geographic", "is_bounds": "bounds", "is_trajectory": "trajectory",
               "is_target": "target", "is_features_iqr": "features_iqr",
               "is_features_isolation": "features_isolation"}

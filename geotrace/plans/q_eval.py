@@ -10,7 +10,7 @@ from geotrace.operators.models import mean_baseline
 from geotrace.operators.quality import validate_submission
 from geotrace.operators.submission import build_submission, map_layers, prediction_comparison
 from geotrace.plans import oracle
-from geotrace.plans.common import clean_split
+from geotrace.plans.common import clean_split, clean_splits
 from geotrace.plans.registry import register
 from geotrace.plans.rounding import rnd, round_sql
 
@@ -77,7 +77,7 @@ FROM cte_ t, (SELECT avg(dest_lat) AS a, avg(dest_lon) AS o FROM ctr) m"""
 
 
 def baseline(spark, sf_dir):
-    return mean_baseline(clean_split(spark, sf_dir, "train"), clean_split(spark, sf_dir, "test"))
+    return mean_baseline(*clean_splits(spark, sf_dir))
 
 
 @register("baseline_submission", _BASELINE)
@@ -124,8 +124,7 @@ FROM cte_ t LEFT JOIN s0_ st USING (trajectory_id), off_ m"""
 
 @register("submission_build", _submission_build_sql())
 def submission_build(spark, sf_dir):
-    train = clean_split(spark, sf_dir, "train")
-    test = clean_split(spark, sf_dir, "test")
+    train, test = clean_splits(spark, sf_dir)
     s = train.select(F.get(F.col("path_lat"), F.lit(0)).alias("s_lat"), F.get(F.col("path_lon"), F.lit(0)).alias("s_lon"),
                      "dest_lat", "dest_lon")
     dx, dy = geo.to_local_xy("s_lat", "s_lon", F.col("dest_lat"), F.col("dest_lon"))
@@ -162,8 +161,8 @@ def knn_predict(spark, sf_dir):
         return df.where(F.size("path_lat") > 0).select(
             "trajectory_id", F.array(F.element_at("path_lat", -1), F.element_at("path_lon", -1)).alias("vec"),
             "dest_lat", "dest_lon")
-    q = ends(clean_split(spark, sf_dir, "test"))
-    r = ends(clean_split(spark, sf_dir, "train"))
+    train, test = clean_splits(spark, sf_dir)
+    q, r = ends(test), ends(train)
     p = knn.knn_predict(q, r, KNN_K, "trajectory_id", "trajectory_id", "vec", ("dest_lat", "dest_lon"))
     return p.select("trajectory_id", rnd("dest_lat", "coord").alias("latitude_pred"),
                     rnd("dest_lon", "coord").alias("longitude_pred"))
@@ -195,9 +194,8 @@ SELECT 'prediction', trajectory_id, 1, a, o, a, o FROM (SELECT * FROM bl_ ORDER
 
 @register("map_layers", _layers_sql())
 def map_layers_q(spark, sf_dir):
-    train = clean_split(spark, sf_dir, "train")
-    test = clean_split(spark, sf_dir, "test")
-    m = map_layers(train, test, baseline(spark, sf_dir), N_LAYER, N_LAYER, N_LAYER)
+    train, test = clean_splits(spark, sf_dir)
+    m = map_layers(train, test, mean_baseline(train, test), N_LAYER, N_LAYER, N_LAYER)
     return m.select("layer", "trajectory_id", F.col("n_coords").cast("long").alias("n_coords"),
                     *[rnd(c, "coord").alias(c) for c in ("start_lat", "start_lon", "end_lat", "end_lon")])
 
@@ -217,8 +215,8 @@ FROM cte_ t JOIN ep_ e USING (trajectory_id), (SELECT avg(dest_lat) AS a, avg(de
 
 @register("prediction_comparison", _comparison_sql())
 def prediction_comparison_q(spark, sf_dir):
-    test = clean_split(spark, sf_dir, "test")
-    c = prediction_comparison(test, baseline(spark, sf_dir))
+    train, test = clean_splits(spark, sf_dir)
+    c = prediction_comparison(test, mean_baseline(train, test))
     kinds = {"last_lat": "coord", "last_lon": "coord", "latitude_pred": "coord", "longitude_pred": "coord",
              "distance_km": "km", "mid_lat": "coord", "mid_lon": "coord"}
     return c.select("trajectory_id", "split", *[rnd(k, v).alias(k) for k, v in kinds.items()])
@@ -260,7 +258,7 @@ xy_ AS (SELECT trajectory_id, string_agg('[' || CAST(lon AS VARCHAR) || ',' || C
 
 @register("map_geojson", _geojson_sql())
 def map_geojson(spark, sf_dir):
-    train, test = (clean_split(spark, sf_dir, s) for s in ("train", "test"))
+    train, test = clean_splits(spark, sf_dir)
     return map_layers(train, test, None, N_LAYER, N_LAYER).select("layer", "trajectory_id", "geojson")
 
 
@@ -294,8 +292,8 @@ ONE_ID = "3_4"  # a trajectory of the test split at every scale
 @register("comparison_one", "SELECT * FROM (" + _comparison_sql() + f") WHERE trajectory_id = '{ONE_ID}'")
 def comparison_one(spark, sf_dir):
     from geotrace.operators.submission import trajectory_comparison
-    test = clean_split(spark, sf_dir, "test")
-    c = trajectory_comparison(test, baseline(spark, sf_dir), ONE_ID, geodesic=False)
+    train, test = clean_splits(spark, sf_dir)
+    c = trajectory_comparison(test, mean_baseline(train, test), ONE_ID, geodesic=False)
     kinds = {"last_lat": "coord", "last_lon": "coord", "latitude_pred": "coord", "longitude_pred": "coord",
              "distance_km": "km", "mid_lat": "coord", "mid_lon": "coord"}
     return c.select("trajectory_id", "split", *[rnd(k, v).alias(k) for k, v in kinds.items()])
@@ -304,5 +302,6 @@ def comparison_one(spark, sf_dir):
 @register("comparison_geodesic")
 def comparison_geodesic(spark, sf_dir):
     """Iterative ellipsoidal distances have no SQL twin; tests hold them to known pairs."""
-    c = prediction_comparison(clean_split(spark, sf_dir, "test"), baseline(spark, sf_dir), geodesic=True)
+    train, test = clean_splits(spark, sf_dir)
+    c = prediction_comparison(test, mean_baseline(train, test), geodesic=True)
     return c.select("trajectory_id", rnd("distance_km", "km").alias("distance_km"))

@@ -13,6 +13,7 @@ from geotrace.plans import oracle
 from geotrace.plans.common import materialized_features
 from geotrace.plans.registry import register
 from geotrace.plans.rounding import rnd
+from geotrace.session import stored
 from geotrace.sources.fixtures import gps_trajectories
 
 CFG = O.OutlierConfig()          # the pipeline's settings: box 18-54 / 73-135, 200 km, 500 km/h
@@ -146,7 +147,7 @@ rk_ AS (
        ELSE is_outlier END AS is_outlier
 FROM rk_, sh_""", _CAP))
 def outlier_capped(spark, sf_dir):
-    m = O.combine(_masks(spark, sf_dir), "any")
+    m = stored(O.combine(_masks(spark, sf_dir), "any").select("trajectory_id", "ingest_seq", *O.MASKS_OF_PATHS, "is_outlier"))
     return O.cap(m, CAP_PCT).select("trajectory_id", "is_outlier")
 
 
@@ -160,7 +161,7 @@ gk_ AS (SELECT count(*) FILTER (WHERE NOT flag) AS kept FROM gd_)"""
 @register("outlier_guarded", _sql("""SELECT trajectory_id, n_path AS num_points
 FROM gd_, gk_ WHERE NOT flag OR gk_.kept = 0""", _GUARD))
 def outlier_guarded(spark, sf_dir):
-    m = O.combine(_masks(spark, sf_dir), "any")
+    m = stored(O.combine(_masks(spark, sf_dir), "any"))  # read by two statistics and the filter
     m = O.remove(O.safety_rule(m, CFG.safety_share))
     return m.select("trajectory_id", F.size("path_lat").cast("long").alias("num_points"))
 

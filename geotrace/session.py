@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -55,3 +56,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet under the checkpoint folder and read back.
+
+    Later scans read only the columns they need, know the size, and never derive the rows again.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
