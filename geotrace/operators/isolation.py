@@ -1,8 +1,8 @@
 """Isolation-forest feature outliers.
 
 Numeric columns are NULL -> 0 and standardised (population sigma). Each of the 100
-trees is grown on the driver from at most 256 rows; the rows are picked by a hash
-draw per (tree, row), so only about 2 x 256 rows per tree are exploded and fetched,
+trees is grown on an executor from at most 256 rows; the rows are picked by a hash
+draw per (tree, row), so only about 2 x 256 rows per tree are exploded and grouped,
 never the table. The forest (100 small trees) is broadcast and every row is scored in
 Arrow batches with ``mapInPandas``. Rows whose anomaly score is above the
 (1 - contamination) quantile of all scores are flagged.
@@ -11,6 +11,7 @@ Arrow batches with ``mapInPandas``. Rows whose anomaly score is above the
 from __future__ import annotations
 
 import math
+import pickle
 
 import numpy as np
 import pandas as pd
@@ -84,16 +85,20 @@ def isolation_scores(df: DataFrame, cols: list[str], id_col: str = "trajectory_i
     frac = min(1.0, 2.0 * psi / max(n, 1))
     picks = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
                      lambda t: uniform(seed, F.col(id_col), t, tag="iforest") < F.lit(frac))
-    drawn = (z.select(*cols, F.explode(picks).alias("_t"),
-                      uniform(seed, F.col(id_col), tag="order").alias("_o"))
-             .toPandas())                                   # about 2 x psi rows per tree
-    rng = np.random.default_rng(seed)
+    # about 2 x psi rows per tree
+    drawn = z.select(*cols, F.explode(picks).alias("_t"), uniform(seed, F.col(id_col), tag="order").alias("_o"))
     limit = int(math.ceil(math.log2(max(psi, 2))))
-    forest = []
-    for t in range(n_trees):
-        part = drawn[drawn["_t"] == t].sort_values("_o").head(psi)
-        X = part[cols].to_numpy(float) if len(part) else np.zeros((1, len(cols)))
-        forest.append((_grow(X, rng, limit), len(X)))
+
+    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
+        part = pdf.sort_values(["_o", *cols]).head(psi)
+        t = int(part["_t"].iloc[0])
+        tree = _grow(part[cols].to_numpy(float), np.random.default_rng([seed, t]), limit)
+        return pd.DataFrame({"t": [t], "tree": [pickle.dumps((tree, len(part)))]})
+
+    grown = drawn.groupBy("_t").applyInPandas(grow, "t int, tree binary").collect()  # n_trees small trees
+    forest = [pickle.loads(r["tree"]) for r in sorted(grown, key=lambda r: r["t"])]
+    if not forest:
+        forest = [(_grow(np.zeros((1, len(cols))), np.random.default_rng(seed), 0), 1)]
     bc = df.sparkSession.sparkContext.broadcast(forest)
 
     def score(it):
