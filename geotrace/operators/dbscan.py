@@ -5,7 +5,7 @@
    hold every possible neighbour (exact, no candidate cap).
 2. **Blocked neighbourhoods.** Points *reside* in their own cell and *visit* the 27
    cells around it. Residents and visitors of a cell are hashed into blocks whose
-   number follows the densest cell, so every (cell, resident block, visitor block)
+   number follows that cell's own counts, so every (cell, resident block, visitor block)
    ``cogroup`` holds bounded rows. numpy computes the distances inside a group and
    emits per-resident results only: a neighbour count (pass 1), then, once core
    flags are known, the edges of a local spanning forest between core points and the
@@ -19,11 +19,9 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geotrace.operators.ranking import global_rank
@@ -37,20 +35,32 @@ def _cells(df: DataFrame, vec: str, eps: float, dims: tuple[int, int, int]) -> D
     return df.withColumn("_cell", F.array(*[F.floor(F.col(vec)[d] / F.lit(eps)).cast("long") for d in dims]))
 
 
-def _blocked(points: DataFrame, n_blocks: int) -> tuple[DataFrame, DataFrame]:
-    """Residents keyed (cell, rb, vb) replicated over vb; visitors keyed the same, replicated over
-    the 27 neighbour cells and over rb."""
-    rb = F.pmod(F.xxhash64(F.lit("r"), F.col("id")), F.lit(n_blocks)).cast("int")
-    vb = F.pmod(F.xxhash64(F.lit("v"), F.col("id")), F.lit(n_blocks)).cast("int")
-    blocks = F.sequence(F.lit(0), F.lit(n_blocks - 1))
-    res = (points.withColumn("rb", rb).withColumn("vb", F.explode(blocks))
-           .withColumn("cell", F.col("_cell")))
+def _neighbours(cell: str) -> Column:
+    """The 27 cells around a cell."""
     offs = F.array(*[F.array(*[F.lit(o) for o in off]) for off in NEIGHBOUR_OFFSETS])
-    vis = (points.withColumn("off", F.explode(offs))
-           .withColumn("cell", F.transform(F.arrays_zip(F.col("_cell").alias("c"), F.col("off").alias("o")),
-                                           lambda z: z["c"] + z["o"]))
-           .withColumn("vb", vb).withColumn("rb", F.explode(blocks)).drop("off"))
-    return res, vis
+    return F.transform(offs, lambda off: F.transform(F.arrays_zip(F.col(cell).alias("c"), off.alias("o")), lambda z: z["c"] + z["o"]))
+
+
+def _cell_blocks(points: DataFrame, block_rows: int) -> DataFrame:
+    """(cell, nr, nv): blocks of residents and of visitors for each occupied cell, from the cell histogram."""
+    counts = points.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"))
+    visits = counts.select(F.explode(_neighbours("_cell")).alias("cell"), "n").groupBy("cell").agg(F.sum("n").alias("v"))
+    blocks = lambda c: F.ceil(F.col(c) / F.lit(block_rows)).cast("int")
+    return counts.withColumnRenamed("_cell", "cell").join(visits, "cell").select("cell", blocks("n").alias("nr"), blocks("v").alias("nv"))
+
+
+def _blocked(points: DataFrame, cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Residents keyed (cell, rb, vb), copied once for each visitor block of their own cell; visitors keyed the
+    same, copied to the occupied cells around them and once for each resident block there. Only hot cells
+    have more than one block; empty cells get nothing."""
+    def block(side: str, n: str) -> Column:
+        return F.pmod(F.xxhash64(F.lit(side), F.col("id")), F.col(n)).cast("int")
+
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    res = points.withColumn("cell", F.col("_cell")).join(cells, "cell").withColumn("rb", block("r", "nr")).withColumn("vb", every("nv"))
+    again = lambda df: df.select(*[F.col(c).alias(c) for c in df.columns])  # noqa: E731  both sides meet in a cogroup
+    vis = again(points).withColumn("cell", F.explode(_neighbours("_cell"))).join(again(cells), "cell").withColumn("vb", block("v", "nv")).withColumn("rb", every("nr"))
+    return res.drop("nr", "nv"), vis.drop("nr", "nv")
 
 
 def dbscan(df: DataFrame, vec: str = "vec", id_col: str = "trajectory_id", order: str | None = None,
@@ -62,12 +72,11 @@ def dbscan(df: DataFrame, vec: str = "vec", id_col: str = "trajectory_id", order
     order = order or id_col
     pts = _cells(df.select(F.col(id_col).cast("string").alias("id"), F.col(vec).alias("v"),
                            F.col(order).alias("_ord")), "v", eps, dims).checkpoint()
-    densest = pts.groupBy("_cell").count().agg(F.max("count")).first()[0] or 1
-    nb = max(1, math.ceil(densest / block_rows))
+    blocks = _cell_blocks(pts, block_rows).checkpoint()
     eps2 = eps * eps
 
     # pass 1: neighbour counts (self included)
-    res, vis = _blocked(pts.select("id", "v", "_cell"), nb)
+    res, vis = _blocked(pts.select("id", "v", "_cell"), blocks)
 
     def counts(r: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
         if r.empty:
@@ -88,7 +97,7 @@ def dbscan(df: DataFrame, vec: str = "vec", id_col: str = "trajectory_id", order
     flagged = pts.join(c, "id").withColumn("core", F.col("cnt") >= min_samples).checkpoint()
 
     # pass 2: spanning-forest edges among core points, core neighbours of border points
-    res2, vis2 = _blocked(flagged.select("id", "v", "_cell", "core"), nb)
+    res2, vis2 = _blocked(flagged.select("id", "v", "_cell", "core"), blocks)
 
     def links(r: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"a": pd.Series([], dtype=object), "b": pd.Series([], dtype=object),

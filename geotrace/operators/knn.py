@@ -86,18 +86,45 @@ def knn_candidates(query: DataFrame, ref: DataFrame, k: int, q_id: str = "qid",
 
 
 GRID_POINTS_PER_CELL = 4
+WIDEN = 8  # each ring round multiplies the cell width by this
+
+
+def _cells(df: DataFrame, cell: float) -> DataFrame:
+    return df.withColumns({c: F.floor(F.col("vec")[i] / F.lit(cell)).cast("long") for i, c in enumerate(("cx", "cy"))})
+
+
+def _ring(q: DataFrame, r: DataFrame, cell: float, top, schema: str, block_rows: int) -> DataFrame:
+    """Candidates of each query from the 3 x 3 cells around its own.
+
+    Block counts come from the histograms of each cell: a query is copied to the occupied cells around it and
+    once for each block of references there, a reference once for each block of queries that visit its own
+    cell. Cells without references or without visitors get nothing.
+    """
+    offs = F.array(*[F.lit(o) for o in (-1, 0, 1)])
+    visits = _cells(q, cell).withColumn("ox", F.explode(offs)).withColumn("oy", F.explode(offs)).withColumns(
+        {"cx": F.col("cx") + F.col("ox"), "cy": F.col("cy") + F.col("oy")}).drop("ox", "oy")
+    refs = _cells(r, cell)
+    n = lambda df, name: df.groupBy("cx", "cy").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias(name))
+    blocks = n(refs, "nr").join(n(visits, "nq"), ["cx", "cy"])
+    of = lambda side, key, c: F.pmod(F.xxhash64(F.lit(side), F.col(key)), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    qv = visits.join(blocks, ["cx", "cy"]).withColumn("qb", of("q", "qid", "nq")).withColumn("rb", every("nr")).drop("nr", "nq")
+    rv = refs.join(blocks, ["cx", "cy"]).withColumn("rb", of("r", "rid", "nr")).withColumn("qb", every("nq")).drop("nr", "nq")
+    key = ["cx", "cy", "qb", "rb"]
+    return qv.groupBy(*key).cogroup(rv.groupBy(*key)).applyInPandas(top, schema)
 
 
 def grid_knn_candidates(query: DataFrame, ref: DataFrame, k: int, q_id: str = "qid", r_id: str = "rid",
                         vec: str = "vec", label_cols: tuple[str, ...] = ("y",), cell: float | None = None,
                         block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Exact k nearest neighbours with a grid on the first two coordinates.
-
-    Reference rows go to grid cells (about ``4 k`` per cell on average); each query meets
-    only the 3 x 3 cells around its own, in (cell, query block, reference block) groups
-    sized by the densest cell. A query is finished when it has ``k`` candidates and the
-    k-th is within one cell width: any row outside the 3 x 3 square is farther than that.
-    The remaining queries (sparse areas) go through :func:`knn_candidates`.
+    """Exact k nearest neighbours with a grid on the first two coordinates and a widening ring.
+
+    Reference rows go to grid cells (about ``4 k`` per cell in the bulk of the data: the width comes from
+    the 5 % and 95 % quantiles, so far points don't stretch it); each query meets only the 3 x 3 cells around
+    its own. A query is finished when it has ``k`` candidates and the k-th is within one cell width: any row
+    outside the 3 x 3 square is farther than that. The others go on with wider cells. If the ring leaves
+    more than half of the queries (many dimensions, where two of them prune little) or the cells have
+    outgrown the data, the rest is searched by :func:`knn_candidates`.
     """
     from geotrace.session import ensure_checkpoint_dir
     spark = query.sparkSession
@@ -106,41 +133,34 @@ def grid_knn_candidates(query: DataFrame, ref: DataFrame, k: int, q_id: str = "q
     r = ref.select(F.col(r_id).cast("string").alias("rid"), F.col(vec).alias("vec"),
                    *[F.col(c).cast("double").alias(c) for c in labels]).checkpoint()
     q = query.select(F.col(q_id).cast("string").alias("qid"), F.col(vec).alias("vec")).checkpoint()
-    st = r.agg(F.count(F.lit(1)).alias("n"), F.min(F.col("vec")[0]).alias("x0"), F.max(F.col("vec")[0]).alias("x1"),
-               F.min(F.col("vec")[1]).alias("y0"), F.max(F.col("vec")[1]).alias("y1")).first()
+    x, y = F.col("vec")[0], F.col("vec")[1]
+    st = r.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(x, [0.05, 0.95]).alias("x"), F.percentile_approx(y, [0.05, 0.95]).alias("y"),
+               F.greatest(F.max(x) - F.min(x), F.max(y) - F.min(y)).alias("extent")).first()
     if not st["n"]:
         return knn_candidates(query, ref, k, q_id, r_id, vec, label_cols, block_rows)
     if cell is None:
-        area = max((st["x1"] - st["x0"]) * (st["y1"] - st["y0"]), 1e-24)
+        wide, high = st["x"][1] - st["x"][0], st["y"][1] - st["y"][0]
+        area = wide * high or max(wide, high, 1e-12) ** 2 / st["n"]
         cell = max(math.sqrt(area * GRID_POINTS_PER_CELL * k / st["n"]), 1e-12)
     k_eff = min(k, st["n"])
-
-    def cells(df):
-        return (df.withColumn("cx", F.floor(F.col("vec")[0] / F.lit(cell)).cast("long"))
-                .withColumn("cy", F.floor(F.col("vec")[1] / F.lit(cell)).cast("long")))
-    rc = cells(r)
-    densest = rc.groupBy("cx", "cy").count().agg(F.max("count")).first()[0]
-    nq = q.count()
-    rb = max(1, math.ceil(densest / block_rows))
-    qb = max(1, math.ceil(nq / block_rows))
-    offs = F.array(*[F.lit(o) for o in (-1, 0, 1)])
-    qv = (cells(q).withColumn("ox", F.explode(offs)).withColumn("oy", F.explode(offs))
-          .withColumn("cx", F.col("cx") + F.col("ox")).withColumn("cy", F.col("cy") + F.col("oy"))
-          .withColumn("qb", _block("qid", qb, "q")).withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(rb - 1))))
-          .select("cx", "cy", "qb", "rb", "qid", "vec"))
-    rv = (rc.withColumn("rb", _block("rid", rb, "r")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1))))
-          .select("cx", "cy", "qb", "rb", "rid", "vec", *labels))
     schema = "qid string, rid string, d2 double, " + ", ".join(f"{c} double" for c in labels)
     top = _top_k_kernel(k, labels)
-    cand = qv.groupBy("cx", "cy", "qb", "rb").cogroup(rv.groupBy("cx", "cy", "qb", "rb")).applyInPandas(top, schema)
     w = Window.partitionBy("qid").orderBy("d2", "rid")
-    best = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).checkpoint()
-    done = (best.groupBy("qid").agg(F.count(F.lit(1)).alias("c"), F.max("d2").alias("kth"))
-            .where((F.col("c") >= k_eff) & (F.col("kth") <= F.lit((cell * (1 - 1e-9)) ** 2))).select("qid"))
-    exact = best.join(done, "qid", "left_semi")
-    rest = q.join(done, "qid", "left_anti")
-    far = knn_candidates(rest, r, k, "qid", "rid", "vec", tuple(labels), block_rows)
-    return exact.unionByName(far.select(*exact.columns))
+    out, left = None, q.count()
+    while left:
+        cand = _ring(q, r, cell, top, schema, block_rows)
+        best = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).checkpoint()
+        done = (best.groupBy("qid").agg(F.count(F.lit(1)).alias("c"), F.max("d2").alias("kth"))
+                .where((F.col("c") >= k_eff) & (F.col("kth") <= F.lit((cell * (1 - 1e-9)) ** 2))).select("qid"))
+        exact = best.join(done, "qid", "left_semi")
+        out = exact if out is None else out.unionByName(exact)
+        q = q.join(done, "qid", "left_anti").checkpoint()
+        before, left = left, q.count()
+        if left and (2 * left > before or cell > st["extent"]):
+            out = out.unionByName(knn_candidates(q, r, k, "qid", "rid", "vec", tuple(labels), block_rows).select(*out.columns))
+            break
+        cell *= WIDEN
+    return out if out is not None else knn_candidates(q, r, k, "qid", "rid", "vec", tuple(labels), block_rows)
 
 
 def knn_predict(query: DataFrame, ref: DataFrame, k: int, q_id: str, r_id: str, vec: str,
