@@ -21,8 +21,9 @@ def test_sql_twins_match_on_small_data(spark):
     from tests.conftest import SF001
     con = duckdb.connect()
     con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF001}/events.parquet')")
-    cheap = [k for k in E.oracle_sql() if k not in ("outlier_iqr", "low_variance")]
-    for k in cheap:
+    from geotrace.plans.registry import ORACLE  # the optional subpackage tests its own twins
+    wide = ("outlier_iqr", "low_variance", "robust_scale", "standard_scale", "select_k_best")
+    for k in [k for k in ORACLE if k not in wide]:
         df = E.queries()[k](spark, SF001)
         s = [tuple(r) for r in df.collect()]
         cur = con.execute(E.oracle_sql()[k])
