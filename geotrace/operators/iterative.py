@@ -22,6 +22,7 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geotrace.operators.partsum import summed
 from geotrace.session import ensure_checkpoint_dir
 
 
@@ -122,11 +123,9 @@ def gram(df: DataFrame, features: str, label: str) -> dict:
             yy += float(y @ y)
             sy += float(y.sum())
             n += len(y)
-        flat = np.concatenate([xx.ravel(), xy, sx, [yy, sy, n]])
-        yield pd.DataFrame({"i": np.arange(len(flat)), "v": flat})
+        return np.concatenate([xx.ravel(), xy, sx, [yy, sy, n]])
 
-    s = a.mapInPandas(blocks, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).orderBy("i")
-    v = np.array([r["v"] for r in s.collect()])          # p*p + 2p + 3 numbers
+    v = summed(a, blocks, p * p + 2 * p + 3)
     k = p * p
     return {"xx": v[:k].reshape(p, p), "xy": v[k:k + p], "sx": v[k + p:k + 2 * p],
             "yy": v[k + 2 * p], "sy": v[k + 2 * p + 1], "n": v[k + 2 * p + 2]}

@@ -142,6 +142,5 @@ def end_to_end(spark, sf_dir):
 
 @register("mlp")
 def mlp(spark, sf_dir):
-    """R13 with query-size settings (30 full-batch Adam steps)."""
-    return _predict_query(lambda: NamedModel("MLP", builder("MLP", None, dict(max_iter=30, learning_rate=0.01))
-                                             ).build)(spark, sf_dir)
+    """R13 with the library's settings (at most 200 epochs of minibatch Adam)."""
+    return _predict_query(lambda: NamedModel("MLP", builder("MLP")).build)(spark, sf_dir)

@@ -80,3 +80,31 @@ def test_mlp_learns_linear_signal(spark):
     p = m.transform(df).select("y", "prediction").toPandas()
     assert p["prediction"].notna().all()
     assert ((p["y"] - p["prediction"]) ** 2).mean() < 0.5 * p["y"].var()
+
+
+def test_mlp_beats_the_mean_at_default_settings_on_targets_in_metres(spark):
+    import numpy as np
+    from pyspark.ml.feature import VectorAssembler
+
+    from geotrace.operators.mlp import MLPRegressor
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(600, 3))
+    y = 4000 * np.abs(x[:, 0]) - 2500 * x[:, 1] + 9000 + rng.normal(size=600) * 100
+    df = spark.createDataFrame([(*map(float, r), float(t)) for r, t in zip(x, y, strict=True)], "a double, b double, c double, y double")
+    df = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df)
+    rows = MLPRegressor(labelCol="y").fit(df).transform(df).select("y", "prediction").collect()
+    error = np.mean([(r.y - r.prediction) ** 2 for r in rows])
+    assert error < 0.05 * np.var(y)
+
+
+def test_partition_sums_are_whole_with_and_without_the_middle_level(spark):
+    import numpy as np
+
+    from geotrace.operators.partsum import summed
+    df = spark.range(0, 1000, 1, 40).selectExpr("id * 1.0 AS x")
+
+    def part(it):
+        return np.array([sum(float(p["x"].sum()) for p in it), 1.0])
+    for tree in (True, False):
+        assert summed(df, part, 2, tree).tolist() == [499500.0, 40.0]
+    assert summed(df.where("x < 0"), part, 2).tolist() == [0.0, 40.0]
