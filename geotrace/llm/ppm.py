@@ -8,8 +8,8 @@ excluded; below order 0 all bytes left are equally likely. A byte seen n of N ti
 
 Pretrained scoring as Spark jobs (nothing but the order-1 counts, at most 65,536 numbers, passes the driver):
 
-1. Each partition cuts its documents into blocks of ``BLOCK`` bytes and writes the normalised texts and, for
-   each block, its distinct byte strings of ORDER + 1 bytes and its distinct words with training counts,
+1. Each partition cuts its documents into blocks of ``BLOCK`` bytes and writes the normalised texts (compressed
+   some hundred at a time) and, for each block, its distinct byte strings of ORDER + 1 bytes and its distinct words with training counts,
    as sorted arrays dealt to shards by a hash of the key (two shards for each shuffle partition, so their
    number follows the input, and a frequent key adds one entry a block at most).
 2. Shards sum the counts. Of the sums, contexts that end in the same two bytes, of all orders of 2 and more,
@@ -29,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -77,7 +78,7 @@ def _merge(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return code, np.bincount(at, np.concatenate(counts), len(code)).astype(np.int64)
 
 
-_ROW = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("held", pa.bool_()), ("body", pa.binary()),
+_ROW = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("body", pa.binary()),
                   ("shard", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 
 
@@ -124,16 +125,18 @@ def _block_keys(block: int, texts: list[bytes], held: list[bool], shards: int) -
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
-    """Rows of texts (doc_id, held, body) and of keys (shard, keys, counts), each with its block."""
+    """Rows of some texts (doc_ids, held, body) and of keys (shard, keys, counts), each with its block."""
     block, texts, held, size = TaskContext.get().partitionId() << 32, [], [], 0
     for batch in batches:
         bodies = [normalised(t.as_py()) for t in batch.column(2).cast(pa.large_binary())]
         for at in range(0, len(bodies), 500):
             some, flags = bodies[at : at + 500], batch.column(1).slice(at, 500)
-            yield _rows(len(some), block=pa.array([block] * len(some), pa.int64()), doc_id=batch.column(0).slice(at, 500),
-                        held=flags, body=pa.array(some, pa.binary()))
+            flags = flags.to_pylist()
+            yield _rows(1, block=pa.array([block], pa.int64()), doc_ids=pa.array([batch.column(0).slice(at, 500).to_pylist()], _ROW.field("doc_ids").type),
+                        held=pa.array([flags], _ROW.field("held").type),
+                        body=pa.array([zstandard.compress(b"".join(some))], pa.binary()))
             texts += some
-            held += flags.to_pylist()
+            held += flags
             size += sum(map(len, some))
             if size >= BLOCK:
                 yield from _block_keys(block, texts, held, shards)
@@ -275,9 +278,9 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modu
     shards = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col), modulus, remainder).alias("held"),
                        F.col(text_col))
-    rows = stored(rows.mapInArrow(lambda b: _blocks(b, shards), "block long, doc_id long, held boolean, body binary, "
+    rows = stored(rows.mapInArrow(lambda b: _blocks(b, shards), "block long, doc_ids array<long>, held array<boolean>, body binary, "
                                   "shard int, keys binary, counts binary"), "blocks")
-    texts = rows.where("shard IS NULL").select(F.col("block").alias("of"), "doc_id", "held", "body")
+    texts = rows.where("shard IS NULL").select(F.col("block").alias("of"), "doc_ids", "held", "body")
     lists = rows.where("shard IS NOT NULL")
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,6 +319,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modu
         key, value = (known.column(c).to_numpy() for c in ("key", "value"))
         order = np.argsort(key)
         key, value = key[order], value[order]
+        value = value.astype(np.float32)  # halves what goes back; counts stay exact to 2**24
         found = [value[np.searchsorted(key, np.frombuffer(k.as_buffer(), np.int64))].tobytes() for k in asked.column("keys")]
         return pa.table([asked.column("block"), asked.column("keys"), pa.array(found, pa.binary())], names=["block", "keys", "values"])
 
@@ -324,10 +328,12 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modu
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         key, value = (np.concatenate([np.frombuffer(x.as_buffer(), t) for x in right.column(c)])
-                      for c, t in (("keys", np.int64), ("values", np.float64)))
-        found = _scores(left.column("body").to_pylist(), key, value, tokens, kinds)
-        return pa.table([left.column("doc_id"), left.column("held"), pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64()),
-                         pa.array([tokens] * left.num_rows, pa.int64()), pa.array(found[2], pa.float64()),
+                      for c, t in (("keys", np.int64), ("values", np.float32)))
+        texts = [t for body in left.column("body") for t in zstandard.decompress(body.as_py()).splitlines(keepends=True)]
+        found = _scores(texts, key, value.astype(np.float64), tokens, kinds)
+        ids, held = (left.column(c).combine_chunks().flatten() for c in ("doc_ids", "held"))
+        return pa.table([ids, held, pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64()),
+                         pa.array([tokens] * len(ids), pa.int64()), pa.array(found[2], pa.float64()),
                          pa.array(found[3], pa.float64())], names=[f.name for f in kind.fields])
 
     kind = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()),

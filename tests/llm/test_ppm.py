@@ -86,8 +86,11 @@ def test_adaptive_code_length_falls_with_repetition(spark):
 def test_blocks_of_any_size_and_empty_tables(spark, monkeypatch):
     df = spark.createDataFrame(list(TEXTS.items()), "doc_id long, text string").coalesce(1)
     whole = sorted(map(tuple, ppm.scored(df).collect()))
-    schema, shards = "block long, doc_id long, held boolean, body binary, shard int, keys binary, counts binary", 5
-    assert df.selectExpr("doc_id", "false AS held", "text").mapInArrow(lambda b: ppm._blocks(b, shards), schema).where("shard IS NULL").count() == len(TEXTS)
+    schema = "block long, doc_ids array<long>, held array<boolean>, body binary, shard int, keys binary, counts binary"
+    monkeypatch.setattr(ppm, "BLOCK", 3000)
+    rows = df.selectExpr("doc_id", "false AS held", "text").mapInArrow(lambda b: ppm._blocks(b, 5), schema).collect()
+    assert sorted(i for r in rows if r.shard is None for i in r.doc_ids) == sorted(TEXTS)
+    assert {r.block for r in rows if r.shard is None} == {r.block for r in rows if r.shard is not None}
     again = sorted(map(tuple, ppm.scored(df.repartition(9)).collect()))
     assert [r[:5] for r in whole] == [r[:5] for r in again]
     assert np.allclose([r[5:] for r in whole], [r[5:] for r in again])
