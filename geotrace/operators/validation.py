@@ -154,14 +154,19 @@ def fold_error(pred: DataFrame) -> float:
 
 def cross_validate(design: DataFrame, model: NamedModel, targets: tuple[str, str] = ("dx", "dy"),
                    k: int = 10, fold_col: str = "fold", y_unit: str = "meters",
-                   parallelism: int = 2) -> CVResult:
-    """Fit on k-1 folds, score the held-out fold by mean haversine km."""
+                   parallelism: int = 2, prepare=None) -> CVResult:
+    """Fit on k-1 folds, score the held-out fold by mean haversine km.
+
+    ``prepare(train, held_out)`` returns both frames with a design vector; with it (see
+    :func:`fit_inside_folds`) scaler and selection never see the held-out rows."""
     spark = design.sparkSession
 
     def one(f: int):
         t0 = time.time()
         tr = design.where(F.col(fold_col) != f)
         va = design.where(F.col(fold_col) == f)
+        if prepare is not None:
+            tr, va = prepare(tr, va)
         m = MultiTargetRegressor(model.build, targets).fit(tr)
         err = fold_error(predictions_latlon(m.transform(va), targets, y_unit))
         return (model.name, f, float(err) if err is not None else None, time.time() - t0)
@@ -175,6 +180,16 @@ def cross_validate(design: DataFrame, model: NamedModel, targets: tuple[str, str
     return CVResult(model.name, folds, mean, std)
 
 
+def fit_inside_folds(cols: list[str], **options):
+    """A ``prepare`` for :func:`cross_validate`: M1-M5 fitted on the k-1 folds, applied to the held-out one."""
+    from geotrace.operators.prepare import local_target, prepare
+
+    def run(train: DataFrame, held_out: DataFrame) -> tuple[DataFrame, DataFrame]:
+        p = prepare(train, local_target(held_out), cols, **options)
+        return p.train, p.test
+    return run
+
+
 def rank_models(fold_rows: DataFrame) -> DataFrame:
     """Mean / population-std of fold errors per model, ascending by mean error."""
     return (fold_rows.groupBy("model_name")

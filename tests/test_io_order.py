@@ -63,3 +63,19 @@ def test_bootstrap_weights_have_no_ceiling_below_the_draw(spark):
     from geotrace.functions.hashrand import poisson1
     got = spark.range(20_000).select(poisson1(1, F.col("id")).alias("w")).agg(F.avg("w"), F.var_pop("w")).first()
     assert got[0] == pytest.approx(1, abs=0.03) and got[1] == pytest.approx(1, abs=0.05)
+
+
+def test_preparation_inside_folds_never_sees_the_held_out_rows(spark):
+    from geotrace.operators import validation as V
+    from geotrace.operators.models import NamedModel, builder
+    rows = [(f"t{i}", i % 2, 10.0 + i / 100, 20.0 + (i * 7 % 13) / 100, 10.0 + i / 99, 20.0 + i / 98, 1e6 if i == 1 else 0.0) for i in range(60)]
+    df = spark.createDataFrame(rows, "trajectory_id string, fold int, start_lat double, start_lon double, dest_lat double, dest_lon double, spike double")
+    seen = []
+
+    def prepare(train, held_out):
+        tr, va = V.fit_inside_folds(["start_lat", "start_lon", "spike"], select=False)(train, held_out)
+        seen.append((train.agg(F.min("fold"), F.max("fold")).first(), len(tr.first()["features"])))
+        return tr, va
+    res = V.cross_validate(df, NamedModel("Ridge", builder("Ridge")), k=2, prepare=prepare, parallelism=1)
+    assert res.mean_error < 20 and all(a == b for (a, b), _ in seen)
+    assert sorted(n for _, n in seen) == [2, 3]  # the spike of fold 1 is constant, and so dropped, where only fold 0 is seen
