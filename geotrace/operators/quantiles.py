@@ -13,7 +13,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from geotrace.session import ensure_checkpoint_dir
+from geotrace.session import ensure_checkpoint_dir, stored
 
 
 class ValueCounts:
@@ -27,7 +27,7 @@ class ValueCounts:
         self.cols = list(cols)
         values = F.array(*[F.col(c).cast("double") for c in self.cols])
         long = df.select(F.posexplode(values).alias("col", "value")).where(F.col("value").isNotNull())
-        counted = long.groupBy("col", "value").agg(F.count(F.lit(1)).alias("n"))
+        counted = stored(long.groupBy("col", "value").agg(F.count(F.lit(1)).alias("n")))  # the range cuts sample it
         by = [F.col("col"), F.col("value")]
         ranged = counted.repartitionByRange(partitions, *by) if partitions else counted.repartitionByRange(*by)
         self.table = ranged.withColumn("part", F.spark_partition_id()).checkpoint()

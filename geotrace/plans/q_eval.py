@@ -13,6 +13,7 @@ from geotrace.plans import oracle
 from geotrace.plans.common import clean_split, clean_splits
 from geotrace.plans.registry import register
 from geotrace.plans.rounding import rnd, round_sql
+from geotrace.session import stored
 
 # --- E7-E9: prediction = last path point, truth = destination, cleaned train -------------
 
@@ -30,8 +31,8 @@ def _pred_sql(select: str) -> str:
 
 def last_point_predictions(spark, sf_dir):
     t = clean_split(spark, sf_dir, "train")
-    return t.select("trajectory_id", F.col("dest_lat").alias("lat_true"), F.col("dest_lon").alias("lon_true"),
-                    F.element_at("path_lat", -1).alias("lat_pred"), F.element_at("path_lon", -1).alias("lon_pred"))
+    return stored(t.select("trajectory_id", F.col("dest_lat").alias("lat_true"), F.col("dest_lon").alias("lon_true"),
+                           F.element_at("path_lat", -1).alias("lat_pred"), F.element_at("path_lon", -1).alias("lon_pred")))
 
 
 _FULL_KINDS = {"mean_haversine_km": "km", "median_haversine_km": "km", "std_haversine_km": "km",
