@@ -5,10 +5,13 @@
 * Segmentation: host labels are cut into letter runs; every substring of each distinct run meets the word
   counts of page titles and url paths in a join, and a Viterbi search over the unigram probabilities picks
   the best split. Unknown words of n letters have probability 10 / (N * 10^n), so any run can be split.
-* Naive Bayes (multinomial, add-one) over host and path words of all urls. Its labels are weak: a url with a
+* Naive Bayes (multinomial) over host and path words of all urls. Its labels are weak: a url with a
   ``seed_block`` word among its segmented words counts as block, any other as allow, and each seed is added
-  ``seed_weight`` times as a block observation, so words that go with seeds gain weight too. Words of the
-  rules are left out of the tokens: a rule decides by policy, and its words say nothing about other urls.
+  ``seed_weight`` times as a block observation, so words that go with seeds gain weight too. Both classes are
+  smoothed with ``SMOOTHING`` tokens spread as the words of all urls are: a word that a rare class has not met is
+  as likely there as anywhere, whatever the vocabulary's size, and a word met in one class only outweighs the
+  prior. Words of the rules are left out of the tokens: a rule decides by policy, and its words say nothing
+  about other urls.
 
 Null urls and urls without ``://`` have empty host and path, and get the prior's verdict. Repeated rows are
 judged each. An empty table gives an empty one. A tie is allowed.
@@ -31,6 +34,7 @@ RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com
 SEED_BLOCK = ("ads", "adult", "bet", "bets", "betting", "casino", "gambling", "jackpot", "loan", "loans", "pills", "poker",
               "porn", "slots", "spam", "viagra", "xxx")
 MAX_WORD = 24
+SMOOTHING = 10  # tokens of the base distribution added to each class
 
 
 def host_of(url: Column) -> Column:
@@ -131,10 +135,11 @@ def judged(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     b, a = (F.sum(F.when(c, F.col("n")).otherwise(0)) for c in (F.col("spam"), ~F.col("spam")))
     told = kinds.select(F.explode("words").alias("word"), "spam", "n").unionByName(seeds.withColumn("spam", F.lit(True)))
     tokens = stored(told.groupBy("word").agg(b.alias("block"), a.alias("allow")), "tokens")
-    size, n_block, n_allow = (x or 0 for x in tokens.agg(F.count("*"), F.sum("block"), F.sum("allow")).first())
+    n_block, n_allow = (x or 0 for x in tokens.agg(F.sum("block"), F.sum("allow")).first())
     docs = kinds.agg(b, a).first()
     prior = math.log(((docs[0] or 0) + 1) / ((docs[1] or 0) + 1))
-    weight = F.log((F.col("block") + 1) / (n_block + size)) - F.log((F.col("allow") + 1) / (n_allow + size))
+    base = (F.col("block") + F.col("allow")) * (SMOOTHING / max(n_block + n_allow, 1))
+    weight = F.log((F.col("block") + base) / (n_block + SMOOTHING)) - F.log((F.col("allow") + base) / (n_allow + SMOOTHING))
     scores = kinds.select("host", "path_words", F.explode(F.array_distinct("words")).alias("word"), "words").distinct().join(
         tokens.select("word", weight.alias("weight")), "word").groupBy("host", "path_words").agg(
         F.sum(F.col("weight") * F.size(F.filter("words", lambda w: w == F.col("word")))).alias("evidence"))

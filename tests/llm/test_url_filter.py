@@ -83,3 +83,15 @@ def test_segmentation_joins_only_known_words(spark):
     got = {r.run: r.words for r in U.segment(names, "run", words).collect()}
     assert got["freebets"] == ["free", "bets"] and "".join(got["b" * 70]) == "b" * 70
     assert U.segment(names.where(F.lit(False)), "run", words).count() == 0
+
+
+def test_rare_spam_beside_a_large_vocabulary_stays_blocked(spark):
+    word = "translate(cast(id % 20000 as string), '0123456789', 'abcdefghij')"
+    clean = spark.range(60_000).selectExpr(
+        "id", f"concat('http://www.', {word}, 'site.com/index.html/', {word}, '/', id)", f"concat('<title>', {word}, ' site index</title>')")
+    hosts = ["casino-win", "bets-now", "poker-room", "best-pills", "xxx-tube"]
+    spam = spark.createDataFrame([(100_000 + i, f"http://www.{h}.com/index.html/{i}", None) for i, h in enumerate(hosts)],
+                                 "id long, url string, html string")
+    df = clean.toDF("page_id", "url", "html").unionAll(spam.toDF("page_id", "url", "html"))
+    got = U.judged(df, rules=()).groupBy((F.col("page_id") >= 100_000).alias("spam"), "verdict").count().collect()
+    assert {(r.spam, r.verdict): r["count"] for r in got} == {(True, "block"): 5, (False, "allow"): 60_000}
