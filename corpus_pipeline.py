@@ -17,6 +17,9 @@ from geotrace.llm.common import stored
 #: No twin: random features, Arrow tasks and token ids are beyond SQL; tests hold each stage to its operator.
 ORACLE_SQL = None
 
+#: Share of the clean tokens that mixing keeps.
+KEEP = 0.6
+
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose calibrated quality score is at least 0.7."""
@@ -35,8 +38,8 @@ def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose token shares meet the tempered source, language and topic marginals."""
-    return mixing.sampled(docs)
+    """``KEEP`` of the tokens, by the tempered source, language and topic marginals; rare cells keep all they have."""
+    return mixing.sampled(docs, keep=KEEP)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,10 @@
 Documents are summed into cells, one for each combination of the dimensions' values. Raking multiplies the
 cells of each value by target share / current share, dimension after dimension, until all marginals hold at
 once. A document is then kept with probability factor / largest factor of its cell, so expected token shares
-are the targets and the most wanted cell keeps all. The draw is a hash of seed and id: repeatable, the same
+are the targets and the most wanted cell keeps all. With ``keep``, the share of all tokens to be kept, raking goes on
+probabilities instead: each value aims at its part of that budget, but at no more tokens than it has (what it
+lacks goes to the others of its dimension), and no probability exceeds 1. A rare cell then keeps all it has and
+lowers no other cell. The draw is a hash of seed and id: repeatable, the same
 for repeated ids, and independent of partitions.
 
 Without ``targets`` a dimension aims at its tempered shares, token share ** ``temper``, normalised. Null
@@ -34,10 +37,24 @@ def topic_of(text: Column, topics: Sequence[tuple[str, str, str]] = TOPICS) -> C
     return out
 
 
+def _level(cells: DataFrame, dim: str, goal: str, tokens: str, budget: float) -> float:
+    """The level at which sum(least(tokens, level * goal)) over the values of ``dim`` is the budget."""
+    values = stored(cells.groupBy(dim).agg(F.sum(tokens).cast("double").alias("own"), F.first(goal).alias("g")).where("own > 0"), "values")
+    level, full = budget, -1
+    while True:  # each turn finds more values that give all, or ends
+        short = F.col("own") <= F.col("g") * level
+        n, spent, rest = values.agg(F.count_if(short), F.sum(F.when(short, F.col("own"))), F.sum(F.when(~short, F.col("g")))).first()
+        if n <= full or not rest:
+            return level
+        full, level = n, max(level, (budget - (spent or 0.0)) / rest)
+
+
 def raked(cells: DataFrame, dims: Sequence[str], tokens: str, targets: Mapping[str, Mapping] | None = None, temper: float = 0.9,
-          tolerance: float = 1e-11, sweeps: int = 5, rounds: int = 20) -> DataFrame:
+          tolerance: float = 1e-11, sweeps: int = 5, rounds: int = 20, keep: float | None = None) -> DataFrame:
     """``cells`` (one row for each combination of values) with ``factor``; sum(tokens * factor) = 1.
 
+    With ``keep`` the factor is a probability, at most 1, and sum(tokens * factor) = keep * sum(tokens).
+
     Values missing in a dimension's ``targets`` share what these leave, by their tokens. Rounds of
     ``sweeps`` sweeps run until no marginal is off by more than ``tolerance``, or ``rounds`` are over (with
     cells that make the targets impossible, raking never gets there).
@@ -53,6 +70,7 @@ def raked(cells: DataFrame, dims: Sequence[str], tokens: str, targets: Mapping[s
         rest = cells.agg(F.sum(F.when(said.isNull(), F.col(tokens)))).first()[0] or 1
         return F.coalesce(said, own * (total / float(rest) * max(0.0, 1 - sum(wanted.values()))))
 
+    bound = (lambda f: f) if keep is None else (lambda f: F.least(f, F.lit(1.0)))
     total = float(cells.agg(F.sum(tokens)).first()[0] or 1)
     names = [f"goal_{i}" for i in range(len(dims))]
     for name, dim in zip(names, dims, strict=True):
@@ -62,16 +80,22 @@ def raked(cells: DataFrame, dims: Sequence[str], tokens: str, targets: Mapping[s
     for name, dim in zip(names, dims, strict=True):
         norm = cells.where(F.col(tokens) > 0).groupBy(dim).agg(F.first(name).alias("g")).agg(F.sum("g")).first()[0] or 1.0
         cells = cells.withColumn(name, F.col(name) / norm)
+        if keep is not None:
+            own = F.sum(tokens).over(Window.partitionBy(dim))
+            cells = cells.withColumn(name, F.least(own.cast("double"), F.col(name) * _level(cells, dim, name, tokens, keep * total)))
+    if keep is not None:
+        cells = cells.withColumn("factor", F.lit(min(float(keep), 1.0)))
+    scale = 1.0 if keep is None else total
     for _ in range(rounds):
         for _ in range(sweeps):
             for name, dim in zip(names, dims, strict=True):
                 now = F.sum(F.col(tokens) * F.col("factor")).over(Window.partitionBy(dim))
-                cells = cells.withColumn("factor", F.when(now > 0, F.col("factor") * F.col(name) / now).otherwise(F.col("factor")))
+                cells = cells.withColumn("factor", F.when(now > 0, bound(F.col("factor") * F.col(name) / now)).otherwise(F.col("factor")))
         cells = stored(cells, "raked")
         off = [F.max(F.abs(F.col(f"off_{i}"))) for i in range(len(dims))]
         gaps = cells.select(*[(F.sum(F.col(tokens) * F.col("factor")).over(Window.partitionBy(d)) - F.col(n)).alias(f"off_{i}")
                               for i, (n, d) in enumerate(zip(names, dims, strict=True))]).agg(*off).first()
-        if all(g is None or g <= tolerance for g in gaps):
+        if all(g is None or g <= tolerance * scale for g in gaps):
             break
     return cells.drop(*names)
 
@@ -85,7 +109,7 @@ def mixed(rows: DataFrame, dims: Sequence[str] = DIMS, tokens: str = "n_tokens",
     cells = raked(stored(cells, "sums"), [f"_{i}" for i in range(len(dims))], "_tokens",
                   targets={f"_{i}": (params.get("targets") or {}).get(d) for i, d in enumerate(dims)},
                   **{k: v for k, v in params.items() if k != "targets"})
-    top = cells.where("_tokens > 0").agg(F.max("factor")).first()[0] or 1.0
+    top = 1.0 if params.get("keep") is not None else cells.where("_tokens > 0").agg(F.max("factor")).first()[0] or 1.0
     p = F.round(F.when(F.col("_tokens") > 0, F.least(F.col("factor") / top, F.lit(1.0))).otherwise(1.0), 6)
     cells = stored(cells.select(*[f"_{i}" for i in range(len(dims))], p.alias("_p")), "probabilities")
     same = None

@@ -76,3 +76,21 @@ def test_kept_tokens_come_near_the_targets(spark):
     out = mixing.mixed(df, targets={"source": {"hot": 0.1}}).where("kept").groupBy("source").count().collect()
     total = sum(r["count"] for r in out)
     assert {r.source: r["count"] for r in out}["hot"] / total == pytest.approx(0.1, abs=0.01)
+
+
+def test_one_stray_document_does_not_lower_the_rest(spark):
+    import corpus_pipeline
+    df = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("source"),
+                                  F.when(F.col("id") % 5 == 0, "fr").otherwise("en").alias("lang"), F.lit("w " * 10).alias("text"))
+    stray = spark.createDataFrame([(9999, "new", "xx", "w " * 10)], "doc_id long, source string, lang string, text string")
+    alone, beside = ({r.doc_id for r in corpus_pipeline.mix(spark, d, "").collect()} for d in (df, df.union(stray)))
+    assert 9999 in beside and len(alone ^ (beside - {9999})) <= 10
+    assert len(alone) / 4000 == pytest.approx(corpus_pipeline.KEEP, abs=0.03)
+
+
+def test_a_budget_is_kept_and_rare_values_give_all(spark):
+    cells = spark.createDataFrame([("a", "x", 600), ("a", "y", 200), ("b", "x", 100), ("b", "y", 90), ("c", "y", 10)], "s string, l string, n long")
+    got = {(r.s, r.l): (r.n, r.factor) for r in mixing.raked(cells, ["s", "l"], "n", {"s": {"a": 0.5, "b": 0.3, "c": 0.2}}, keep=0.5).collect()}
+    assert sum(n * p for n, p in got.values()) == pytest.approx(500, rel=1e-6) and got["c", "y"][1] == pytest.approx(1)
+    kept = {s: sum(n * p for (v, _), (n, p) in got.items() if v == s) for s in "abc"}
+    assert kept["b"] == pytest.approx(490 * 0.3 / 0.8, rel=1e-6) and max(p for _, p in got.values()) <= 1
