@@ -2,9 +2,9 @@
 
 A k-mer of ``K`` words is an anchor if the least hash of its inner ``S``-word substrings lies at its first
 or last place. Whether a k-mer is chosen depends on nothing but its own words (context-free), so equal
-passages give equal anchors wherever they stand. ``anchors`` has them with positions; ``sketch`` keeps the
-``SIZE`` least distinct anchor hashes of the whole text (a bottom-k sketch, the documented size of a
-fingerprint), from which ``likeness`` estimates the Jaccard similarity of the anchor sets.
+passages give equal anchors wherever they stand. ``anchors`` has them with positions. A fingerprint is all
+distinct anchor hashes of a text, and ``likeness`` of two is the Jaccard similarity of the anchor sets.
+``sketch`` with a ``size`` keeps the least hashes only (a bottom-k sketch), for an estimate.
 
 Null and blank texts have no anchors and the empty fingerprint; two empty fingerprints have likeness 1, an
 empty and another one 0. A text of fewer than ``K`` words has one anchor, its whole word sequence.
@@ -47,10 +47,11 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
     return _chosen(words_of(text), k, s, lambda i, h: F.struct(i.alias("position"), h.alias("hash")))
 
 
-def sketch(text: Column, k: int = K, s: int = S, size: int = SIZE) -> Column:
-    """The ``size`` least distinct anchor hashes (31 bits, ascending)."""
+def sketch(text: Column, k: int = K, s: int = S, size: int | None = SIZE) -> Column:
+    """The ``size`` least distinct anchor hashes (31 bits, ascending); None: all of them."""
     found = _chosen(words_of(text), k, s, lambda i, h: F.shiftrightunsigned(h, 33).cast("int"))
-    return F.slice(F.sort_array(F.array_distinct(found)), 1, size)
+    found = F.sort_array(F.array_distinct(found))
+    return found if size is None else F.slice(found, 1, size)
 
 
 def as_text(codes: Column) -> Column:
@@ -58,8 +59,13 @@ def as_text(codes: Column) -> Column:
     return F.lower(F.array_join(F.transform(codes, lambda v: F.lpad(F.hex(v), 8, "0")), ""))
 
 
-def likeness(a: Column, b: Column, size: int = SIZE) -> Column:
-    """Estimated Jaccard similarity of two sketches, 0 to 1: shared share of the least hashes of their union."""
+def likeness(a: Column, b: Column, size: int | None = SIZE) -> Column:
+    """Jaccard similarity, 0 to 1: of two sketches estimated by the least hashes of their union, of whole
+    fingerprints (``size`` None) exact."""
+    if size is None:
+        return let(F.size(F.array_union(a, b)), lambda n: F.when(n == 0, F.lit(1.0)).otherwise(
+            F.size(F.array_intersect(a, b)) / n))
+
     def share(union: Column) -> Column:
         return F.size(F.array_intersect(F.array_intersect(union, a), b)) / F.size(union)
     union = F.slice(F.sort_array(F.array_union(a, b)), 1, size)
@@ -93,19 +99,19 @@ def with_next(df: DataFrame, id_col: str, columns: list[str], chunks: int | None
 
 
 def edited_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Fingerprints of each text and of its edited text, with likenesses.
+    """Whole fingerprints of each text and of its edited text, with exact likenesses.
 
     Edited: the last floor(n_chars / 2) code points give way to the first as many (or all) of the next
     document's. A single document is its own next one.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = df.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("codes", sketch(F.col("text")))
+    rows = df.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("codes", sketch(F.col("text"), size=None))
     rows = with_next(rows, "doc_id", ["text", "codes"])
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("next_text", F.lit(1), half))
     rows = rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), "codes", "next_codes", edited.alias("edited"))
-    pair = let(sketch(F.col("edited")), lambda e: F.struct(as_text(e).alias("text"), likeness(F.col("codes"), e).alias("near")))
+    pair = let(sketch(F.col("edited"), size=None), lambda e: F.struct(as_text(e).alias("text"), likeness(F.col("codes"), e, None).alias("near")))
     rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "codes", "next_codes", pair.alias("pair"))
     return rows.select("doc_id", "n_chars", "edited_sha256", as_text(F.col("codes")).alias("fingerprint"),
                        F.col("pair.text").alias("edited_fingerprint"), F.col("pair.near").alias("near_edited"),
-                       likeness(F.col("codes"), F.col("next_codes")).alias("near_next"))
+                       likeness(F.col("codes"), F.col("next_codes"), None).alias("near_next"))

@@ -61,3 +61,14 @@ def test_next_rows_over_ties_nulls_and_many_cuts(spark):
         assert sorted((r.text, r.next_text) for r in got) == want
     assert S.edited_pairs(df.limit(0)).count() == 0
     assert S.edited_pairs(df.limit(1)).first().near_next == 1
+
+
+def test_long_texts_share_a_short_passage_exactly(spark):
+    passage = " ".join(f"p{i}" for i in range(50))
+    a, b = (" ".join(f"{c}{i}" for i in range(3000)) + " " + passage for c in "ab")
+    df = spark.createDataFrame([(2, a), (1, b)], "doc_id long, text string")
+    codes = {r.doc_id: {h.hash >> 33 & 0x7FFFFFFF for h in r.a} for r in df.select("doc_id", S.anchors(F.col("text")).alias("a")).collect()}
+    want = len(codes[1] & codes[2]) / len(codes[1] | codes[2])
+    got = {r.doc_id: r for r in S.edited_pairs(df).collect()}
+    assert want > 0 and got[1].near_next == got[2].near_next == pytest.approx(want)
+    assert len(got[1].fingerprint) == 8 * len(codes[1]) > 8 * S.SIZE
