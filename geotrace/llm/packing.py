@@ -160,6 +160,28 @@ def cut(segments: list[tuple[int, int, np.ndarray, np.ndarray]], queue: np.ndarr
     return row[order], start[order], length[order], sequence[order], offset[order]
 
 
+def interleaved(rows: DataFrame, units: DataFrame, weights: DataFrame) -> DataFrame:
+    """(key, part, begin, place): where each document of the pooled sources begins in the pool queue.
+
+    ``weights`` (key, n, weight): tokens and wanted share of each pooled source. A document's turn comes when its
+    source, spending at the rate of its weight, has spent the tokens up to a point inside the document; that point
+    is the same fraction of all documents of a source, hashed, so that sources of one document spread evenly. The
+    order is a range sort; partition sums give the places, so no task holds the whole pool.
+    """
+    before = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = units.select("key", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("from"))
+    phase = F.pmod(F.xxhash64("key"), F.lit(1 << 20)) / float(1 << 20)
+    turn = (F.col("from") + F.col("begin") + phase * F.col("n")) / F.col("weight")
+    docs = rows.select("key", "part", "begin", "n").join(bases, ["key", "part"]).join(weights.select("key", "weight"), "key")
+    docs = docs.select("key", "part", "begin", "n", turn.alias("turn")).repartitionByRange("turn", "key", "part", "begin")
+    docs = stored(docs.withColumn("range", F.spark_partition_id()), "pool")
+    sums = docs.groupBy("range").agg(F.sum("n").alias("n")).select("range", F.coalesce(F.sum("n").over(
+        Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))  # one row a partition
+    inside = Window.partitionBy("range").orderBy("turn", "key", "part", "begin").rowsBetween(Window.unboundedPreceding, -1)
+    return docs.join(sums, "range").select("key", "part", "begin", (
+        F.col("base") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("place"))
+
+
 def pack(docs: DataFrame, tokenizer: str, window: int = 4096, end_id: int = 2, id_col: str = "doc_id",
          text_col: str = "text", source_col: str | None = "source", targets: Mapping[str | None, float] | None = None,
          with_ids: bool = True) -> DataFrame:
@@ -168,7 +190,8 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 4096, end_id: int = 2, i
     ``targets``: token share wanted of each source in every window; None: the share the source has of all
     tokens, so that all queues end together. Sources without a target share what is left as they come.
     Queues that would get less than two tokens a window go into one pool queue, so there are at most
-    ``window / 2`` queues whatever the number of sources. ``ids`` (array of int) only if ``with_ids``.
+    ``window / 2`` queues whatever the number of sources. Inside the pool the sources' documents are interleaved
+    by their running shares (see ``interleaved``), small targets included. ``ids`` (array of int) only if ``with_ids``.
     """
     spark = docs.sparkSession
     rows = stored(tokenized(docs, tokenizer, id_col, text_col, source_col, end_id), "tokens")
@@ -192,17 +215,25 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 4096, end_id: int = 2, i
     segments = schedule([own[k] for k in keys] + [pooled], [shares[k] for k in keys] + [pool_share], window)
 
     queues = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "key string, queue int")
-    units = units.join(queues, "key", "left").withColumn("queue", F.coalesce("queue", F.lit(len(keys))))
-    before = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    inside = Window.partitionBy("queue", "part").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
-    parts = units.groupBy("queue", "part").agg(F.sum("n").alias("n")).select(
-        "queue", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    units = units.join(parts, ["queue", "part"]).select(
-        "key", "part", "queue", (F.col("base") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("base"))
-    units = stored(units, "places")
-    placed = rows.join(units, ["key", "part"]).select(
-        "doc_id", F.when(F.col("key") != "null", F.expr("substring(key, 2)")).alias("source"), "queue",
-        (F.col("base") + F.col("begin")).alias("begin"), "n", "ids")
+    own_units = units.join(queues, "key")
+    before = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    places = stored(own_units.select("key", "part", "queue", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "places")
+    columns = ["doc_id", F.when(F.col("key") != "null", F.expr("substring(key, 2)")).alias("source"), "queue", "begin", "n", "ids"]
+    placed = rows.join(places, ["key", "part"]).withColumn("begin", F.col("base") + F.col("begin")).select(*columns)
+    if pooled:
+        small = sums.join(queues, "key", "left_anti")
+        untold = ~F.col("key").isin(list(wanted)) if wanted else F.lit(True)
+        rest = max(1 - sum(wanted.values()), 2 / window) if wanted else 1.0
+        theirs = (small.where(untold).agg(F.sum("n")).first()[0] or 1) if wanted else total
+        weight = F.col("n") * (rest / theirs)
+        for k, w in wanted.items():
+            if w > 0:
+                weight = F.when(F.col("key") == k, float(w)).otherwise(weight)
+        small = stored(small.withColumn("weight", weight.cast("double")), "pooled")
+        loose = rows.join(small.select("key"), "key", "left_semi")
+        order = stored(interleaved(loose, units.join(small.select("key"), "key", "left_semi"), small), "order")
+        placed = placed.unionByName(loose.join(order, ["key", "part", "begin"]).withColumn("begin", F.col("place")).withColumn(
+            "queue", F.lit(len(keys))).select(*columns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = encoder(tokenizer).type

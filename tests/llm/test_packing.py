@@ -99,3 +99,28 @@ def test_encoder_equals_the_tokenizer(name, monkeypatch):
     texts = [d[2] or "" for d in DOCS] + ["It's WE'RE 'S a's! --x-- \r\n\x0b  ÀÉ ǅ İstanbul ΣΑΣ ﬁ é <|endoftext|>z", "  ", "\n"]
     for t in texts:
         assert np.frombuffer(own.encode(t), own.type).tolist() == plain.encode(t, add_special_tokens=False).ids
+
+
+def shares_by_span(pieces, span):
+    got = defaultdict(Counter)
+    for p in pieces:
+        got[p.sequence_id // span][p.source] += p.length
+    return got
+
+
+def test_pooled_sources_keep_their_shares_over_spans_of_windows(spark):
+    rows = [(i, f"s{i // 60}", "word " * 9) for i in range(2400)]  # 40 sources one after the other, each below 2 of 64 tokens
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string").coalesce(2)
+    pieces = packing.pack(df, FILE, 64).collect()
+    check(pieces, [(i, t) for i, _, t in rows], 64)
+    spans = shares_by_span(pieces, 50)
+    for k in sorted(spans)[:-1]:
+        assert len(spans[k]) == 40 and all(abs(n / 3200 - 1 / 40) <= 10 / 3200 for n in spans[k].values())
+
+
+def test_small_targets_are_honoured(spark):
+    rows = [(i, "rare" if i < 300 else "big", "word " * 9) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string").coalesce(2)
+    spans = shares_by_span(packing.pack(df, FILE, 64, targets={"rare": 0.02}).collect(), 100)
+    for k in range(3):
+        assert spans[k]["rare"] / 6400 == pytest.approx(0.02, abs=0.005)
