@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geotrace.llm import mixing, packing, ppm, quality_classifier, quality_rules, sharding, simhash, syncmers, url_filter, warc
+from geotrace.llm import (mixing, packing, ppm, quality_classifier, quality_rules, sharding, simhash, spelling, syncmers, url_filter,
+                          vector_codes, warc)
 from geotrace.llm.common import held_out, stored
 
 PIECES = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -90,3 +91,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_sharding", sharding.sharding_sql(SHARD_BYTES))
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents").select("doc_id", "text"), SHARD_BYTES, keep_text=False)
+
+
+@query("op12_spelling", spelling.variants_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op13_vector_codes", vector_codes.codes_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, _ = vector_codes.compressed(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return out.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
