@@ -6,16 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geotrace.llm.common import stored
+from geotrace.llm.skew import salted_join
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """Tie each vertex's larger (large star) or smaller-or-own (small star) neighbours to its least neighbour."""
+def _star(edges: DataFrame, large: bool, rows: int) -> DataFrame:
+    """Tie each vertex's larger (large star) or smaller-or-own (small star) neighbours to its least neighbour.
+
+    The centre of a large component has very many neighbours: its row of the least neighbours is salted.
+    """
     if large:
         near = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
         near = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = near.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-    joined = near.join(least, "a")
+    least = stored(near.groupBy("a").agg(F.least("a", F.min("b")).alias("m"), F.count("*").alias("n")), "least")
+    joined = salted_join(near, least.select("a", "m"), "a", least.select("a", "n"), total=rows)
     if large:
         out = joined.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
@@ -42,5 +46,5 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         if seen == before or not seen[0]:
             break
         before = seen
-        now = stored(_star(_star(now, True), False), "edges")
+        now = stored(_star(_star(now, True, seen[0]), False, seen[0]), "edges")
     return now.select(F.col("a").alias("vertex"), F.col("b").alias("root"))

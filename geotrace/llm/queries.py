@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geotrace.llm import (mixing, packing, ppm, quality_classifier, quality_rules, sharding, simhash, spelling, syncmers, url_filter,
+from geotrace.llm import (minhash, mixing, packing, ppm, quality_classifier, quality_rules, sharding, simhash, spelling, syncmers, url_filter,
                           vector_codes, warc)
 from geotrace.llm.common import held_out, stored
 
@@ -102,3 +102,9 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, _ = vector_codes.compressed(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
     return out.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+@query("op11_minhash", minhash.groups_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = minhash.near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=4, percent=80)
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -11,21 +11,31 @@ ROWS_A_SALT = 4096
 
 
 def salted_join(rows: DataFrame, keyed: DataFrame, key: str, counts: DataFrame, n: str = "n", how: str = "inner",
-                least: int = ROWS_A_SALT) -> DataFrame:
+                least: int = ROWS_A_SALT, total: int | None = None) -> DataFrame:
     """``rows`` joined with ``keyed`` (at most one row for each key) on ``key``; null keys are equal to each other.
 
-    ``counts`` has (key, ``n``), the exact number of ``rows`` by key. Keys over ``least`` rows and over a
-    thousandth of all rows are spread over one salt for each ``least`` rows, with their row of ``keyed``
-    repeated for each salt. That list has fewer than a thousand keys by its own rule, so it is broadcast.
+    ``counts`` has (key, ``n``), the exact number of ``rows`` by key, and ``total`` their sum (or less), if known.
+    Keys over ``least`` rows and over a thousandth of all rows are spread over one salt for each ``least`` rows,
+    with their row of ``keyed`` repeated for each salt. That list has at most a thousand keys by its own rule,
+    so it is broadcast.
     """
-    total = counts.agg(F.sum(n)).first()[0] or 0
+    if total is None:
+        total = counts.agg(F.sum(n)).first()[0] or 0
     floor = max(least, total // SHARE)
-    hot = counts.where(F.col(n) > floor).select(F.col(key).alias("_hot"), F.ceil(F.col(n) / least).cast("int").alias("_salts"))
-    left = rows.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot")), "left").drop("_hot")
-    spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_salts")).cast("int")
-    left = left.withColumn("_salt", F.coalesce(spread, F.lit(0))).drop("_salts")
-    right = keyed.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot")), "left").drop("_hot")
-    right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
-    right = right.drop("_salts").withColumnsRenamed({key: "_key", "_salt": "_s"})
-    on = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_salt") == F.col("_s"))
-    return left.join(right, on, how).drop("_key", "_salt", "_s")
+    hot_, salts, salt, other, other_salt = (_fresh(rows, keyed, c) for c in ("hot", "salts", "salt", "other", "other_salt"))
+    hot = counts.where(F.col(n) > floor).select(F.col(key).alias(hot_), F.ceil(F.col(n) / least).cast("int").alias(salts))
+    left = rows.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col(hot_)), "left").drop(hot_)
+    spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col(salts)).cast("int")
+    left = left.withColumn(salt, F.coalesce(spread, F.lit(0))).drop(salts)
+    right = keyed.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col(hot_)), "left").drop(hot_)
+    right = right.withColumn(other_salt, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(salts), F.lit(1)) - 1)))
+    right = right.drop(salts).withColumnRenamed(key, other)
+    on = F.col(key).eqNullSafe(F.col(other)) & (F.col(salt) == F.col(other_salt))
+    return left.join(right, on, how).drop(other, salt, other_salt)
+
+
+def _fresh(rows: DataFrame, keyed: DataFrame, name: str) -> str:
+    taken = {c.lower() for c in [*rows.columns, *keyed.columns]}
+    while name in taken:
+        name = "_" + name
+    return name
