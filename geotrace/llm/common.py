@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,3 +73,16 @@ def words_of(text: Column) -> Column:
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     """crc32(doc_id as text) mod ``modulus`` = ``remainder``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus == remainder
+
+
+def bit_filter(df: DataFrame, bit: Column, bits: int) -> np.ndarray:
+    """A map of ``2**bits`` bits (eight a byte, lowest first) with the bits ``bit`` of all rows set.
+
+    Its size doesn't depend on the rows; segments of 4 KB are put together by Spark. ``bits`` is 15 at least.
+    """
+    segment = F.shiftright(bit, 15).alias("segment")
+    maps = df.groupBy(segment).agg(F.bitmap_construct_agg(bit.bitwiseAND((1 << 15) - 1)).alias("map"))
+    whole = np.zeros(1 << (bits - 3), np.uint8)
+    for r in maps.toLocalIterator():  # at most 2**(bits - 15) rows
+        whole[r["segment"] << 12:(r["segment"] + 1) << 12] = np.frombuffer(r["map"], np.uint8)
+    return whole

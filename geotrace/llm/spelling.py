@@ -21,11 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geotrace.llm.common import ascii_lower, stored
+from geotrace.llm.common import ascii_lower, bit_filter, stored
 
 SYMBOLS = 8
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
+#: The filter has 16 bits a word, 32 MB at most.
+MOST_BITS = 28
+WORDS_A_TASK = 20_000
 #: Letters of the contract: A-Z a-z and U+00C0 to U+00FF.
 LETTERS = r"[A-Za-zÀ-ÿ]"
 
@@ -59,35 +62,36 @@ def neighbourhood(symbols: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate([np.array([whole], np.uint64), less, other, more]))
 
 
-def _values(words: pd.Series) -> pd.Series:
-    """Polynomial value of each reduced word."""
+def _values(words: pd.Series) -> pd.DataFrame:
+    """Polynomial value of each reduced word, and that mixed for the filter."""
     table = _symbol_table()
     out = np.zeros(len(words), np.uint64)
     for i, w in enumerate(words):
         s = _reduced(w, table)
         out[i] = (s * _powers(len(s))).sum(dtype=np.uint64)
-    return pd.Series(out.view(np.int64))
+    return pd.DataFrame({"reduced": out.view(np.int64), "mixed": (out * np.uint64(BASE)).view(np.int64)})
 
 
-def _neighbours(batches):
-    """(reduced value, value of a neighbour) rows of each reduced word; long words go out in slices."""
-    table = _symbol_table()
-    for pdf in batches:
-        held, size = [], 0
-        for own, word in zip(pdf["reduced"], pdf["word"]):
-            near = neighbourhood(_reduced(word, table)).view(np.int64)
-            for at in range(0, len(near), 1 << 16):
-                held.append((own, near[at:at + (1 << 16)]))
-                size += len(held[-1][1])
-                if size >= 1 << 16:
-                    yield _frame(held)
-                    held, size = [], 0
-        if held:
-            yield _frame(held)
+def _bit(values, bits: int):
+    """The filter's bit of reduced values: their upper bits after a multiplication."""
+    return (values.view(np.uint64) * np.uint64(BASE)) >> np.uint64(64 - bits)
 
 
-def _frame(held) -> pd.DataFrame:
-    return pd.DataFrame({"reduced": np.repeat([o for o, _ in held], [len(v) for _, v in held]), "probe": np.concatenate([v for _, v in held])})
+def _neighbours(known, bits: int):
+    """(reduced value, value of a neighbour) rows of each reduced word, as far as the filter may know the neighbour."""
+    def work(batches):
+        table = _symbol_table()
+        for pdf in batches:
+            own, probes = [], []
+            for reduced, word in zip(pdf["reduced"], pdf["word"]):
+                near = neighbourhood(_reduced(word, table)).view(np.int64)
+                at = _bit(near, bits)
+                near = near[(known.value[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+                own.append(np.full(len(near), reduced))
+                probes.append(near)
+            if own:
+                yield pd.DataFrame({"reduced": np.concatenate(own), "probe": np.concatenate(probes)})
+    return work
 
 
 def vocabulary(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_length: int = 7, min_count: int = 2,
@@ -108,9 +112,17 @@ def vocabulary(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
 
 
 def near_pairs(vocab: DataFrame) -> DataFrame:
-    """(id, other_id) of all pairs of words of ``vocab`` (id, word, reduced) one edit apart, in both directions."""
-    forms = vocab.groupBy("reduced").agg(F.min("word").alias("word"))  # one spelling stands for a reduced word
-    probes = forms.mapInPandas(_neighbours, "reduced long, probe long")
+    """(id, other_id) of all pairs of words of ``vocab`` (id, word, reduced, mixed) one edit apart, in both directions.
+
+    A bit filter over the reduced vocabulary, of ``MOST_BITS`` at most, drops most neighbours that are no word before
+    they are shuffled; what it lets through the join removes.
+    """
+    spark, rows = vocab.sparkSession, vocab.count()
+    bits = min(MOST_BITS, max(20, (16 * rows).bit_length()))
+    shifted = vocab.withColumn("bit", F.shiftrightunsigned(F.col("mixed"), 64 - bits))
+    filled = spark.sparkContext.broadcast(bit_filter(shifted, F.col("bit"), bits))
+    forms = vocab.repartition(rows // WORDS_A_TASK + 1, "reduced").groupBy("reduced").agg(F.min("word").alias("word"))  # one spelling stands for a reduced word
+    probes = forms.mapInPandas(_neighbours(filled, bits), "reduced long, probe long")
     known = vocab.select(F.col("reduced").alias("probe"), F.col("id").alias("other_id"), F.col("word").alias("other"))
     joined = probes.join(forms.select(F.col("reduced").alias("probe")), "probe", "left_semi")
     joined = stored(joined, "near-forms")
@@ -130,8 +142,9 @@ def variants(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_
     if ratio < 2:
         raise ValueError("ratio must be 2 at least, else chains of forms could have cycles")
     words = vocabulary(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text", min_length, min_count, drop_every)
-    value = F.pandas_udf(_values, T.LongType())
-    vocab = stored(words.select("word", "n", F.monotonically_increasing_id().alias("id"), value("word").alias("reduced")), "vocabulary")
+    kind = T.StructType([T.StructField("reduced", T.LongType()), T.StructField("mixed", T.LongType())])
+    value = F.pandas_udf(_values, kind)("word").alias("value")
+    vocab = stored(words.select("word", "n", F.monotonically_increasing_id().alias("id"), value).select("word", "n", "id", "value.*"), "vocabulary")
     pairs = near_pairs(vocab)
     by = vocab.select(F.col("id").alias("other_id"), F.col("word").alias("other"), F.col("n").alias("other_n"))
     best = F.min(F.struct((-F.col("other_n")).alias("less"), F.col("other").alias("word"), F.col("other_id").alias("id")))
