@@ -6,16 +6,20 @@
    coordinates share one of the first ``COORDINATES - MATCHES + 1`` pairs of each in any common order, so only
    that prefix is posted. The order is rarest first, by counts hashed to ``BUCKETS`` cells (a table of fixed
    size): lists of very common pairs are skipped, and met only by comparing whole signatures.
-3. Merging: the members of a list count their equal coordinates, 8 bits of each, and pairs below ``MATCHES``
-   drop out. First each list compares its members with its first member only; after these pairs are confirmed
-   and joined to components, lists are merged in full between different components, and pairs inside a
-   component are skipped. Long lists are dealt over many tasks: a hashed block for each ``LIST`` members, with
-   one cell for each pair of blocks that holds different components.
-4. Every candidate is confirmed on the full sets, which are read again from the texts concerned.
-
-Sets 100 * intersection >= ``percent`` * union. At 80 % a linked pair misses ``MATCHES`` = 16 of 40 coordinates
-with probability 6e-9, and only if no other link ties the two together does that show. Shingles are compared
-by 64-bit and sets by 128-bit hashes.
+3. Merging: the members of a list count their equal coordinates, 8 bits of each; pairs below ``MATCHES``
+   drop out, and pairs that earlier ones tie together are skipped. Only a spanning forest leaves a list. The
+   components of all forests hold every pair above the match threshold.
+4. Confirming: the full sets of a component's classes, read again from the texts, meet in one task, which
+   counts common shingles through the lists of classes by shingle and again lets out a spanning forest only:
+   that of the confirmed links.
+
+Lists and components above a limit are dealt by hash over parts first. Members of different parts then meet
+in cells, one for each pair of blocks, but never members of the component that holds most of a list: once
+the parts have tied a large group together, only the others are compared with it.
+
+Links are 100 * intersection >= ``percent`` * union. At 80 % a linked pair misses ``MATCHES`` = 16 of 40
+coordinates with probability 6e-9, and that shows only if nothing else ties the two together. Shingles
+are compared by 64-bit and sets by 128-bit hashes.
 """
 
 from __future__ import annotations
@@ -29,18 +33,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geotrace.llm.common import fresh, stored, without
+from geotrace.llm.common import bit_filter, fresh, stored, without
 from geotrace.llm.components import components
+from geotrace.llm.simhash import _union
 from geotrace.llm.skew import salted_join
 
 COORDINATES = 40
 MATCHES = 16
 PREFIX = COORDINATES - MATCHES + 1
 BUCKETS = 1 << 18
+#: Members of a list, and shingles of a component, that one task takes (or four times the mean of a count cell).
 LIST = 4096
+SHINGLES = 1 << 20
 PAIRS_AT_ONCE = 1 << 20
-#: Bits of the filter that picks texts to read again: segments of 4 KB, 8 MB in all.
-FILTER_BITS, SEGMENT_BITS = 26, 15
+#: The filter that picks texts to read again has 2**FILTER_BITS bits, 8 MB.
+FILTER_BITS = 26
 
 _RANDOM = np.random.default_rng(20240817).integers(0, 1 << 63, (2, COORDINATES), dtype=np.uint64)
 _FLIPS, _FACTORS = _RANDOM[0], _RANDOM[1] | np.uint64(1)
@@ -127,16 +134,54 @@ def pair_counts(classes: DataFrame) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], names=["cell", "n"])
 
-    got = classes.select("signature").mapInArrow(part, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    return _by_cell(classes.select("signature").mapInArrow(part, "cell int, n long"))
+
+
+def _by_cell(rows: DataFrame) -> np.ndarray:
+    got = rows.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(BUCKETS, np.int64)
     out[got["cell"]] = got["n"]
     return out
 
 
+def _limit(counts: np.ndarray, least: int) -> int:
+    """What a task takes: cells of the table hold many rare keys where the input is very large."""
+    return max(least, 4 * int(counts.sum()) // BUCKETS)
+
+
+def _main_components(rows: DataFrame) -> dict[str, np.ndarray]:
+    """Of (cell, component, n): by cell the component with most, and how much is in it and outside it."""
+    by = rows.groupBy("cell", "component").agg(F.sum("n").alias("n"))
+    top = by.groupBy("cell").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"))  # at most BUCKETS rows
+    got = top.select("cell", F.col("top.component").alias("most"), F.col("top.n").alias("inside"), (F.col("n") - F.col("top.n")).alias("outside"))
+    got = got.toPandas().sort_values("cell")
+    return {c: got[c].to_numpy(np.int64) for c in ("cell", "most", "inside", "outside")}
+
+
 def _mixed(ids: np.ndarray) -> np.ndarray:
     return ((ids.view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(33)).astype(np.int64)
 
 
+def _cells(ids, component, cells, main: dict[str, np.ndarray], limit: int, at_once: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(which member, part) copies of members of long lists, in slices.
+
+    Blocks of the members outside the main component meet each other and the blocks inside; blocks inside never meet.
+    """
+    where = np.searchsorted(main["cell"], cells)
+    inside = component == main["most"][where]
+    blocks_in, blocks_out = (-(-main[c][where] // limit) for c in ("inside", "outside"))
+    own = _mixed(ids) % np.maximum(np.where(inside, blocks_in, blocks_out), 1)
+    copies = np.where(inside, blocks_out, blocks_out + blocks_in)
+    for lo in range(0, len(ids), at_once):  # bounded memory, however many cells there are
+        take = np.arange(lo, min(lo + at_once, len(ids)))
+        k = np.repeat(take, copies[take])
+        other = np.arange(len(k)) - np.repeat(np.cumsum(copies[take]) - copies[take], copies[take])
+        among = ~inside[k] & (other < blocks_out[k])
+        least, most = np.minimum(own[k], other), np.maximum(own[k], other)
+        width = blocks_out[k] + blocks_in[k]
+        yield k, np.where(among, least * width + most, np.where(inside[k], other * width + blocks_out[k] + own[k], own[k] * width + other))
+
+
 POSTING = "key long, part long, class long, n long, component long, bytes binary"
 
 
@@ -157,69 +202,41 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 2048) -> Iterator[pa.
             yield batch.slice(at, rows)
 
 
-def posted_once(classes: DataFrame, counts) -> DataFrame:
-    """Prefix postings, the lists cut by hash into parts of about ``LIST`` members."""
+def posted_once(classes: DataFrame, counts, limit: int) -> DataFrame:
+    """Prefix postings, long lists cut by hash into parts."""
     def post(batches):
         for batch in _slices(batches):
             keys, cells = _prefix(_signatures(batch.column(2)), counts.value)
-            parts = _mixed(batch.column(0).to_numpy())[:, None] % -(-counts.value[cells] // LIST)
+            parts = _mixed(batch.column(0).to_numpy())[:, None] % -(-counts.value[cells] // limit)
             row, at = np.nonzero(counts.value[cells] > 1)
             yield _posted(batch, row, keys[row, at], parts[row, at])
 
     return classes.select("class", "n", "signature").mapInArrow(post, POSTING)
 
 
-def long_lists(classes: DataFrame, counts) -> dict[str, np.ndarray]:
-    """For cells with over ``LIST`` members: the component that most have, and how many have it and have not."""
-    def part(batches):
+def posted_again(classes: DataFrame, counts, limit: int) -> DataFrame:
+    """Postings of long lists only, in cells of members of different components (see :func:`_cells`)."""
+    def count(batches):
         for batch in _slices(batches, 1 << 14):
             _, cells = _prefix(_signatures(batch.column(2)), counts.value)
-            row, at = np.nonzero(counts.value[cells] > LIST)
-            if not len(row):
-                continue
-            pairs, n = np.unique(np.c_[cells[row, at], batch.column(3).to_numpy()[row]], axis=0, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int32()), pa.array(pairs[:, 1]), pa.array(n, pa.int64())], names=["cell", "component", "n"])
-
-    out = {"cell": np.zeros(0, np.int64), "most": np.zeros(0, np.int64), "inside": np.zeros(0, np.int64), "outside": np.zeros(0, np.int64)}
-    if (counts.value > LIST).any():
-        by = classes.select("class", "n", "signature", "component").mapInArrow(part, "cell int, component long, n long").groupBy("cell", "component").agg(F.sum("n").alias("n"))
-        top = by.groupBy("cell").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"))  # at most BUCKETS rows
-        got = top.select("cell", F.col("top.component").alias("most"), F.col("top.n").alias("inside"), (F.col("n") - F.col("top.n")).alias("outside")).toPandas().sort_values("cell")
-        out = {c: got[c].to_numpy(np.int64) for c in out}
-    return out
+            row, at = np.nonzero(counts.value[cells] > limit)
+            if len(row):
+                pairs, n = np.unique(np.c_[cells[row, at], batch.column(3).to_numpy()[row]], axis=0, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int32()), pa.array(pairs[:, 1]), pa.array(n, pa.int64())], names=["cell", "component", "n"])
 
+    rows = classes.select("class", "n", "signature", "component")
+    main = classes.sparkSession.sparkContext.broadcast(_main_components(rows.mapInArrow(count, "cell int, component long, n long")))
 
-def posted_again(classes: DataFrame, counts, lists) -> DataFrame:
-    """Prefix postings with components. A long list becomes cells: blocks of the members outside its main component
-    are paired with each other and with the blocks inside; inside blocks never meet."""
     def post(batches):
-        at_cell = lists.value["cell"]
         for batch in _slices(batches):
             keys, cells = _prefix(_signatures(batch.column(2)), counts.value)
-            size = counts.value[cells]
-            row, at = np.nonzero((size > 1) & (size <= LIST))
-            yield _posted(batch, row, keys[row, at], np.zeros(len(row), np.int64))
-            row, at = np.nonzero(size > LIST)
-            if not len(row):
-                continue
-            where = np.searchsorted(at_cell, cells[row, at])
-            inside = batch.column(3).to_numpy()[row] == lists.value["most"][where]
-            blocks_in, blocks_out = (-(-lists.value[c][where] // LIST) for c in ("inside", "outside"))
-            own = _mixed(batch.column(0).to_numpy())[row] % np.maximum(np.where(inside, blocks_in, blocks_out), 1)
-            # a member outside goes to its block's pairs with all blocks outside and inside, one inside to those with all blocks outside
-            copies = np.where(inside, blocks_out, blocks_out + blocks_in)
-            for lo in range(0, len(row), 256):  # bounded memory, however many cells there are
-                take = np.arange(lo, min(lo + 256, len(row)))
-                k = np.repeat(take, copies[take])
-                other = np.arange(len(k)) - np.repeat(np.cumsum(copies[take]) - copies[take], copies[take])
-                among = ~inside[k] & (other < blocks_out[k])
-                least, most = np.minimum(own[k], other), np.maximum(own[k], other)
-                width = blocks_out[k] + blocks_in[k]
-                part = np.where(among, least * width + most,
-                                np.where(inside[k], other * width + blocks_out[k] + own[k], own[k] * width + other))
-                yield _posted(batch, row[k], keys[row[k], at[k]], part + 1)
-
-    return classes.select("class", "n", "signature", "component").mapInArrow(post, POSTING)
+            row, at = np.nonzero(counts.value[cells] > limit)
+            if len(row):
+                ids, component = (batch.column(i).to_numpy()[row] for i in (0, 3))
+                for k, part in _cells(ids, component, cells[row, at], main.value, limit):
+                    yield _posted(batch, row[k], keys[row[k], at[k]], part)
+
+    return rows.mapInArrow(post, POSTING)
 
 
 # --- merging -------------------------------------------------------------------------------
@@ -229,8 +246,8 @@ def _ahead(batches):
     yield None
 
 
-def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
-    """Runs of whole (key, part) lists: start of each row's list, class, n, component, bytes."""
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Rows of whole (key, part) lists, sorted by these first two columns, with the starts of the lists."""
     carry = None
     for batch in _ahead(batches):
         table = batch if carry is None else (carry if batch is None else pa.concat_batches([carry, batch]))
@@ -241,60 +258,48 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]
         cut = table.num_rows if batch is None else int(np.flatnonzero(new)[-1])
         carry = table.slice(cut)
         if cut:
-            start = np.flatnonzero(new[:cut])
-            begin = np.repeat(start, np.diff(np.r_[start, cut]))
-            size = np.repeat(np.diff(np.r_[start, cut]), np.diff(np.r_[start, cut]))
-            keep = np.flatnonzero(size > 1)
-            moved = np.cumsum(size > 1) - 1
-            data = np.frombuffer(b"".join(table.slice(0, cut).column(5).take(pa.array(keep)).to_pylist()), np.uint8).reshape(-1, COORDINATES)
-            yield (moved[begin[keep]], *[table.column(i).to_numpy()[:cut][keep] for i in (2, 3, 4)], data)
-
-
-def _alike(a: np.ndarray, b: np.ndarray, ids, n, data, percent: int) -> pa.RecordBatch:
-    """The pairs (a[i], b[i]) with near sizes and ``MATCHES`` equal coordinates at least, least class first."""
-    fits = 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
-    a, b = a[fits], b[fits]
-    same = (data[a] == data[b]).sum(axis=1) >= MATCHES
-    a, b = ids[a[same]], ids[b[same]]
-    pairs = np.c_[np.minimum(a, b), np.maximum(a, b)]
-    pairs = np.unique(pairs, axis=0) if len(pairs) else pairs
-    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            yield table.slice(0, cut), np.flatnonzero(new[:cut])
 
 
 def _grouped(postings: DataFrame, *order: str) -> DataFrame:
     return postings.repartition("key", "part").sortWithinPartitions("key", "part", *order)
 
 
-def first_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """Candidates (a, b) of each list's first class with its others."""
-    def merge(batches):
-        for begin, ids, n, _, data in _lists(batches):
-            b = np.flatnonzero(begin != np.arange(len(begin)))
-            for at in range(0, len(b), PAIRS_AT_ONCE):
-                yield _alike(begin[b[at:at + PAIRS_AT_ONCE]], b[at:at + PAIRS_AT_ONCE], ids, n, data, percent)
-
-    return _grouped(postings, "class").mapInArrow(merge, "a long, b long").distinct()
+def _edges(label: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    tied = np.flatnonzero(label != np.arange(len(label)))
+    a, b = ids[tied], ids[label[tied]]
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
 
-def open_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """Candidates (a, b) of all lists between different components."""
+def candidate_forest(postings: DataFrame, percent: int) -> DataFrame:
+    """Forest edges (a, b) over the pairs of each list that have near sizes, ``MATCHES`` equal coordinates and different components."""
     def merge(batches):
-        for begin, ids, n, component, data in _lists(batches):
+        for table, start in _whole(batches):
+            size = np.diff(np.r_[start, table.num_rows])
+            keep = np.flatnonzero(np.repeat(size, size) > 1)
+            if not len(keep):
+                continue
+            table = table.take(pa.array(keep))
+            begin = np.repeat(np.cumsum(size[size > 1]) - size[size > 1], size[size > 1])
+            ids, n, component = (table.column(i).to_numpy() for i in (2, 3, 4))
+            data = np.frombuffer(b"".join(table.column(5).to_pylist()), np.uint8).reshape(-1, COORDINATES)
             # members are in order of n: each meets the later ones up to the greatest size that can be linked
             tag = begin.astype(np.int64) << 40  # sizes are below 2**40
             end = np.searchsorted(tag + n, tag + n * 100 // percent, "right")
             first = np.arange(len(ids)) + 1
             todo = np.maximum(end - first, 0)
             total = np.r_[0, np.cumsum(todo)]
-            at = 0
+            label, at = np.arange(len(ids)), 0
             while at < len(ids):
                 to = max(at + 1, int(np.searchsorted(total, total[at] + PAIRS_AT_ONCE, "right")) - 1)
                 a = np.repeat(np.arange(at, to), todo[at:to])
                 b = np.arange(len(a)) - np.repeat(total[at:to] - total[at], todo[at:to]) + first[a]
-                apart = component[a] != component[b]
-                if apart.any():
-                    yield _alike(a[apart], b[apart], ids, n, data, percent)
+                open_ = (component[a] != component[b]) & (label[a] != label[b])
+                a, b = a[open_], b[open_]
+                same = (data[a] == data[b]).sum(axis=1) >= MATCHES
+                _union(label, a[same], b[same])
                 at = to
+            yield _edges(label, ids)
 
     return _grouped(postings, "n", "class").mapInArrow(merge, "a long, b long").distinct()
 
@@ -302,16 +307,12 @@ def open_pairs(postings: DataFrame, percent: int) -> DataFrame:
 # --- confirming ----------------------------------------------------------------------------
 
 def full_sets(texts: DataFrame, needed: DataFrame, shingle: int) -> DataFrame:
-    """(class, values) of the classes in ``needed`` (class, text_key), from the texts themselves.
+    """(class, root, values) of the classes in ``needed`` (class, root, text_key), from the texts themselves.
 
     A bit filter of fixed size picks the texts to work out; the join with ``needed`` removes what it lets through.
     """
     bit = F.conv(F.hex(F.substring("text_key", 1, 4)), 16, 10).cast("long").bitwiseAND((1 << FILTER_BITS) - 1)
-    segment = F.shiftright(bit, SEGMENT_BITS)
-    maps = needed.groupBy(segment.alias("segment")).agg(F.bitmap_construct_agg(bit.bitwiseAND((1 << SEGMENT_BITS) - 1)).alias("map")).collect()
-    whole = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    for r in maps:
-        whole[r["segment"] << (SEGMENT_BITS - 3):(r["segment"] + 1) << (SEGMENT_BITS - 3)] = np.frombuffer(r["map"], np.uint8)
+    whole = bit_filter(needed, bit, FILTER_BITS)
     wanted = texts.sparkSession.sparkContext.broadcast(whole)
 
     def work(batches):
@@ -329,24 +330,80 @@ def full_sets(texts: DataFrame, needed: DataFrame, shingle: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(values, pa.binary())], names=["text_key", "values"])
 
     found = texts.mapInArrow(work, "text_key binary, values binary")
-    return found.join(needed, "text_key").groupBy("class").agg(F.first("values").alias("values"))
+    return found.join(needed, "text_key").drop("text_key")  # a class may come several times, from several copies
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are alike; each row moves one set."""
-    def check(batches):
-        for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep[i] = 100 * both >= percent * (len(x) + len(y) - both)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
+def _linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """The least tied member of each of ``sets``; members are tied if they are alike.
 
-    count = lambda c: stored(pairs.groupBy(c).agg(F.count("*").alias("n")), f"pairs-{c}")
-    rows = salted_join(pairs, sets.select(F.col("class").alias("b"), F.col("values").alias("y")), "b", count("b"), least=512)
-    rows = salted_join(rows, sets.select(F.col("class").alias("a"), F.col("values").alias("x")), "a", count("a"), least=512)
-    return rows.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
+    Common shingles are counted over the lists of members by shingle, one member against all later ones at a time.
+    """
+    n = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), n)
+    _, shingle, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = often[shingle] > 1
+    owner, shingle = owner[shared], shingle[shared]
+    order = np.argsort(shingle, kind="stable")
+    members, begin = owner[order], np.searchsorted(shingle[order], np.arange(len(often) + 1))
+    label, at = np.arange(len(sets)), np.searchsorted(owner, np.arange(len(sets) + 1))
+    for x in range(len(sets) - 1):
+        mine = shingle[at[x]:at[x + 1]]
+        lists = begin[mine + 1] - begin[mine]
+        flat = np.arange(lists.sum()) - np.repeat(np.cumsum(lists) - lists, lists) + np.repeat(begin[mine], lists)
+        both = np.bincount(members[flat], minlength=len(sets))
+        alike = 100 * both >= percent * (n + n[x] - both)
+        y = np.flatnonzero(alike & (label != label[x]) & (np.arange(len(sets)) > x))
+        if len(y):
+            _union(label, np.full(len(y), x), y)
+    return label
+
+
+def confirmed_forest(rows: DataFrame, percent: int) -> DataFrame:
+    """Forest edges (a, b) of the confirmed links inside each (key, part) group of (key, part, class, values)."""
+    def check(batches):
+        for table, start in _whole(batches):
+            ids, values = table.column(2).to_numpy(), table.column(3)
+            for lo, hi in zip(start, np.r_[start[1:], len(ids)]):
+                at = lo + np.flatnonzero(np.r_[True, ids[lo + 1:hi] != ids[lo:hi - 1]])
+                if len(at) > 1:
+                    sets = [np.frombuffer(values[int(i)].as_buffer(), np.uint64) for i in at]
+                    yield _edges(_linked(sets, percent), ids[at])
+
+    return _grouped(rows.select("key", "part", "class", "values"), "class").mapInArrow(check, "a long, b long").distinct()
+
+
+def confirmed(sets: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links (a, b) among the classes of each component; ``sets`` is a stored (class, root, values)."""
+    spark = sets.sparkSession
+    shingles = (F.length("values") / 8).cast("long")
+    rows = sets.select(F.col("root").alias("key"), "class", "values", F.pmod(F.xxhash64("root"), F.lit(BUCKETS)).cast("int").alias("cell"))
+    counts = _by_cell(rows.select("cell", shingles.alias("n")))
+    limit = _limit(counts, SHINGLES)
+    counts = spark.sparkContext.broadcast(counts)
+
+    def once(batches):
+        for b in _slices(batches):
+            part = _mixed(b.column(1).to_numpy()) % -(-counts.value[b.column(3).to_numpy()] // limit)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(part), b.column(1), b.column(2)], names=["key", "part", "class", "values"])
+
+    shape = "key long, part long, class long, values binary"
+    out = stored(confirmed_forest(rows.mapInArrow(once, shape), percent), "links")
+    if (counts.value <= limit).all():
+        return out
+    known = components(out, "a", "b").select(F.col("vertex").alias("class"), F.col("root").alias("component"))
+    large = spark.createDataFrame([(int(c),) for c in np.flatnonzero(counts.value > limit)], "cell int")  # at most a quarter of BUCKETS
+    long = rows.join(F.broadcast(large), "cell", "left_semi").join(known, "class", "left")
+    long = long.select("key", "class", "values", "cell", F.coalesce("component", "class").alias("component"))
+    main = spark.sparkContext.broadcast(_main_components(long.select("cell", "component", shingles.alias("n"))))
+
+    def again(batches):
+        for b in _slices(batches, 64):
+            ids, component = b.column(1).to_numpy(), b.column(4).to_numpy()
+            for k, part in _cells(ids, component, b.column(3).to_numpy(), main.value, limit, 4):
+                k = pa.array(k)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(k), pa.array(part), b.column(1).take(k), b.column(2).take(k)], names=["key", "part", "class", "values"])
+
+    return out.union(stored(confirmed_forest(long.mapInArrow(again, shape), percent), "links"))
 
 
 def links(texts: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -355,20 +412,20 @@ def links(texts: DataFrame, classes: DataFrame, shingle: int, percent: int) -> D
     ``classes`` is a stored (class, n, signature, text_key) with one row for each distinct set.
     """
     spark = classes.sparkSession
-    counts = spark.sparkContext.broadcast(pair_counts(classes))
-
-    def settled(pairs: DataFrame, name: str) -> DataFrame:
-        pairs = stored(pairs, f"{name}-pairs")
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-        needed = stored(ids.join(classes.select("class", "text_key"), "class"), f"{name}-needed")
-        sets = stored(full_sets(texts, needed, shingle), f"{name}-sets")
-        return stored(confirmed(pairs, sets, percent), f"{name}-links")
-
-    one = settled(first_pairs(posted_once(classes, counts), percent), "first")
-    tied = classes.join(components(one, "a", "b"), F.col("class") == F.col("vertex"), "left")
-    tied = stored(tied.select("class", "n", "signature", F.coalesce("root", "class").alias("component")), "tied")
-    lists = spark.sparkContext.broadcast(long_lists(tied, counts))
-    return one.union(settled(open_pairs(posted_again(tied, counts, lists), percent), "open"))
+    counts = pair_counts(classes)
+    limit = _limit(counts, LIST)
+    given = spark.sparkContext.broadcast(counts)
+    pairs = stored(candidate_forest(posted_once(classes, given, limit), percent), "candidates")
+    roots = components(pairs, "a", "b")
+    if (counts > limit).any():
+        tied = classes.join(roots, F.col("class") == F.col("vertex"), "left")
+        tied = stored(tied.select("class", "n", "signature", F.coalesce("root", "class").alias("component")), "tied")
+        more = stored(candidate_forest(posted_again(tied, given, limit), percent), "candidates")
+        roots = components(pairs.union(more), "a", "b")
+    own = roots.select("root").distinct().select(F.col("root").alias("vertex"), "root")
+    needed = roots.union(own).distinct().join(classes.select("class", "text_key"), F.col("vertex") == F.col("class"))
+    needed = stored(needed.select("class", "root", "text_key"), "needed")
+    return confirmed(stored(full_sets(texts, needed, shingle), "sets"), percent)
 
 
 def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80,

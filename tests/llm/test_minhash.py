@@ -55,25 +55,51 @@ def corpus(seed):
     return [(int(i), texts[i]) for i in order]
 
 
-@pytest.mark.parametrize("seed, long", [(1, 4096), (2, 16)])  # the second deals most lists over blocks
-def test_equals_brute_force(spark, monkeypatch, seed, long):
+@pytest.mark.parametrize("seed, long, shingles", [(1, 4096, 1 << 20), (2, 16, 3000)])  # the second deals lists and components over blocks
+def test_equals_brute_force(spark, monkeypatch, seed, long, shingles):
     monkeypatch.setattr(minhash, "LIST", long)
+    monkeypatch.setattr(minhash, "SHINGLES", shingles)
     rows = corpus(seed)
     assert run(spark, rows) == brute(rows)
 
 
-def test_long_lists_meet_in_every_pair_of_blocks_but_not_inside_the_main_component(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "LIST", 4)
+def test_long_lists_meet_in_every_pair_of_blocks_but_not_inside_the_main_component():
+    ids = np.arange(50)
+    component, cells = np.where(ids < 30, 7, ids), np.zeros(50, np.int64)
+    main = {"cell": np.array([0]), "most": np.array([7]), "inside": np.array([30]), "outside": np.array([20])}
+    met, copies = set(), np.zeros(50, int)
+    by_part = {}
+    for k, part in minhash._cells(ids, component, cells, main, 4):
+        for i, p in zip(k.tolist(), part.tolist(), strict=True):
+            by_part.setdefault(p, set()).add(i)
+            copies[i] += 1
+    for group in by_part.values():
+        met |= {(a, b) for a in group for b in group if a < b}
+    assert {(a, b) for a in range(50) for b in range(a + 1, 50) if b >= 30} <= met
+    assert copies[:30].max() == 5 and copies[30:].max() == 13  # blocks outside; all blocks
+
+
+def test_forests_are_linear_and_complete(spark):
     rng = np.random.default_rng(3)
     sign = rng.integers(0, 1 << 32, minhash.COORDINATES, dtype=np.uint64).astype("<u4").tobytes()
-    rows = [(i, 10, sign, 7 if i < 30 else i) for i in range(50)]  # one signature: every list has 50 members
-    df = spark.createDataFrame([(a, b, bytearray(c), d) for a, b, c, d in rows], "class long, n long, signature binary, component long")
+    df = spark.createDataFrame([(i, 10, bytearray(sign)) for i in range(50)], "class long, n long, signature binary")  # every list has all
     counts = spark.sparkContext.broadcast(minhash.pair_counts(df))
-    lists = spark.sparkContext.broadcast(minhash.long_lists(df, counts))
-    post = minhash.posted_again(df, counts, lists)
-    pairs = {(r["a"], r["b"]) for r in minhash.open_pairs(post, 80).collect()}
-    assert pairs == {(a, b) for a in range(50) for b in range(a + 1, 50) if b >= 30}
-    assert post.where("class < 30").groupBy("key", "class").count().agg(F.max("count")).first()[0] <= 5  # blocks outside, not inside
+    pairs = minhash.candidate_forest(minhash.posted_once(df, counts, 4096), 80).collect()
+    assert len(pairs) == 49 and {r["b"] for r in pairs} == set(range(1, 50))
+    sets = [np.sort(rng.choice(60, 40, replace=False)).astype(np.uint64) for _ in range(80)]
+    label = minhash._linked(sets, 60)
+    root = list(range(80))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for i in range(80):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * both >= 60 * (80 - both):
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    assert label.tolist() == [find(i) for i in range(80)] and len(set(label.tolist())) > 1
 
 
 def test_wide_and_long_texts_extra_columns_and_repeated_ids(spark):
