@@ -27,9 +27,9 @@ def salted_join(rows: DataFrame, keyed: DataFrame, key: str, counts: DataFrame,
     left = rows.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col(hot_)), "left").drop(hot_)
     spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col(salts)).cast("int")
     left = left.withColumn(salt, F.coalesce(spread, F.lit(0))).drop(salts)
-    right = keyed.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col(hot_)), "left").drop(hot_)
-    right = right.withColumn(other_salt, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(salts), F.lit(1)) - 1)))
-    right = right.drop(salts).withColumnRenamed(key, other)
+    more = keyed.join(F.broadcast(hot.where(F.col(salts) > 1)), F.col(key).eqNullSafe(F.col(hot_))).drop(hot_)
+    more = more.withColumn(other_salt, F.explode(F.sequence(F.lit(1), F.col(salts) - 1))).drop(salts)
+    right = keyed.withColumn(other_salt, F.lit(0)).unionByName(more).withColumnRenamed(key, other)
     on = F.col(key).eqNullSafe(F.col(other)) & (F.col(salt) == F.col(other_salt))
     return left.join(right, on, how).drop(other, salt, other_salt)
 
