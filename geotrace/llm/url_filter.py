@@ -102,15 +102,19 @@ def segment(names: DataFrame, name: str, vocabulary: DataFrame) -> DataFrame:
 
 def judged(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
            rules: Sequence[tuple[str, str]] = RULES, seed_block: Sequence[str] = SEED_BLOCK,
-           seed_weight: int = 5) -> DataFrame:
-    """(id, host, path, rule, verdict, score): score is the log odds of block by the method, for every url."""
+           seed_weight: int = 5, prior: float = 0.0) -> DataFrame:
+    """(id, host, path, rule, verdict, score): score is the log odds of block by the method, for every url.
+
+    ``prior`` is the log odds of block before a word is seen. It is a setting, not the tables' share of spam,
+    so the same url has the same prior in a table of any size. Words count as often as they occur.
+    """
     pages = without(pages, "host", "path", "rule", "verdict", "score")
     url, html = F.col(url_col), F.coalesce(F.col(html_col), F.lit(""))
     title = F.regexp_extract(html, r"(?i)<title[^>]*>([^<]*)", 1)
     rows = pages.select(F.col(id_col), host_of(url).alias("host"), path_of(url).alias("path"), runs(title).alias("title"))
     rule, said = first_rule(F.col("host"), F.col("path"), rules)
     stop = sorted({w for _, r in rules for w in re.findall(r"[^\W\d_]+", r.lower())})
-    path_words = F.array_except(runs(F.col("path")), F.array(*[F.lit(w) for w in stop])) if stop else runs(F.col("path"))
+    path_words = F.filter(runs(F.col("path")), lambda w: ~w.isin(stop)) if stop else runs(F.col("path"))  # repeats stay
     rows = stored(rows.withColumns({"rule": rule, "said": said, "path_words": path_words}), "urls")
 
     # word counts of titles, paths and seeds: what the segmentation knows of the language
@@ -136,8 +140,6 @@ def judged(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     told = kinds.select(F.explode("words").alias("word"), "spam", "n").unionByName(seeds.withColumn("spam", F.lit(True)))
     tokens = stored(told.groupBy("word").agg(b.alias("block"), a.alias("allow")), "tokens")
     n_block, n_allow = (x or 0 for x in tokens.agg(F.sum("block"), F.sum("allow")).first())
-    docs = kinds.agg(b, a).first()
-    prior = math.log(((docs[0] or 0) + 1) / ((docs[1] or 0) + 1))
     base = (F.col("block") + F.col("allow")) * (SMOOTHING / max(n_block + n_allow, 1))
     weight = F.log((F.col("block") + base) / (n_block + SMOOTHING)) - F.log((F.col("allow") + base) / (n_allow + SMOOTHING))
     scores = kinds.select("host", "path_words", F.explode(F.array_distinct("words")).alias("word"), "words").distinct().join(

@@ -50,33 +50,40 @@ def test_viterbi_is_the_best_of_all_splits():
         assert "".join(got) == run and score(got) == pytest.approx(max(map(score, splits)))
 
 
-def test_naive_bayes_equals_brute_force(spark):
-    hosts = ["casino-win.com", "win-big.com", "good-news.com", "news-blog.com", "blog.org"]
-    urls = [f"http://{hosts[i % 5]}/{['shop', 'read', 'en'][i % 3]}/{i}" for i in range(40)]
+@pytest.mark.parametrize("rules", [(), U.RULES])
+def test_naive_bayes_scores_equal_brute_force_with_repeated_words(spark, rules):
+    hosts = ["casino-win.com", "win-big.com", "good-news.com", "news-blog.com", "blog.biz"]
+    urls = [f"http://{hosts[i % 5]}/{['shop', 'read', 'shop/read/shop'][i % 3]}/{'shop/' * (i % 4)}{i}" for i in range(40)]
     df = spark.createDataFrame([(i, u, "<title>casino win big good news blog</title>") for i, u in enumerate(urls)], "page_id long, url string, html string")
-    got = U.judged(df, rules=(), seed_block=("casino",), seed_weight=2).collect()
-    tokens = {u: re.findall("[a-z]+", u.split("//")[1].partition("/")[0]) + [*re.findall("[a-z]+", u.split("//")[1].partition("/")[2]), "0"] for u in urls}
-    vocabulary = {"casino", "win", "big", "good", "news", "blog", "shop", "read", "en"}
-    block, allow = {}, {}
-    docs = [0, 0]
-    for u in urls:
-        mine = [w for w in tokens[u] if w in vocabulary or w in ("0", "com", "org")]
-        spam = "casino" in mine
-        docs[spam] += 1
-        for w in mine:
-            (block if spam else allow)[w] = (block if spam else allow).get(w, 0) + 1
-    block["casino"] = block.get("casino", 0) + 2
-    size, nb, na = len({*block, *allow}), sum(block.values()), sum(allow.values())
+    got = U.judged(df, rules=rules, seed_block=("casino",), seed_weight=2, prior=-0.25).collect()
+    stop = {w for _, r in rules for w in re.findall("[a-z]+", r)}
+    tokens = [[w for w in re.findall("[a-z]+", u.split("//")[1].partition("/")[0]) + re.findall("[a-z]+", u.split("//")[1].partition("/")[2]) if w not in stop] + ["0"]
+              for u in urls]
+    block, allow = {"casino": 2}, {}
+    for words in tokens:
+        for w in words:
+            side = block if "casino" in words else allow
+            side[w] = side.get(w, 0) + 1
+    nb, na = sum(block.values()), sum(allow.values())
+
+    def weight(w):
+        x, y = block.get(w, 0), allow.get(w, 0)
+        base = (x + y) * U.SMOOTHING / (nb + na)
+        return math.log((x + base) / (nb + U.SMOOTHING)) - math.log((y + base) / (na + U.SMOOTHING))
     for r in got:
-        mine = tokens[urls[r.page_id]]
-        if all(w in vocabulary or w == "0" for w in mine if w not in ("com", "org")):
-            split = [w for w in mine if w not in ("com", "org")] + [w for w in mine if w in ("com", "org")]
-            want = math.log((docs[1] + 1) / (docs[0] + 1)) + sum(
-                math.log((block.get(w, 0) + 1) / (nb + size)) - math.log((allow.get(w, 0) + 1) / (na + size)) for w in split)
-            assert (r.score > 0) == (want > 0)
+        assert r.score == pytest.approx(-0.25 + sum(map(weight, tokens[r.page_id])))
     assert {r.verdict for r in got if "casino" in r.host} == {"block"} and {r.verdict for r in got if "news" in r.host} == {"allow"}
 
 
+def test_a_repeated_path_word_counts_again_and_the_prior_does_not_follow_the_table(spark):
+    rows = [(0, "http://a.biz/spam", None), (1, "http://b.biz/ok", None), (2, "http://b.biz/ok/ok/ok/ok", None), *[(i, None, None) for i in range(3, 40)]]
+    clean = spark.range(100, 3000).selectExpr("id", "concat('https://blog', id % 7, '.example.biz/en/page/', id)", "'<title>a blog page</title>'")
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").union(clean)
+    got = {r.page_id: r for r in U.judged(df, rules=()).collect()}
+    assert got[0].verdict == "block" and got[2].score < got[1].score < 0
+    assert {got[i].verdict for i in range(3, 40)} == {"allow"} and {got[i].score for i in range(3, 40)} == {0.0}
+
+
 def test_segmentation_joins_only_known_words(spark):
     names = spark.createDataFrame([("freebets",), ("zzz",), ("b" * 70,)], "run string")
     words = spark.createDataFrame([("free", 5), ("bets", 4), ("bet", 9)], "word string, n long")
