@@ -1,9 +1,12 @@
 """Quality rules with host-level verdicts, in DataFrame functions only.
 
-Each text gets word, symbol, duplicate-line and repeated-window counts and a base verdict. Failures are
-then summed by host, each host's failure rate is shrunk towards an empirical beta prior (moments of the
-rates of all hosts), and the verdict of the hosts is joined back: a document stays if it passes the base
-rules and its host's shrunk rate is at most ``max_host_rate``.
+Each text gets word, symbol, duplicate-line and repeated-window counts, a base verdict and the rules it fails
+(``RULES``). Each rule's failures are summed by host, and each host's failure rate of each rule is shrunk
+towards that rule's empirical beta prior: the mean of the rates of all hosts, and their variance less what
+sampling alone makes of it. A host fails if its shrunk rate of any rule lies over ``spread`` of the prior's
+deviations above the prior's mean, or if its shrunk rate of base failures is over ``max_host_rate``. The
+verdicts are joined back: a document stays if it passes the base rules and its host doesn't fail. Where
+hosts differ by no more than chance, the priors have no deviation and no host stands out.
 
 Null texts count as empty (they fail the base rules); documents without a host share one group. Repeated
 rows count as often as they occur. An empty table gives an empty one.
@@ -18,6 +21,9 @@ from geotrace.llm.common import SPACES, fresh, let, stored, without, words_of
 
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 LOW32 = 0xFFFFFFFF
+#: Rules whose failures are summed by host, as expressions over ``STATS`` that Spark and DuckDB read alike; the base verdict is the first.
+RULES = {"base": "base_failed", "repeats": "100 * n_repeat_words > 50 * n_words", "symbols": "10 * n_symbols > n_words",
+         "lines": "n_dup_lines >= 3", "lengths": "word_chars < 3 * n_words OR word_chars > 10 * n_words"}
 
 
 def repeat_words(words: Column, window: int = 3) -> Column:
@@ -70,28 +76,32 @@ def base_failed(min_words: int = 50, max_repeat_percent: int = 50) -> Column:
     return (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
 
 
-def host_rates(df: DataFrame, host_col: str, failed_col: str, max_rate: float = 0.5) -> DataFrame:
-    """(host, n, failed, rate, host_failed): failure rates by host, shrunk towards the empirical beta prior.
+def host_rates(df: DataFrame, host_col: str, max_rate: float = 0.5, spread: float = 3.0) -> DataFrame:
+    """(host, n, rate_<rule>..., host_failed) of a table with ``STATS`` and ``base_failed``.
 
-    The prior's mean and variance are those of the raw rates over hosts. Its strength is
-    mean * (1 - mean) / variance - 1, at least 1; if all rates are equal, every rate is the mean.
+    A prior's strength is mean * (1 - mean) / variance - 1, at least 1; without variance, every rate is the mean.
     """
-    raw = df.groupBy(F.col(host_col).alias("host")).agg(F.count("*").alias("n"), F.sum(F.col(failed_col).cast("long")).alias("failed"))
-    raw = stored(raw, "hosts")
-    rate = F.col("failed") / F.col("n")
-    mean, var = raw.agg(F.avg(rate), F.var_pop(rate)).first()
-    if mean is None:
-        shrunk = rate
-    elif not var:
-        shrunk = F.lit(float(mean))
-    else:
-        strength = max(mean * (1 - mean) / var - 1, 1.0)
-        shrunk = (F.col("failed") + mean * strength) / (F.col("n") + strength)
-    return raw.withColumn("rate", shrunk).withColumn("host_failed", F.col("rate") > max_rate)
+    host = fresh(df, "host_")
+    sums = [F.sum(F.expr(c).cast("long")).alias(f"failed_{r}") for r, c in RULES.items()]
+    raw = stored(df.withColumn(host, F.col(f"`{host_col}`")).groupBy(host).agg(F.count("*").alias("n"), *sums), "hosts")
+    rate = {r: F.col(f"failed_{r}") / F.col("n") for r in RULES}
+    stats = raw.agg(F.avg(F.lit(1.0) / F.col("n")), *[f(x) for x in rate.values() for f in (F.avg, F.var_pop)]).first()
+    failed, shrunk = F.lit(False), {}
+    for i, r in enumerate(RULES):
+        mean, var = stats[1 + 2 * i] or 0.0, stats[2 + 2 * i] or 0.0
+        var = var - mean * (1 - mean) * (stats[0] or 0.0)
+        if var > 0:
+            strength = max(mean * (1 - mean) / var - 1, 1.0)
+            shrunk[r] = (F.col(f"failed_{r}") + mean * strength) / (F.col("n") + strength)
+            failed = failed | (shrunk[r] > mean + spread * var ** 0.5)
+        else:
+            shrunk[r] = F.lit(float(mean))
+    failed = failed | (shrunk["base"] > max_rate)
+    return raw.select(F.col(host).alias("host"), "n", *[v.alias(f"rate_{r}") for r, v in shrunk.items()], failed.alias("host_failed"))
 
 
 def judged(df: DataFrame, host_col: str = "source", text_col: str = "text", keep_text: bool = False,
-           min_words: int = 50, max_repeat_percent: int = 50, max_host_rate: float = 0.5) -> DataFrame:
+           min_words: int = 50, max_repeat_percent: int = 50, max_host_rate: float = 0.5, spread: float = 3.0) -> DataFrame:
     """Rows of ``df`` (without the text unless ``keep_text``) with ``STATS``, ``base_failed`` and ``kept``.
 
     Texts are read once: the row table with its statistics is written, summed by host, and met again by
@@ -101,7 +111,7 @@ def judged(df: DataFrame, host_col: str = "source", text_col: str = "text", keep
     rows = text_stats(df, text_col, keep_text).withColumn("base_failed", base_failed(min_words, max_repeat_percent))
     rows = stored(rows, "judged")
     bad, failing = fresh(rows, "bad_host"), fresh(rows, "host_failed")
-    hosts = host_rates(rows, host_col, "base_failed", max_host_rate).where("host_failed")
+    hosts = host_rates(rows, host_col, max_host_rate, spread).where("host_failed")
     hosts = stored(hosts.select(F.col("host").alias(bad), F.col("host_failed").alias(failing)), "bad_hosts")
     out = rows.join(hosts, F.col(f"`{host_col}`").eqNullSafe(F.col(bad)), "left")
     return out.withColumn("kept", ~F.col("base_failed") & F.col(failing).isNull()).drop(bad, failing)
@@ -116,8 +126,16 @@ def accepted(df: DataFrame, host_col: str = "source", text_col: str = "text", **
     return out.select(*[F.col(f"`{n}`").alias(c) for n, c in zip(renamed.columns, df.columns, strict=True)])
 
 
-def rules_sql(min_words: int = 50, max_repeat_percent: int = 50, max_host_rate: float = 0.5, table: str = "documents") -> str:
+def rules_sql(min_words: int = 50, max_repeat_percent: int = 50, max_host_rate: float = 0.5, spread: float = 3.0,
+              table: str = "documents") -> str:
     """CTEs of the DuckDB twin, ending in ``judged`` (doc_id, source, counts, base_failed, kept)."""
+    failed = ", ".join(f"sum(CAST({c} AS INT)) AS f_{r}" for r, c in RULES.items())
+    priors = ", ".join(f"avg(f_{r} / n) AS m_{r}, var_pop(f_{r} / n) - avg(f_{r} / n) * (1 - avg(f_{r} / n)) * avg(1.0 / n) AS v_{r}" for r in RULES)
+
+    def shrunk(r: str) -> str:
+        strength = f"greatest(m_{r} * (1 - m_{r}) / v_{r} - 1, 1)"
+        return f"(CASE WHEN v_{r} > 0 THEN (f_{r} + m_{r} * {strength}) / (n + {strength}) ELSE m_{r} END)"
+    beyond = " OR ".join(f"(v_{r} > 0 AND {shrunk(r)} > m_{r} + {spread} * sqrt(greatest(v_{r}, 0)))" for r in RULES)
     space = r"[\x20\x09-\x0D]"
     return rf"""
 t AS (SELECT doc_id, source, coalesce(text, '') AS text,
@@ -135,10 +153,8 @@ stats AS (SELECT t.doc_id, source, CAST(len(w) AS BIGINT) AS n_words,
                  CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words
           FROM t LEFT JOIN cov ON t.doc_id = cov.doc_id),
 base AS (SELECT *, n_words < {min_words} OR 100 * n_repeat_words > {max_repeat_percent} * n_words AS base_failed FROM stats),
-host AS (SELECT source, count(*) AS n, sum(CAST(base_failed AS INT)) AS failed FROM base GROUP BY source),
-prior AS (SELECT avg(failed / n) AS m, var_pop(failed / n) AS v FROM host),
-rate AS (SELECT source, CASE WHEN v = 0 THEN m ELSE
-                (failed + m * greatest(m * (1 - m) / v - 1, 1)) / (n + greatest(m * (1 - m) / v - 1, 1)) END AS rate
-         FROM host, prior),
-judged AS (SELECT base.*, NOT base_failed AND NOT coalesce(rate.rate > {max_host_rate}, false) AS kept
-           FROM base LEFT JOIN rate ON base.source IS NOT DISTINCT FROM rate.source)"""
+host AS (SELECT source, count(*) AS n, {failed} FROM base GROUP BY source),
+prior AS (SELECT {priors} FROM host),
+bad AS (SELECT source FROM host, prior WHERE {shrunk("base")} > {max_host_rate} OR {beyond}),
+judged AS (SELECT base.*, NOT base_failed AND NOT EXISTS (SELECT 1 FROM bad WHERE base.source IS NOT DISTINCT FROM bad.source) AS kept
+           FROM base)"""

@@ -39,11 +39,37 @@ def test_host_verdict_is_shrunk_and_joined_back(spark):
     got = Q.judged(df).collect()
     assert {(r.source, r.kept) for r in got if not r.base_failed} == {("g", True), ("b", False), (None, True), ("one", True)}
     assert not any(r.kept for r in got if r.base_failed)
-    rates = {r.host: r for r in Q.host_rates(df.selectExpr("source", "text = 'short' AS failed"), "source", "failed").collect()}
-    raw = {h: r.failed / r.n for h, r in rates.items()}
+    rates = {r.host: r for r in Q.host_rates(Q.judged(df), "source").collect()}
+    raw, n = {}, {}
+    for s in ("g", "b", None, "one"):
+        mine = [t == bad for h, t in rows if h == s]
+        raw[s], n[s] = sum(mine) / len(mine), len(mine)
     mean = sum(raw.values()) / 4
-    strength = max(mean * (1 - mean) / (sum((x - mean) ** 2 for x in raw.values()) / 4) - 1, 1)
-    assert all(r.rate == pytest.approx((r.failed + mean * strength) / (r.n + strength)) for r in rates.values())
+    var = sum((x - mean) ** 2 for x in raw.values()) / 4 - mean * (1 - mean) * sum(1 / x for x in n.values()) / 4
+    strength = max(mean * (1 - mean) / var - 1, 1)
+    assert all(r.rate_base == pytest.approx((raw[h] * n[h] + mean * strength) / (n[h] + strength)) for h, r in rates.items())
+
+
+def test_a_host_that_fails_one_rule_far_more_than_others_goes_and_chance_alone_makes_none_go(spark):
+    good, odd = " ".join(f"w{i}" for i in range(60)), " ".join(f"w{i}" for i in range(60)) + " ########"
+    rows = [(f"h{i % 30}", odd if i % 30 == 7 and i % 2 or i % 61 == 0 else good) for i in range(3000)]
+    df = spark.createDataFrame([(i, s, t) for i, (s, t) in enumerate(rows)], "doc_id long, source string, text string")
+    got = Q.judged(df).collect()
+    assert not any(r.base_failed for r in got) and {r.source for r in got if not r.kept} == {"h7"}
+    even = df.withColumn("source", df.doc_id.cast("int").cast("string").substr(-1, 1))
+    assert all(r.kept for r in Q.judged(even).collect())
+
+
+def test_sql_twin_rejects_the_same_hosts(spark):
+    import duckdb
+    good, odd, short = " ".join(f"w{i}" for i in range(60)), " ".join(f"w{i}" for i in range(60)) + " #########", "short text"
+    rows = [(i, None if i % 23 == 5 else f"h{i % 23}", odd if i % 23 == 7 else short if i % 23 == 9 and i % 3 else good if i % 17 else odd) for i in range(900)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, source VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+    want = {r[0]: r[1] for r in con.execute(f"WITH {Q.rules_sql()} SELECT doc_id, kept FROM judged").fetchall()}
+    got = {r.doc_id: r.kept for r in Q.judged(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()}
+    assert got == want and {s for i, s, _ in rows if not got[i] and s != "h9"} >= {"h7"}
 
 
 def test_accepted_returns_the_columns_as_they_came(spark):

@@ -65,7 +65,9 @@ def test_unwanted_members_are_skipped_by_length_without_inflating(tmp_path):
     got = list(warc.records(view(tmp_path, bytes(broken)), 0, len(broken), lambda h: h["warc-record-id"] != "<urn:page:0>", True))
     assert [h["warc-record-id"] for h, _ in got] == [f"<urn:page:{i}>" for i in (1, 2, 3)]
     assert all(b.endswith(r["payload"]) for (_, b), r in zip(got, rows[1:], strict=True))
-    assert len(list(warc.records(view(tmp_path, data), size, 2 * size, lambda h: True, False))) == 1  # a split's own records
+    second = size + len(warc.member(warc.record(rows[1])))  # members of random bytes differ in length
+    own = [h["warc-record-id"] for h, _ in warc.records(view(tmp_path, data), size, second, lambda h: True, False)]
+    assert own == ["<urn:page:1>"]  # a split's own records
 
 
 @pytest.mark.parametrize("kind", ["plain", "gzip"])
