@@ -319,18 +319,26 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modu
         key, value = (known.column(c).to_numpy() for c in ("key", "value"))
         order = np.argsort(key)
         key, value = key[order], value[order]
-        value = value.astype(np.float32)  # halves what goes back; counts stay exact to 2**24
-        found = [value[np.searchsorted(key, np.frombuffer(k.as_buffer(), np.int64))].tobytes() for k in asked.column("keys")]
+        found = []
+        for k in asked.column("keys"):
+            k = np.frombuffer(k.as_buffer(), np.int64)
+            v = value[np.searchsorted(key, k)]
+            # 4-byte code lengths halve what goes back; word counts (odd keys) follow as whole numbers
+            found.append(v.astype(np.float32).tobytes() + v[k & 1 == 1].astype(np.int64).tobytes())
         return pa.table([asked.column("block"), asked.column("keys"), pa.array(found, pa.binary())], names=["block", "keys", "values"])
 
     answers = lists.select("block", "shard", "keys").groupBy("shard").cogroup(values.groupBy("of_shard")).applyInArrow(
         answer, "block long, keys binary, values binary")
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        key, value = (np.concatenate([np.frombuffer(x.as_buffer(), t) for x in right.column(c)])
-                      for c, t in (("keys", np.int64), ("values", np.float32)))
+        keys, values = [], []
+        for k, v in zip(right.column("keys"), right.column("values"), strict=True):
+            keys.append(np.frombuffer(k.as_buffer(), np.int64))
+            values.append(np.frombuffer(v.as_buffer(), np.float32, len(keys[-1])).astype(np.float64))
+            values[-1][keys[-1] & 1 == 1] = np.frombuffer(v.as_buffer(), np.uint8)[4 * len(keys[-1]):].view(np.int64)
+        key, value = np.concatenate(keys), np.concatenate(values)
         texts = [t for body in left.column("body") for t in zstandard.decompress(body.as_py()).splitlines(keepends=True)]
-        found = _scores(texts, key, value.astype(np.float64), tokens, kinds)
+        found = _scores(texts, key, value, tokens, kinds)
         ids, held = (left.column(c).combine_chunks().flatten() for c in ("doc_ids", "held"))
         return pa.table([ids, held, pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64()),
                          pa.array([tokens] * len(ids), pa.int64()), pa.array(found[2], pa.float64()),

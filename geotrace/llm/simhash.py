@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from geotrace.llm.common import fresh, stored, without
 from geotrace.llm.components import components
+from geotrace.llm.skew import salted_join
 
 FAN = 16
 PAIRS_AT_ONCE = 1 << 21
@@ -230,18 +231,20 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     rows = fingerprints(df, text_col, bits, shingle, keep_text=keep_text)
     rows = stored(rows.withColumn(uid, F.monotonically_increasing_id()), "fingerprints")
     first = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(uid).alias("uid")))
-    codes = stored(rows.groupBy(F.col(bits).alias("code")).agg(first.alias("first")), "codes")
+    codes = stored(rows.groupBy(F.col(bits).alias("code")).agg(first.alias("first"), F.count("*").alias("n")), "codes")
     roots = components(links(codes, "code", max_bits), "a", "b")
-    member = codes.join(roots, F.col("code") == F.col("vertex"), "left").select(
-        "code", "first", F.coalesce("root", "code").alias("root"))
-    least = member.groupBy("root").agg(F.min("first").alias("least"))
-    where = stored(member.select("code", "root").join(least, "root").select(
-        F.col("code").alias(bits), "least"), "groups")
-    out = rows.join(where, bits)
+    member = stored(codes.join(roots, F.col("code") == F.col("vertex"), "left").select(
+        "code", "first", F.coalesce("root", "code").alias("root")), "members")
+    least = stored(member.groupBy("root").agg(F.min("first").alias("least"), F.count("*").alias("n")), "least")
+    # a component or a fingerprint may hold a third of all rows: both joins split such keys
+    top = fresh(rows, "least")
+    where = salted_join(member.select("code", "root"), least.select("root", "least"), "root", least.select("root", "n"))
+    where = stored(where.select(F.col("code").alias(bits), F.col("least").alias(top)), "groups")
+    out = salted_join(rows, where, bits, codes.select(F.col("code").alias(bits), "n"))
     return out.select(
         *[F.col(f"`{c}`") for c in rows.columns if c not in (bits, uid)],
-        F.lower(F.lpad(F.hex(bits), 16, "0")).alias(fingerprint), F.col("least.id").alias(component),
-        (F.col("least.uid") == F.col(uid)).alias(representative))
+        F.lower(F.lpad(F.hex(bits), 16, "0")).alias(fingerprint), F.col(f"{top}.id").alias(component),
+        (F.col(f"{top}.uid") == F.col(uid)).alias(representative))
 
 
 def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,

@@ -157,11 +157,17 @@ def records(view: _View, start: int, end: int, wanted: Callable[[dict], bool], d
         header = parse_header(head[:cut])
         length = int(header["content-length"])
         if wanted(header):
-            need = cut + 4 + (length if decode else min(length, 1 << 12))
-            data = source.upto(need) if zipped else view.get(at, need)
+            body = cut + 4
+            need = body + (length if decode else min(length, 1 << 12))
+            while True:
+                data = source.upto(need) if zipped else view.get(at, need)
+                # without the payload, read on until the HTTP header's blank line, however long that header is
+                if decode or need == body + length or b"\r\n\r\n" in data[body:need] or len(data) < need:
+                    break
+                need = body + min(length, 4 * (need - body))
             if decode and len(data) < need:
                 raise ValueError("a record is cut short")
-            yield header, data[cut + 4 : need]
+            yield header, data[body:need]
         at = source.end() if zipped else at + cut + 4 + length + 4
 
 
@@ -227,7 +233,7 @@ class WarcReader(DataSourceReader):
         length = None
         if header.get("content-type", "").startswith("application/http") and blank:
             said = [x for x in http.decode("latin-1").split("\r\n") if x.lower().startswith("content-length:")]
-            length = int(said[0].partition(":")[2]) if said else None
+            length = int(said[0].partition(":")[2]) if said else int(header["content-length"]) - len(http) - 4
         else:
             payload, length = block, int(header["content-length"])
         if self.verify and row["record_type"] == "response" and row["payload_digest"] not in (None, base32_sha1(payload)):

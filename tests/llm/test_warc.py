@@ -85,3 +85,16 @@ def test_a_wrong_digest_is_found(spark, tmp_path):
     (tmp_path / "a.warc.gz").write_bytes(warc.member(warc.record(row)))
     with pytest.raises(Exception, match="digest"):
         warc.read(spark, str(tmp_path), verify="true").collect()
+
+
+@pytest.mark.parametrize("kind", ["plain", "gzip"])
+@pytest.mark.parametrize("said", [True, False])
+def test_payload_length_behind_a_long_http_header(tmp_path, spark, kind, said):
+    http = b"HTTP/1.1 200 OK\r\nSet-Cookie: " + b"x" * 30_000 + (b"\r\nContent-Length: 5" if said else b"") + b"\r\n\r\n"
+    head = (b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x:1>\r\nWARC-Date: d\r\nContent-Type: application/http; msgtype=response\r\n"
+            b"Content-Length: " + str(len(http) + 5).encode() + b"\r\n\r\n")
+    data = head + http + b"hello\r\n\r\n"
+    (tmp_path / ("a.warc" if kind == "plain" else "a.warc.gz")).write_bytes(data if kind == "plain" else gzip.compress(data))
+    for payload in ("true", "false"):
+        got = warc.read(spark, str(tmp_path), payload=payload).collect()
+        assert [(r.payload_length, r.payload) for r in got] == [(5, b"hello" if payload == "true" else None)]
