@@ -2,29 +2,28 @@
 
 Cluster features are a subset of the shared feature aggregate. Scaling uses the
 population standard deviation (Spark ML's StandardScaler uses the sample one), from
-a 1-row aggregate. K-means is Spark ML's distributed ``KMeans`` (k-means||), run with
-several seeds and the lowest training cost kept; k is chosen by silhouette with
-``ClusteringEvaluator`` (squared Euclidean, O(n k), instead of the O(n^2) plain
-Euclidean score of the reference, so the chosen k may differ).
+a 1-row aggregate. K-means runs all restarts (and all k) together, see ``kmeans.py``; the lowest
+cost is kept. k is chosen by silhouette with ``ClusteringEvaluator`` (squared Euclidean, O(n k),
+instead of the O(n^2) plain Euclidean score of the reference, so the chosen k may differ).
 
 DBSCAN (K5) is ``method="dbscan"``: an exact blocked grid search (operators/dbscan.py).
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans
+import numpy as np
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geotrace.operators import kmeans
 from geotrace.operators.features import extract_features
-from geotrace.session import ensure_checkpoint_dir
+from geotrace.session import ensure_checkpoint_dir, stored
 
-PARALLEL_FITS = 4
 ROWS_PER_PARTITION = 50_000
 CLUSTER_FEATURES = ["start_lat", "start_lon", "end_lat", "end_lon", "centroid_lat", "centroid_lon",
                     "lat_range", "lon_range", "total_distance", "straight_distance", "straightness",
@@ -55,20 +54,28 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame
 class KMeansResult:
     k: int
     cost: float
-    model: object
+    centres: np.ndarray
     labeled: DataFrame
 
 
 def best_of_kmeans(vec: DataFrame, k: int, seed: int = 42, n_init: int = 10, max_iter: int = 300,
                    features: str = "features") -> KMeansResult:
     """K3: ``n_init`` K-means runs with derived seeds; lowest training cost wins (first on ties)."""
-    def run(i: int):
-        m = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol=features, predictionCol="cluster").fit(vec)
-        return m.summary.trainingCost, i, m
+    return best_of_all(vec, [k], seed, n_init, max_iter, features)[k]
 
-    with ThreadPoolExecutor(max_workers=PARALLEL_FITS) as pool:  # restarts share the cluster's free slots
-        cost, _, model = min(pool.map(run, range(n_init)), key=lambda r: r[:2])
-    return KMeansResult(k, cost, model, model.transform(vec))
+
+def best_of_all(vec: DataFrame, ks: list[int], seed: int = 42, n_init: int = 10, max_iter: int = 300,
+                features: str = "features") -> dict[int, KMeansResult]:
+    """The best of ``n_init`` runs for each k, all runs in the same jobs."""
+    key = F.xxhash64("trajectory_id") if "trajectory_id" in vec.columns else F.xxhash64(vector_to_array(features))
+    rows = stored(vec.select(key.alias("id"), vector_to_array(features).alias("x")))
+    runs = kmeans.lloyd(rows, kmeans.first_centres(rows, [(k, seed + i) for k in ks for i in range(n_init)]), max_iter)
+    best = {k: min((r for r in runs if r.k == k), key=lambda r: r.cost) for k in ks}
+    out = {}
+    for k, r in best.items():
+        labeled = kmeans.assigned(vec, vector_to_array(features), {"cluster": r.centres}) if len(r.centres) else vec.withColumn("cluster", F.lit(0))
+        out[k] = KMeansResult(k, r.cost, r.centres, labeled)
+    return out
 
 
 def compact(vec: DataFrame) -> DataFrame:
@@ -88,8 +95,7 @@ def choose_k(vec: DataFrame, seed: int = 42, max_k: int = 10, n_init: int = 10,
     ev = ClusteringEvaluator(featuresCol=features, predictionCol="cluster", metricName="silhouette",
                              distanceMeasure="squaredEuclidean")
     rows, best_k, best_s = [], 2, -1.0
-    for k in range(2, min(max_k + 1, n)):
-        r = best_of_kmeans(vec, k, seed, n_init, features=features)
+    for k, r in best_of_all(vec, list(range(2, min(max_k + 1, n))), seed, n_init, features=features).items():
         s = ev.evaluate(r.labeled)
         rows.append((k, float(s), float(r.cost)))
         if s > best_s:

@@ -38,6 +38,17 @@ TREES_A_PART = 25
 TREES_A_STATE = 8
 
 
+@dataclass
+class Raw:
+    """Rows with a target value, written once: row, draw, fold, x, y and kept columns."""
+
+    rows: DataFrame
+    targets: tuple[str, ...]
+    largest: float              # of all |targets|
+    count: int
+    features: int
+
+
 @dataclass
 class Design:
     """Binned rows and what turns raw features into bins."""
@@ -46,10 +57,20 @@ class Design:
     edges: list[np.ndarray]
     values: np.ndarray          # (features, BINS): what stands for a bin
     targets: tuple[str, ...]
-    largest: float              # of all |targets|
+    largest: float
     count: int
 
 
+def raw_rows(df: DataFrame, features: str, targets: tuple[str, ...], fold: str | None = None, keep: tuple[str, ...] = ()) -> Raw:
+    """Null and NaN targets can't be learned: their rows go. Draws follow the trajectory id, or else the row's values."""
+    draw = F.xxhash64("trajectory_id") if "trajectory_id" in df.columns else F.xxhash64(vector_to_array(features), *targets)
+    src = df.select(F.monotonically_increasing_id().alias("row"), draw.alias("draw"), (F.col(fold) if fold else F.lit(-1)).cast("int").alias("fold"),
+                    vector_to_array(features).alias("x"), F.array(*[F.col(t).cast("double") for t in targets]).alias("y"), *keep)
+    src = stored(src.where(F.forall("y", lambda v: v.isNotNull() & ~F.isnan(v))))
+    count, largest, p = src.agg(F.count("*"), F.max(F.array_max(F.transform("y", F.abs))), F.max(F.size("x"))).first()
+    return Raw(src, tuple(targets), float(largest or 0.0), int(count), p or 0)
+
+
 def _edges(x: DataFrame, p: int, bins: int) -> tuple[list[np.ndarray], np.ndarray]:
     """Upper borders of the bins of each feature: distinct quantiles at steps of 1 / bins."""
     wide = x.select(*[F.col("x")[i].alias(f"x{i}") for i in range(p)])
@@ -72,23 +93,22 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def design(df: DataFrame, features: str, targets: tuple[str, ...], fold: str | None = None, bins: int = 255, keep: tuple[str, ...] = ()) -> Design:
-    """Rows of ``df`` with a target value; null targets can't be learned and go. ``keep`` columns are carried along."""
-    draw = F.xxhash64("trajectory_id") if "trajectory_id" in df.columns else F.xxhash64(vector_to_array(features), *targets)
-    src = df.select(F.monotonically_increasing_id().alias("row"), draw.alias("draw"), (F.col(fold) if fold else F.lit(-1)).cast("int").alias("fold"),
-                    vector_to_array(features).alias("x"), F.array(*[F.col(t).cast("double") for t in targets]).alias("y"), *keep)
-    src = stored(src.where(F.forall("y", lambda v: v.isNotNull() & ~F.isnan(v))))
-    count, largest, p = src.agg(F.count("*"), F.max(F.array_max(F.transform("y", F.abs))), F.max(F.size("x"))).first()
-    edges, values = _edges(src, p or 0, bins)
+def design(df: DataFrame, features: str, targets: tuple[str, ...], fold: str | None = None) -> Design:
+    return binned(raw_rows(df, features, targets, fold))
+
+
+def binned(raw: Raw, bins: int = 255) -> Design:
+    src = raw.rows.select("row", "draw", "fold", "x", "y")
+    edges, values = _edges(src, raw.features, bins)
 
     def add(batches):
         for b in batches:
             codes = bin_rows(_matrix(b.column(3)), edges).astype(np.uint8) if b.num_rows else np.zeros((0, 1), np.uint8)
             packed = pa.array([c.tobytes() for c in codes], pa.binary())
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], packed, *b.columns[4:]], names=["row", "draw", "fold", "bins", *b.schema.names[4:]])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], packed, b.column(4)], names=["row", "draw", "fold", "bins", "y"])
 
-    schema = T.StructType([*src.schema.fields[:3], T.StructField("bins", T.BinaryType()), *src.schema.fields[4:]])
-    return Design(stored(src.mapInArrow(add, schema)), edges, values, tuple(targets), float(largest or 0.0), int(count))
+    rows = src.mapInArrow(add, "row long, draw long, fold int, bins binary, y array<double>")
+    return Design(stored(rows), edges, values, raw.targets, raw.largest, raw.count)
 
 
 # --- what is fitted -----------------------------------------------------------------------------

@@ -22,6 +22,7 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geotrace.operators.gram import evidence
 from geotrace.operators.partsum import summed
 from geotrace.session import ensure_checkpoint_dir
 
@@ -156,23 +157,7 @@ class BayesianRidge(Estimator):
         xx = g["xx"] - n * np.outer(mx, mx)                  # centred Gram
         xy = g["xy"] - n * mx * my
         yy = g["yy"] - n * my * my
-        eig, vec = np.linalg.eigh(xx)
-        eig = np.clip(eig, 0, None)
-        alpha = 1.0 / (yy / n + np.finfo(float).eps)
-        lam = 1.0
-        coef = np.zeros(len(mx))
-        proj = vec.T @ xy
-        for _ in range(self.max_iter):
-            new = vec @ (proj / (eig + lam / alpha))
-            rss = yy - 2 * new @ xy + new @ xx @ new
-            gamma = float(np.sum(alpha * eig / (lam + alpha * eig)))
-            lam = (gamma + 2 * self.l1) / (float(new @ new) + 2 * self.l2)
-            alpha = (n - gamma + 2 * self.a1) / (max(rss, 0.0) + 2 * self.a2)
-            done = np.sum(np.abs(coef - new)) < self.tol
-            coef = new
-            if done:
-                break
-        coef = vec @ (proj / (eig + lam / alpha))
+        coef = evidence(xx, xy, yy, n, self.max_iter, self.tol, self.a1, self.a2, self.l1, self.l2)
         return LinearVectorModel(coef, float(my - mx @ coef), self.features, self.pred)
 
 

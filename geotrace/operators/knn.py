@@ -167,10 +167,13 @@ def knn_predict(query: DataFrame, ref: DataFrame, k: int, q_id: str, r_id: str,
                 label_cols: tuple[str, ...], grid: bool = True) -> DataFrame:
     """Uniform-weight mean of the labels of the ``k`` nearest reference rows, per query id.
 
-    ``grid`` (default) searches neighbouring grid cells first (exact, see
-    :func:`grid_knn_candidates`); otherwise every block pair is searched.
+    ``grid`` (default) searches neighbouring grid cells first (exact, see :func:`grid_knn_candidates`), or
+    in more than two dimensions the cells of pivots that a query's bound reaches (exact, see ``pivot_knn.py``);
+    otherwise every block pair is searched.
     """
     find = grid_knn_candidates if grid else knn_candidates
+    if grid and (ref.select(F.max(F.size(vec))).first()[0] or 0) > 2:
+        from geotrace.operators.pivot_knn import pivot_knn_candidates as find
     c = find(query, ref, k, q_id, r_id, vec, label_cols)
     return c.groupBy(F.col("qid").alias(q_id)).agg(*[F.avg(l).alias(l) for l in label_cols])
 

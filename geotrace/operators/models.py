@@ -1,28 +1,28 @@
-"""Two-target regressors on Spark ML (R0-R10, R12 partially, R15-R21).
+"""Two-target regressors (R0-R10, R12 partially, R14-R21).
 
 Every model is a *builder* ``(train_df, label_col) -> pyspark.ml.Estimator``; the builder
 sees the training frame so data-dependent settings (the ridge penalty that matches the
-closed form, the size-dependent tree count) are resolved at fit time.
-``MultiTargetRegressor`` fits one estimator per target and adds ``pred_<target>``.
-
-Tree ensembles map to ``RandomForestRegressor`` / ``GBTRegressor``; library-specific
-boosters (gradient-boosting flavours, CatBoost, LightGBM) become GBT settings that
-match depth, rate, subsampling and bins as closely as Spark allows, not bit-equal.
-Bayesian ridge and AdaBoost.R2 live in ``iterative.py``, the MLP in ``mlp.py``. Not built (README):
-RBF SVR.
+closed form) are resolved at fit time. ``MultiTargetRegressor`` adds ``pred_<target>``.
+
+Tree ensembles are ``TreeBuilder``s: their growth rules (variance or second-order gain, best-first,
+symmetric, random cuts, splits shared by both targets) run in ``ensembles.py``, where any number of them grows
+in the same jobs: both targets, the members of a vote or stack, and the folds and trials of ``validation.py``.
+Bayesian ridge lives in ``iterative.py``, the MLP in ``mlp.py``. Not built (README): RBF SVR.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import Estimator, Model
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geotrace.functions.hashrand import poisson1
+from geotrace.operators import ensembles, gram
+from geotrace.operators.trees import NO_LIMIT, Grower
 
 Builder = Callable[[DataFrame, str], Estimator]
 SEED = 42
@@ -46,21 +46,20 @@ def tree_count(n_samples: int | None) -> int:
 
 
 def model_params(name: str, n_samples: int | None = None) -> dict:
-    """The reference's parameter table expressed as Spark ML parameters."""
+    """The reference's parameter table under Spark ML's names where those exist."""
     n = tree_count(n_samples)
     table = {
-        "RandomForest": dict(numTrees=max(n, 200), maxDepth=20, minInstancesPerNode=4,
-                             featureSubsetStrategy="sqrt", subsamplingRate=1.0, bootstrap=True),
-        "XGBoost": dict(maxIter=max(n, 200), maxDepth=7, stepSize=0.05, subsamplingRate=0.85,
-                        featureSubsetStrategy="0.85", minInfoGain=0.1),
-        "LightGBM": dict(maxIter=max(n, 200), maxDepth=5, stepSize=0.05, subsamplingRate=0.85,
-                         featureSubsetStrategy="0.85", minInstancesPerNode=100),
-        "GradientBoosting": dict(maxIter=107, stepSize=0.04598148562780493, maxDepth=9, minInstancesPerNode=8,
+        "RandomForest": dict(numTrees=max(n, 200), maxDepth=20, minInstancesPerNode=4, minInstancesToSplit=10,
+                             featureSubsetStrategy="sqrt", bootstrap=True),
+        "XGBoost": dict(maxIter=max(n, 200), maxDepth=7, stepSize=0.05, subsamplingRate=0.85, treeFeatures=0.85,
+                        regAlpha=0.5, regLambda=1.5, minInfoGain=0.1, minChildWeight=3.0),
+        "LightGBM": dict(maxIter=max(n, 200), maxDepth=8, numLeaves=31, stepSize=0.05, subsamplingRate=0.85, treeFeatures=0.85,
+                         regAlpha=0.5, regLambda=0.5, minInstancesPerNode=100),
+        "GradientBoosting": dict(maxIter=107, stepSize=0.04598148562780493, maxDepth=9, minInstancesPerNode=8, minInstancesToSplit=20,
                                  subsamplingRate=0.6794037373341343, featureSubsetStrategy="log2"),
-        "HistGradientBoosting": dict(maxIter=n, stepSize=0.1, maxDepth=5, minInstancesPerNode=20, maxBins=255),
-        "ExtraTrees": dict(numTrees=n, maxDepth=20, minInstancesPerNode=2, featureSubsetStrategy="sqrt",
-                           bootstrap=False, subsamplingRate=1.0),
-        "CatBoost": dict(maxIter=n, maxDepth=6, stepSize=0.1, maxBins=254),
+        "HistGradientBoosting": dict(maxIter=n, stepSize=0.1, maxDepth=None, numLeaves=31, minInstancesPerNode=20, maxBins=255),
+        "ExtraTrees": dict(numTrees=n, maxDepth=None, minInstancesPerNode=2, minInstancesToSplit=5, featureSubsetStrategy="sqrt", bootstrap=False),
+        "CatBoost": dict(maxIter=n, maxDepth=6, stepSize=0.1, regLambda=3.0, maxBins=254),
         "Ridge": dict(alpha=1.0),
         "Lasso": dict(alpha=1.0, maxIter=1000),
         "ElasticNet": dict(alpha=1.0, l1_ratio=0.5, maxIter=1000),
@@ -81,43 +80,125 @@ def _label_stats(df: DataFrame, label: str) -> tuple[int, float]:
     return n, (sd or 0.0)
 
 
-def _linear(kind: str, params: dict) -> Builder:
-    """R8-R10 (and plain OLS) with penalties matching the closed-form objectives."""
-    alpha = params.get("alpha", 1.0)
-    rho = params.get("l1_ratio", 0.5)
-    max_iter = params.get("maxIter", 100)
-
-    def build(train: DataFrame, label: str) -> Estimator:
-        base = dict(labelCol=label, standardization=False, fitIntercept=True, maxIter=max_iter, tol=1e-10)
-        if kind == "LinearRegression":
+@dataclass
+class LinearBuilder:
+    """R8-R11 (and plain OLS) with penalties matching the closed-form objectives."""
+
+    kind: str
+    params: dict
+
+    def __call__(self, train: DataFrame, label: str) -> Estimator:
+        if self.kind == "BayesianRidge":
+            from geotrace.operators.iterative import BayesianRidge
+            return BayesianRidge(labelCol=label, **self.params)
+        alpha, rho = self.params.get("alpha", 1.0), self.params.get("l1_ratio", 0.5)
+        base = dict(labelCol=label, standardization=False, fitIntercept=True, maxIter=self.params.get("maxIter", 100), tol=1e-10)
+        if self.kind == "LinearRegression":
             return LinearRegression(regParam=0.0, **base)
         n, sd = _label_stats(train, label)
-        if kind == "Ridge":
+        if self.kind == "Ridge":
             lam = alpha * sd / max(n, 1)
             return LinearRegression(regParam=lam, elasticNetParam=0.0, solver="normal", **base)
-        if kind == "Lasso":
+        if self.kind == "Lasso":
             return LinearRegression(regParam=alpha, elasticNetParam=1.0, **base)
         lam = alpha * (rho + (1 - rho) * sd)
         return LinearRegression(regParam=lam, elasticNetParam=(alpha * rho / lam) if lam else 0.0, **base)
-    return build
 
 
-def _forest(params: dict) -> Builder:
-    def build(train: DataFrame, label: str) -> Estimator:
-        return RandomForestRegressor(labelCol=label, seed=SEED, **params)
-    return build
+def _linear(kind: str, params: dict) -> LinearBuilder:
+    return LinearBuilder(kind, params)
 
 
-def _gbt(params: dict) -> Builder:
-    def build(train: DataFrame, label: str) -> Estimator:
-        return GBTRegressor(labelCol=label, seed=SEED, **params)
-    return build
+def grower_of(name: str, params: dict) -> Grower:
+    """The growth rules of a tree model (R1-R7, R14, R15). Forests share their splits between the targets."""
+    p = dict(params)
+    kind = {"RandomForest": "bag", "ExtraTrees": "bag", "AdaBoost": "adaboost"}.get(name, "boost")
+    depth = p.get("maxDepth", 3)
+    strategy = p.get("featureSubsetStrategy", "all")
+    return Grower(
+        kind=kind, trees=p.get("numTrees") or p.get("maxIter") or p.get("n_estimators"), depth=NO_LIMIT if depth is None else depth,
+        rate=p.get("stepSize", p.get("learning_rate", 0.1)), joint=kind == "bag", leaves=p.get("numLeaves") or 0,
+        symmetric=name == "CatBoost", random_cuts=name == "ExtraTrees", node_features=strategy, tree_features=float(p.get("treeFeatures", 1.0)),
+        rows=p.get("subsamplingRate", 1.0), bootstrap="bayes" if name == "CatBoost" else "poisson" if p.get("bootstrap") else "none",
+        min_leaf=p.get("minInstancesPerNode", 1), min_split=p.get("minInstancesToSplit", 2), min_weight=p.get("minChildWeight", 0.0),
+        l1=p.get("regAlpha", 0.0), l2=p.get("regLambda", 0.0), min_gain=2.0 * p.get("minInfoGain", 0.0), bags=p.get("n_bags", 1),
+        bins=p.get("maxBins", 255), seed=p.get("seed", SEED))
+
+
+@dataclass
+class TreeBuilder:
+    """Builder of a tree ensemble; any number of these is fitted in the same jobs."""
+
+    name: str
+    params: dict
+
+    @property
+    def grower(self) -> Grower:
+        return grower_of(self.name, self.params)
+
+    def __call__(self, train: DataFrame, label: str) -> Estimator:
+        return TreeEnsemble(self, label)
+
+
+class TreeEnsemble(Estimator):
+    """One target's tree ensemble."""
+
+    def __init__(self, build: TreeBuilder, label: str):
+        super().__init__()
+        self.build, self.label, self.features, self.pred = build, label, "features", "prediction"
+
+    def getOrDefault(self, param):
+        return self.build.params[param] if isinstance(param, str) else super().getOrDefault(param)
+
+    def setFeaturesCol(self, c):
+        self.features = c
+        return self
+
+    def setPredictionCol(self, c):
+        self.pred = c
+        return self
+
+    def _fit(self, df: DataFrame) -> Model:
+        design = ensembles.design(df, self.features, (self.label,))
+        if self.build.grower.kind == "adaboost" and design.count > ensembles.MEMORY_ROWS:
+            from geotrace.operators.iterative import AdaBoostR2
+            big = AdaBoostR2(labelCol=self.label, n_estimators=self.build.grower.trees, learning_rate=self.build.grower.rate, max_depth=self.build.grower.depth)
+            return big.setFeaturesCol(self.features).setPredictionCol(self.pred).fit(df)
+        return TreeModel(design, ensembles.fit_many(design, [ensembles.Job(self.build.grower)]).pieces[0], (self.pred,), self.features)
+
+
+class TreeModel(Model):
+    """Fitted ensembles; their pieces' predictions are added up in one pandas UDF per batch."""
+
+    def __init__(self, design: ensembles.Design, pieces: list[ensembles.Piece], preds: tuple[str, ...], features: str):
+        super().__init__()
+        self.design, self.pieces, self.preds, self.features = design, pieces, preds, features
+
+    def getPredictionCol(self) -> str:
+        return self.preds[0]
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        p = ensembles.predictor(self.design, self.pieces)(vector_to_array(self.features))
+        out = df.withColumn("_tree", p)
+        return out.withColumns({c: F.col("_tree")[i] for i, c in enumerate(self.preds)}).drop("_tree")
+
+
+class LinearModels(Model):
+    """Linear predictions of several targets as array expressions."""
+
+    def __init__(self, coef, intercept, preds: tuple[str, ...], features: str):
+        super().__init__()
+        self.coef, self.intercept, self.preds, self.features = coef, intercept, preds, features
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        out = df.withColumn("_x", vector_to_array(self.features))
+        return out.withColumns({c: gram.linear_column("_x", self.coef[:, i], self.intercept[i]) for i, c in enumerate(self.preds)}).drop("_x")
 
 
 class _Average(Estimator):
-    """Average of several estimators fitted on the same frame (bagging, voting)."""
+    """Average of several estimators fitted on the same frame (votes with members that aren't trees)."""
 
-    def __init__(self, members: list[tuple[Estimator, int | None]], label: str):
+    def __init__(self, members: list[Estimator], label: str):
         super().__init__()
         self.members, self.label = members, label
         self._pred, self._features = "prediction", None
@@ -132,15 +213,12 @@ class _Average(Estimator):
 
     def _fit(self, df: DataFrame) -> "_AverageModel":
         models = []
-        for i, (est, weight_seed) in enumerate(self.members):
-            d = df
-            if weight_seed is not None:
-                d = d.withColumn("_w", poisson1(weight_seed, "trajectory_id", tag=f"bag{i}"))
+        for i, est in enumerate(self.members):
             e = est.copy()
             if self._features and hasattr(e, "setFeaturesCol"):
                 e.setFeaturesCol(self._features)
             e.setPredictionCol(f"_p{i}_{self._pred}")
-            models.append(e.fit(d))
+            models.append(e.fit(df))
         return _AverageModel(models).setPredictionCol(self._pred)
 
 
@@ -166,38 +244,19 @@ class _AverageModel(Model):
         return out.drop(*[m.getPredictionCol() for m in self.models])
 
 
-def _bagged_gb(params: dict) -> Builder:
-    """Bootstrap bags of a default gradient-boosting base, averaged (Poisson(1) row weights)."""
-    p = dict(params)
-    bags = p.pop("n_bags", 5)
-
-    def build(train: DataFrame, label: str) -> Estimator:
-        members = [(GBTRegressor(labelCol=label, seed=SEED + i, weightCol="_w", **p), SEED + i) for i in range(bags)]
-        return _Average(members, label)
-    return build
-
-
 def builder(name: str, n_samples: int | None = None, overrides: dict | None = None) -> Builder:
     """Model name -> builder (R19's factory); ``overrides`` win over the table."""
     params = model_params(name, n_samples)
     params.update(overrides or {})
-    if name in ("Ridge", "Lasso", "ElasticNet", "LinearRegression"):
+    if name in gram.KINDS:
         return _linear(name, params)
-    if name in ("RandomForest", "ExtraTrees"):
-        return _forest(params)
-    if name == "BaggedGB":
-        return _bagged_gb(params)
     if name == "KNN":
         from geotrace.operators.knn import knn_builder
         return knn_builder(params.get("k", 5))
     if name == "MLP":
         from geotrace.operators.mlp import MLPRegressor
         return lambda train, label: MLPRegressor(labelCol=label, **params)
-    if name in ("BayesianRidge", "AdaBoost"):
-        from geotrace.operators import iterative
-        cls = iterative.BayesianRidge if name == "BayesianRidge" else iterative.AdaBoostR2
-        return lambda train, label: cls(labelCol=label, **params)
-    return _gbt(params)
+    return TreeBuilder(name, params)
 
 
 class _Stacking(Estimator):
@@ -257,18 +316,59 @@ class _StackingModel(Model):
         return out.drop("_sv", *[m.getPredictionCol() for m in self.bases])
 
 
-def stacking_builder(builders: list[Builder], k: int = 5) -> Builder:
+@dataclass
+class StackBuilder:
+    """Out-of-fold predictions of the bases feed a ridge, for each target; the bases are refitted on all rows."""
+
+    bases: list[Builder]
+    k: int = 5
+    alpha: float = 1.0
+
+    def __call__(self, train: DataFrame, label: str) -> Estimator:
+        return _Stacking(self.bases, label, self.k, self.alpha)
+
+    def together(self) -> bool:
+        """Whether all bases can be fitted in the same jobs."""
+        return all(isinstance(b, (TreeBuilder, LinearBuilder)) for b in self.bases)
+
+
+@dataclass
+class VoteBuilder:
+    """Mean of the members' predictions."""
+
+    members: list[Builder]
+
+    def __call__(self, train: DataFrame, label: str) -> Estimator:
+        return _Average([b(train, label) for b in self.members], label)
+
+
+def stacking_builder(builders: list[Builder], k: int = 5) -> StackBuilder:
     """Stack ``builders`` with a 5-fold out-of-fold ridge meta-model (per target)."""
-    def build(train: DataFrame, label: str) -> Estimator:
-        return _Stacking(builders, label, k)
-    return build
+    return StackBuilder(builders, k)
 
 
-def voting_builder(builders: list[Builder]) -> Builder:
+def voting_builder(builders: list[Builder]) -> VoteBuilder:
     """Mean of the members' predictions."""
-    def build(train: DataFrame, label: str) -> Estimator:
-        return _Average([(b(train, label), None) for b in builders], label)
-    return build
+    return VoteBuilder(builders)
+
+
+def members_of(build: Builder) -> list[tuple[TreeBuilder | LinearBuilder, float]] | None:
+    """The builder as a weighted sum of tree and linear models that can be fitted in the same jobs, if it is one."""
+    if isinstance(build, (TreeBuilder, LinearBuilder)):
+        return [(build, 1.0)]
+    if isinstance(build, VoteBuilder):
+        inner = [members_of(b) for b in build.members]
+        return None if any(m is None for m in inner) else [(b, w / len(inner)) for m in inner for b, w in m]
+    return None
+
+
+def tree_members(build: Builder) -> list[tuple[TreeBuilder, float]] | None:
+    found = members_of(build)
+    return found if found and all(isinstance(b, TreeBuilder) for b, _ in found) else None
+
+
+def weighted(pieces: list[ensembles.Piece], weight: float) -> list[ensembles.Piece]:
+    return [replace(p, share=p.share * weight) for p in pieces]
 
 
 class MultiTargetRegressor(Estimator):
@@ -279,6 +379,15 @@ class MultiTargetRegressor(Estimator):
         self.build, self.targets, self.features = build, targets, features
 
     def _fit(self, df: DataFrame) -> "MultiTargetModel":
+        trees = tree_members(self.build)
+        if trees:
+            design = ensembles.design(df, self.features, self.targets)
+            if design.count <= ensembles.MEMORY_ROWS or all(b.grower.kind != "adaboost" for b, _ in trees):
+                found = ensembles.fit_many(design, [ensembles.Job(b.grower) for b, _ in trees]).pieces
+                pieces = [p for i, (_, w) in enumerate(trees) for p in weighted(found.get(i, []), w)]
+                return MultiTargetModel([TreeModel(design, pieces, tuple(f"pred_{t}" for t in self.targets), self.features)], self.targets)
+        if isinstance(self.build, StackBuilder) and self.build.together():
+            return MultiTargetModel([_stacked(df, self.build, self.targets, self.features)], self.targets)
         fitted = []
         for t in self.targets:
             est = self.build(df, t)
@@ -291,6 +400,55 @@ class MultiTargetRegressor(Estimator):
         return MultiTargetModel(fitted, self.targets)
 
 
+def _stacked(df: DataFrame, build: StackBuilder, targets: tuple[str, ...], features: str) -> "_StackedModel":
+    """All folds' and the final bases in the same jobs, then one ridge a target on the out-of-fold predictions."""
+    fold = F.pmod(F.xxhash64(F.lit(SEED), F.col("trajectory_id")), F.lit(build.k)).cast("int")
+    raw = ensembles.raw_rows(df.withColumn("_sf", fold), features, targets, "_sf")
+    k, bases, pred = len(targets), build.bases, None
+    full: dict[int, Model] = {}
+    tree_at = [i for i, b in enumerate(bases) if isinstance(b, TreeBuilder)]
+    linear_at = [i for i, b in enumerate(bases) if isinstance(b, LinearBuilder)]
+    names = {i: tuple(f"_sp{i}_{t}" for t in targets) for i in range(len(bases))}
+    if tree_at:
+        design = ensembles.binned(raw)
+        folds = [*range(build.k), None]
+        found = ensembles.fit_many(design, [ensembles.Job(bases[i].grower, f) for i in tree_at for f in folds])
+        base = F.element_at(F.array(*[F.lit(i) for i in tree_at]), F.floor(F.col("job") / len(folds)).cast("int") + 1)
+        pred = found.out.select(base.alias("model"), "row", F.array(*[F.col(f"p{t}") for t in range(k)]).alias("p"))
+        for n, i in enumerate(tree_at):
+            full[i] = TreeModel(design, found.pieces.get(n * len(folds) + build.k, []), names[i], features)
+    if linear_at:
+        whole, parts = gram.fold_grams(raw.rows, raw.features, k, build.k)
+        systems = [[gram.solved(bases[i].kind, whole.less(part), bases[i].params) for part in parts] for i in linear_at]
+        at = F.element_at(F.array(*[F.lit(i) for i in linear_at]), F.col("model") + 1)
+        lines = gram.held_out(raw.rows, systems, k).select(at.alias("model"), "row", "p")
+        pred = lines if pred is None else pred.unionByName(lines)
+        for i in linear_at:
+            full[i] = LinearModels(*gram.solved(bases[i].kind, whole, bases[i].params), names[i], features)
+    meta = []
+    wide = pred.groupBy("row").agg(*[F.max(F.when(F.col("model") == i, F.col("p"))).alias(f"m{i}") for i in range(len(bases))])
+    wide = raw.rows.select("row", "fold", "y").join(wide, "row")
+    for t in range(k):
+        rows = wide.select("fold", F.array(*[F.col(f"m{i}")[t] for i in range(len(bases))]).alias("x"), F.array(F.col("y")[t]).alias("y"))
+        meta.append(gram.solved("Ridge", gram.fold_grams(rows, len(bases), 1, 0)[0], {"alpha": build.alpha}))
+    return _StackedModel([full[i] for i in range(len(bases))], meta, names, targets)
+
+
+class _StackedModel(Model):
+    def __init__(self, bases: list[Model], meta: list, names: dict[int, tuple[str, ...]], targets: tuple[str, ...]):
+        super().__init__()
+        self.bases, self.meta, self.names, self.targets = bases, meta, names, targets
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        out = df
+        for m in self.bases:
+            out = m.transform(out)
+        for t, (name, (coef, intercept)) in enumerate(zip(self.targets, self.meta, strict=True)):
+            line = sum((F.col(self.names[i][t]) * float(c) for i, c in enumerate(coef[:, 0])), F.lit(float(intercept[0])))
+            out = out.withColumn(f"pred_{name}", line)
+        return out.drop(*[c for names in self.names.values() for c in names])
+
+
 class MultiTargetModel(Model):
     def __init__(self, models: list[Model], targets: tuple[str, ...]):
         super().__init__()

@@ -4,9 +4,10 @@ Folds come from a hash of the group key (no global window), so a group never
 straddles folds and the assignment does not depend on partitioning. The hash is the
 first 32 bits of ``md5(seed:key)``, which any SQL engine can reproduce.
 
-Cross-validation fits per fold on the cached design frame; folds run in parallel
-threads (each fit is itself a distributed Spark ML job), and every fold yields one
-row ``model_name, fold, error_km, seconds``. Ranking is a ``groupBy`` over those rows.
+Cross-validation of tree ensembles and linear models fits all models' folds together (see
+``ensembles.py`` and ``gram.py``): the jobs don't count models or folds. Other models are fitted fold by
+fold, in parallel threads. Every fold yields one row ``model_name, fold, error_km, seconds``; ranking is a
+``groupBy`` over those rows.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 
 from geotrace.functions import geo
 from geotrace.functions.hashrand import uniform
-from geotrace.operators.models import MultiTargetRegressor, NamedModel
+from geotrace.operators import ensembles, gram
+from geotrace.operators.models import MultiTargetRegressor, NamedModel, TreeBuilder, members_of
 from geotrace.operators.quantiles import quantiles
 from geotrace.operators.ranking import global_rank
 
@@ -136,7 +138,7 @@ class CVResult:
     std_error: float
 
 
-def predictions_latlon(pred: DataFrame, targets: tuple[str, str], y_unit: str) -> DataFrame:
+def predictions_latlon(pred: DataFrame, targets: tuple[str, str], y_unit: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Truth and prediction in degrees; metre targets go back through G6 from each row's start."""
     t0, t1 = targets
     if y_unit == "meters":
@@ -144,7 +146,7 @@ def predictions_latlon(pred: DataFrame, targets: tuple[str, str], y_unit: str) -
         la_p, lo_p = geo.from_local_xy("start_lat", "start_lon", F.col(f"pred_{t0}"), F.col(f"pred_{t1}"))
     else:
         la_t, lo_t, la_p, lo_p = F.col(t0), F.col(t1), F.col(f"pred_{t0}"), F.col(f"pred_{t1}")
-    return pred.select("trajectory_id", la_t.alias("lat_true"), lo_t.alias("lon_true"),
+    return pred.select("trajectory_id", *keep, la_t.alias("lat_true"), lo_t.alias("lon_true"),
                        la_p.alias("lat_pred"), lo_p.alias("lon_pred"))
 
 
@@ -152,6 +154,63 @@ def fold_error(pred: DataFrame) -> float:
     return with_distance(pred).agg(F.avg("dist_km")).first()[0]
 
 
+def together(models: list[NamedModel]) -> list[NamedModel]:
+    """Those of ``models`` that :func:`validate_together` can fit in the same jobs."""
+    return [m for m in models if members_of(m.build)]
+
+
+def held_out_predictions(design: DataFrame, models: list[NamedModel], targets: tuple[str, str] = ("dx", "dy"), k: int = 10,
+                         fold_col: str = "fold", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``model`` (index), ``fold``, ``row``, ``y``, ``p`` (arrays by target), ``seconds`` and kept columns: every row
+    of folds 0 .. k - 1 predicted by each model fitted on the other folds, all in the same jobs."""
+    raw = ensembles.raw_rows(design, "features", targets, fold_col, keep)
+    uses = [(i, b, w) for i, m in enumerate(models) for b, w in members_of(m.build)]
+    trees, lines = [u for u in uses if isinstance(u[1], TreeBuilder)], [u for u in uses if not isinstance(u[1], TreeBuilder)]
+    n, found = len(targets), []
+    if trees:
+        jobs = [ensembles.Job(b.grower, f) for _, b, _ in trees for f in range(k)]
+        out = ensembles.fit_many(ensembles.binned(raw), jobs).out
+        at = F.floor(F.col("job") / k).cast("int")
+        found.append((trees, out.select(at.alias("use"), "row", *[F.col(f"p{t}") for t in range(n)], "seconds")))
+    if lines:
+        t0 = time.time()
+        whole, parts = gram.fold_grams(raw.rows, raw.features, n, k)
+        systems = [[gram.solved(b.kind, whole.less(p), b.params) for p in parts] for _, b, _ in lines]
+        each = (time.time() - t0) / max(raw.count * len(lines), 1)
+        out = gram.held_out(raw.rows, systems, n)
+        found.append((lines, out.select(F.col("model").alias("use"), "row", *[F.col("p")[t].alias(f"p{t}") for t in range(n)], F.lit(each).alias("seconds"))))
+    every = None
+    for used, out in found:
+        model = F.element_at(F.array(*[F.lit(i) for i, _, _ in used]), F.col("use") + 1)
+        weight = F.element_at(F.array(*[F.lit(float(w)) for _, _, w in used]), F.col("use") + 1)
+        out = out.select(model.alias("model"), "row", *[(F.col(f"p{t}") * weight).alias(f"p{t}") for t in range(n)], "seconds")
+        every = out if every is None else every.unionByName(out)
+    sums = every.groupBy("model", "row").agg(F.array(*[F.sum(f"p{t}") for t in range(n)]).alias("p"), F.sum("seconds").alias("seconds"))
+    return sums.join(raw.rows.select("row", "fold", "y", *keep), "row")
+
+
+def validate_together(design: DataFrame, models: list[NamedModel], targets: tuple[str, str] = ("dx", "dy"), k: int = 10,
+                      fold_col: str = "fold", y_unit: str = "meters") -> "list[CVResult]":
+    """E3 for several models: fit on k-1 folds, score the held-out fold by mean haversine km."""
+    keep = ("start_lat", "start_lon") if y_unit == "meters" else ()
+    p = held_out_predictions(design, models, targets, k, fold_col, keep)
+    t0, t1 = targets
+    wide = p.select("model", "fold", "seconds", F.col("row").alias("trajectory_id"), *keep,
+                    *[F.col(c)[i].alias(a + t) for i, t in enumerate(targets) for c, a in (("y", ""), ("p", "pred_"))])
+    la = predictions_latlon(wide, targets, y_unit, ("model", "fold", "seconds"))
+    rows = with_distance(la).groupBy("model", "fold").agg(F.avg("dist_km").alias("km"), F.sum("seconds").alias("s")).collect()
+    by = {(r["model"], r["fold"]): (r["km"], r["s"]) for r in rows}
+    return [_result(design.sparkSession, m.name, [(m.name, f, *by.get((i, f), (None, 0.0))) for f in range(k)]) for i, m in enumerate(models)]
+
+
+def _result(spark: SparkSession, name: str, rows: list[tuple]) -> CVResult:
+    folds = spark.createDataFrame(rows, "model_name string, fold int, error_km double, seconds double")
+    errs = [r[2] for r in rows if r[2] is not None]
+    mean = sum(errs) / len(errs) if errs else float("nan")
+    std = (sum((e - mean) ** 2 for e in errs) / len(errs)) ** 0.5 if errs else float("nan")
+    return CVResult(name, folds, mean, std)
+
+
 def cross_validate(design: DataFrame, model: NamedModel, targets: tuple[str, str] = ("dx", "dy"),
                    k: int = 10, fold_col: str = "fold", y_unit: str = "meters",
                    parallelism: int = 2, prepare=None) -> CVResult:
@@ -159,7 +218,8 @@ def cross_validate(design: DataFrame, model: NamedModel, targets: tuple[str, str
 
     ``prepare(train, held_out)`` returns both frames with a design vector; with it (see
     :func:`fit_inside_folds`) scaler and selection never see the held-out rows."""
-    spark = design.sparkSession
+    if prepare is None and together([model]):
+        return validate_together(design, [model], targets, k, fold_col, y_unit)[0]
 
     def one(f: int):
         t0 = time.time()
@@ -173,11 +233,7 @@ def cross_validate(design: DataFrame, model: NamedModel, targets: tuple[str, str
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
         rows = list(ex.map(one, range(k)))
-    folds = spark.createDataFrame(rows, "model_name string, fold int, error_km double, seconds double")
-    errs = [r[2] for r in rows if r[2] is not None]
-    mean = sum(errs) / len(errs) if errs else float("nan")
-    std = (sum((e - mean) ** 2 for e in errs) / len(errs)) ** 0.5 if errs else float("nan")
-    return CVResult(model.name, folds, mean, std)
+    return _result(design.sparkSession, model.name, rows)
 
 
 def fit_inside_folds(cols: list[str], **options):
@@ -204,10 +260,21 @@ def validate_models(design: DataFrame, models: list[NamedModel], model_paralleli
 
     A model that fails stays in the ranking, last, with its error text in ``error``.
 
-    Each model's folds run in parallel too (``parallelism``); Spark schedules the
-    concurrent fits like ``CrossValidator(parallelism=...)`` does.
+    Tree ensembles and linear models share their jobs (unless one of them fails: then each runs alone). Of the
+    others, the folds run in parallel too (``parallelism``).
     """
+    joint: dict[int, CVResult] = {}
+    same = [] if kw.get("prepare") else together(models)
+    if len(same) > 1:
+        options = {c: kw[c] for c in ("targets", "k", "fold_col", "y_unit") if c in kw}
+        try:
+            joint = {id(m): r for m, r in zip(same, validate_together(design, same, **options), strict=True)}
+        except Exception:  # noqa: BLE001  each is tried alone below, and only the failing ones are lost
+            joint = {}
+
     def one(m: NamedModel):
+        if id(m) in joint:
+            return joint[id(m)]
         try:
             return cross_validate(design, m, **kw)
         except Exception as e:  # noqa: BLE001  a failing model doesn't stop the others
@@ -242,8 +309,7 @@ def refit_best(design: DataFrame, models: list[NamedModel], ranking: DataFrame,
 # The reference's tuning spaces, in Spark ML parameter names
 # (n_estimators -> maxIter, learning_rate -> stepSize, max_depth -> maxDepth,
 # min_samples_leaf -> minInstancesPerNode, subsample -> subsamplingRate,
-# colsample_bytree -> a fractional featureSubsetStrategy; num_leaves -> maxDepth
-# via depth = log2(leaves), so LightGBM's 16..128 leaves become depths 4..7).
+# colsample_bytree -> treeFeatures, num_leaves -> numLeaves).
 SEARCH_SPACES = {
     "LightGBM": {"maxIter": ("int", 50, 500), "stepSize": ("loguniform", 0.01, 0.2),
                  "maxDepth": ("int", 4, 7), "subsamplingRate": ("uniform", 0.6, 1.0),
@@ -290,14 +356,15 @@ def random_search(design: DataFrame, model_name: str, n_trials: int, make, seed:
 
     The parameters reported are those that ran; ``make`` must not change them."""
     trials = trial_table(design.sparkSession, model_name, n_trials, seed, space).collect()  # n_trials rows
-
-    def one(t):
-        params = {k: v for k, v in t.asDict().items() if k != "trial"}
-        res = cross_validate(design, NamedModel(model_name, make(params)), **cv_kw)
-        return int(t["trial"]), json.dumps(params, sort_keys=True), float(res.mean_error)
-
-    with ThreadPoolExecutor(max_workers=max(1, trial_parallelism)) as ex:
-        rows = list(ex.map(one, trials))
+    chosen = [{k: v for k, v in t.asDict().items() if k != "trial"} for t in trials]
+    models = [NamedModel(model_name, make(params)) for params in chosen]
+    if not cv_kw.get("prepare") and len(together(models)) == len(models):
+        options = {c: cv_kw[c] for c in ("targets", "k", "fold_col", "y_unit") if c in cv_kw}
+        errors = [r.mean_error for r in validate_together(design, models, **options)]
+    else:
+        with ThreadPoolExecutor(max_workers=max(1, trial_parallelism)) as ex:
+            errors = list(ex.map(lambda m: cross_validate(design, m, **cv_kw).mean_error, models))
+    rows = [(int(t["trial"]), json.dumps(params, sort_keys=True), float(e)) for t, params, e in zip(trials, chosen, errors, strict=True)]
     spark = design.sparkSession
     return spark.createDataFrame(rows, "trial long, params string, mean_error double").orderBy("mean_error", "trial")
 

@@ -90,7 +90,7 @@ def run(traj: DataFrame, cfg: PipelineConfig | None = None) -> PipelineResult:
     ftest = extract_features(test, keep=keep).checkpoint()
 
     prep = P.prepare(ftrain, ftest, cols, cfg.use_local_target, cfg.scaler, cfg.select_features)
-    design = V.group_folds(prep.train, cfg.cv_folds, "trajectory_id", cfg.seed).cache()
+    design = V.group_folds(prep.train, cfg.cv_folds, "trajectory_id", cfg.seed)
     n_train = design.count()
     models = create_all_models(cfg.models, n_train, cfg.model_params, cfg.ensemble)
     y_unit = "meters" if cfg.use_local_target else "degrees"
@@ -105,5 +105,4 @@ def run(traj: DataFrame, cfg: PipelineConfig | None = None) -> PipelineResult:
     best = ranking.first()
     report = run_report(best_name, n_train, ftest.count(), len(prep.feature_names) + 3, flagged,
                              removed, float(best["mean_error"]) if best else None, spark)
-    design.unpersist()
     return PipelineResult(ranking, sub, report, best_name, prep.feature_names)

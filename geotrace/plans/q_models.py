@@ -20,7 +20,7 @@ from geotrace.plans.registry import register
 from geotrace.session import ensure_checkpoint_dir
 
 CV_FOLDS = 10
-# The reference's short runs: scripts/quick_experiment.py has 3 folds, tune_with_optuna 20 trials of 3 folds.
+# Fixed values of the short runs: 3 folds, and 20 trials of 3 folds for the search.
 QUICK_FOLDS = 3
 TRIALS = 20
 COLS = [c for c in FEATURE_NAMES if c not in LEAKY_FEATURES]
@@ -35,14 +35,16 @@ def design(spark, sf_dir):
     return P.prepare(tr, te, COLS, use_local_target=True, scaler="robust", select=True)
 
 
-def _named(name: str) -> NamedModel:
-    return NamedModel(name, builder(name))
+def _named(name: str, n_samples: int | None = None) -> NamedModel:
+    """The library's model for ``n_samples`` training rows (R18: small tables get fewer trees)."""
+    return NamedModel(name, builder(name, n_samples))
 
 
 def _predict_query(make):
+    """``make(n_samples)`` gives the builder."""
     def build(spark, sf_dir):
         prep = design(spark, sf_dir)
-        m = MultiTargetRegressor(make(), prep.target_cols).fit(prep.train)
+        m = MultiTargetRegressor(make(prep.train.count()), prep.target_cols).fit(prep.train)
         return predict_latlon(m, prep.test, prep.target_cols, "meters")
     return build
 
@@ -52,30 +54,31 @@ for _key, _name in [("ridge", "Ridge"), ("lasso", "Lasso"), ("elasticnet", "Elas
                     ("gbt", "GradientBoosting"), ("xgboost_like", "XGBoost"), ("lightgbm_like", "LightGBM"),
                     ("hist_gb", "HistGradientBoosting"), ("catboost_like", "CatBoost"), ("bagged_gb", "BaggedGB"),
                     ("knn_model", "KNN")]:
-    register(_key)(_predict_query(lambda n=_name: _named(n).build))
+    register(_key)(_predict_query(lambda n=None, name=_name: _named(name, n).build))
 
 
 @register("voting")
 def voting(spark, sf_dir):
-    members = [_named(n).build for n in ("RandomForest", "XGBoost", "LightGBM")]
-    return _predict_query(lambda: voting_builder(members))(spark, sf_dir)
+    members = ("RandomForest", "XGBoost", "LightGBM")
+    return _predict_query(lambda n=None: voting_builder([_named(m, n).build for m in members]))(spark, sf_dir)
 
 
 @register("stacking")
 def stacking(spark, sf_dir):
-    members = [_named(n).build for n in ("Ridge", "RandomForest", "GradientBoosting")]
-    return _predict_query(lambda: stacking_builder(members))(spark, sf_dir)
+    members = ("Ridge", "RandomForest", "GradientBoosting")
+    return _predict_query(lambda n=None: stacking_builder([_named(m, n).build for m in members]))(spark, sf_dir)
 
 
 def _cv_design(spark, sf_dir, k=CV_FOLDS):
     prep = design(spark, sf_dir)
-    return prep, V.group_folds(prep.train, k, "trajectory_id", 42).cache()
+    return prep, V.group_folds(prep.train, k, "trajectory_id", 42)
 
 
 @register("cv_ranking")
 def cv_ranking(spark, sf_dir):
     prep, d = _cv_design(spark, sf_dir)
-    models = [_named(n) for n in ("Ridge", "RandomForest", "GradientBoosting", "BaggedGB")]
+    n = prep.train.count()
+    models = [_named(m, n) for m in ("Ridge", "RandomForest", "GradientBoosting", "BaggedGB")]
     ranking, _ = V.validate_models(d, models, model_parallelism=4, targets=prep.target_cols, k=CV_FOLDS,
                                    y_unit="meters", parallelism=3)
     return ranking
@@ -90,7 +93,8 @@ def cv_folds(spark, sf_dir):
 @register("refit_predict")
 def refit_predict(spark, sf_dir):
     prep, d = _cv_design(spark, sf_dir)
-    models = [_named(n) for n in ("Ridge", "GradientBoosting")]
+    n = prep.train.count()
+    models = [_named(m, n) for m in ("Ridge", "GradientBoosting")]
     ranking, _ = V.validate_models(d, models, targets=prep.target_cols, k=CV_FOLDS, y_unit="meters")
     name, fitted = V.refit_best(d, models, ranking, prep.target_cols)
     return predict_latlon(fitted, prep.test, prep.target_cols, "meters").withColumn("model_name", F.lit(name))
@@ -109,15 +113,16 @@ def random_search(spark, sf_dir):
 def quick_experiment(spark, sf_dir):
     """Features -> prepare -> 3-fold CV of the priority models -> ranking."""
     prep, d = _cv_design(spark, sf_dir, QUICK_FOLDS)
-    models = [_named(n) for n in ("RandomForest", "XGBoost", "LightGBM", "GradientBoosting", "BaggedGB",
-                                  "HistGradientBoosting")]
+    n = prep.train.count()
+    models = [_named(m, n) for m in ("RandomForest", "XGBoost", "LightGBM", "GradientBoosting", "BaggedGB",
+                                     "HistGradientBoosting")]
     ranking, _ = V.validate_models(d, models, model_parallelism=3, targets=prep.target_cols, k=QUICK_FOLDS,
                                    y_unit="meters", parallelism=3)
     return ranking
 
 
-register("bayesian_ridge")(_predict_query(lambda: _named("BayesianRidge").build))
-register("adaboost")(_predict_query(lambda: _named("AdaBoost").build))
+register("bayesian_ridge")(_predict_query(lambda n=None: _named("BayesianRidge", n).build))
+register("adaboost")(_predict_query(lambda n=None: _named("AdaBoost", n).build))
 
 
 @register("end_to_end")
@@ -128,7 +133,15 @@ def end_to_end(spark, sf_dir):
     return run(gps_trajectories(spark, sf_dir)).submission
 
 
+@register("run_report")
+def run_report(spark, sf_dir):
+    """The full run's one-row report."""
+    from geotrace.plans.end_to_end import run
+    from geotrace.sources.fixtures import gps_trajectories
+    return run(gps_trajectories(spark, sf_dir)).report
+
+
 @register("mlp")
 def mlp(spark, sf_dir):
     """R13 with the library's settings (at most 200 epochs of minibatch Adam)."""
-    return _predict_query(lambda: NamedModel("MLP", builder("MLP")).build)(spark, sf_dir)
+    return _predict_query(lambda n=None: _named("MLP", n).build)(spark, sf_dir)
