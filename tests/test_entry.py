@@ -31,3 +31,14 @@ def test_sql_twins_match_on_small_data(spark):
         dcols = [c[0] for c in cur.description]
         assert sorted(df.columns) == sorted(dcols), k
         assert digest(df.columns, s)[0] == digest(dcols, d)[0], k
+
+
+def test_missing_packages_of_the_optional_part_leave_the_rest():
+    import os
+    import subprocess
+    import sys
+    for hidden in ("xxhash", "zstandard", "public_tokenizers", "geotrace.llm", "corpus_pipeline"):
+        code = (f"import sys; sys.modules[{hidden!r}] = None\nimport __spark_entry__ as E\nq = E.queries()\n"
+                "assert 'path_distance' in q and 'cv_ranking' in q and set(E.oracle_sql()) <= set(q)\n"
+                f"assert {hidden!r} != 'geotrace.llm' or not any(k.startswith('op') and k[2].isdigit() for k in q)\n")
+        subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
