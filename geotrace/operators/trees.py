@@ -364,16 +364,22 @@ def wave_keys(B: np.ndarray, rows: np.ndarray, slot: np.ndarray, features: np.nd
     return ((slot[:, None] * m + np.arange(m)) * BINS + bins).ravel()
 
 
+def counted_sums(keys: np.ndarray, columns: list[np.ndarray], space: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """:func:`keyed_sums` with the number of rows as the first sum."""
+    if not len(keys) or space > 8 * len(keys) + 4096:
+        return keyed_sums(keys, [np.ones(len(keys)), *columns], space)
+    count = np.bincount(keys, minlength=space)
+    at = np.flatnonzero(count)
+    return at, [count[at].astype(float), *[np.bincount(keys, c, minlength=space)[at] for c in columns]]
+
+
 def wave_sums(B, rows, slot, features, weight, gradients) -> tuple[np.ndarray, list[np.ndarray]]:
     """Histogram sums (keys, [count, weight, gradients...]) of the rows in open nodes; ``weight`` None is one each."""
     m, slots = features.shape[1], len(features)
     keys = wave_keys(B, rows, slot, features)
-    spread = lambda v: np.repeat(v[rows], m)
-    columns = [spread(x) for x in gradients]
-    if weight is None:
-        keys, sums = keyed_sums(keys, [np.ones(len(keys)), *columns], slots * m * BINS)
-        return keys, [sums[0], sums[0], *sums[1:]]
-    return keyed_sums(keys, [np.ones(len(keys)), spread(weight), *columns], slots * m * BINS)
+    columns = [np.repeat(x[rows], m) for x in ([] if weight is None else [weight]) + gradients]
+    keys, sums = counted_sums(keys, columns, slots * m * BINS)
+    return keys, [sums[0], sums[0], *sums[1:]] if weight is None else sums
 
 
 def in_units(sums: list[np.ndarray], step: float) -> list[np.ndarray]:
