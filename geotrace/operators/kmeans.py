@@ -98,24 +98,18 @@ def lloyd(rows: DataFrame, runs: list[Run], max_iter: int = 300, tol: float = 1e
     still = tol * float(np.mean([v or 0.0 for v in stats[1:]] or [0.0]))
     for r in runs:
         r.moving = bool(len(r.centres)) and max_iter > 0
-    for _ in range(max_iter + 1):
+    for _ in range(max_iter):
         todo = [i for i, r in enumerate(runs) if r.moving]
-        last = not todo
-        todo = todo or [i for i, r in enumerate(runs) if len(r.centres)]
         if not todo:
             break
-        for i, (count, total, cost) in _sums(spark, rows, runs, todo).items():
+        for i, (count, total, _) in _sums(spark, rows, runs, todo).items():
             r = runs[i]
-            r.cost = cost
-            if not last:
-                new = np.where(count[:, None] > 0, total / np.maximum(count, 1)[:, None], r.centres)
-                r.moving = float(((new - r.centres) ** 2).sum()) > still
-                r.centres = new
-        if last:
-            break
-    else:
-        for i, (_, _, cost) in _sums(spark, rows, runs, [i for i, r in enumerate(runs) if len(r.centres)]).items():
-            runs[i].cost = cost
+            new = np.where(count[:, None] > 0, total / np.maximum(count, 1)[:, None], r.centres)
+            r.moving = float(((new - r.centres) ** 2).sum()) > still
+            r.centres = new
+    placed = [i for i, r in enumerate(runs) if len(r.centres)]
+    for i, (_, _, cost) in (_sums(spark, rows, runs, placed) if placed else {}).items():
+        runs[i].cost = cost
     return runs
 
 

@@ -113,3 +113,90 @@ def toy_voting(spark, sf_dir):
     d = linear_toy(spark, sf_dir)
     model = MultiTargetRegressor(voting_builder([m.build for m in _models()]), TARGETS).fit(d)
     return model.transform(d).select("trajectory_id", F.round("pred_lat", 6).alias("lat"), F.round("pred_lon", 6).alias("lon"))
+
+
+# --- first rounds of tree models, on the same table with coarse features ----------------------
+
+_ALPHA, _LAMBDA, _GAMMA, _WEIGHT, _RATE = 0.5, 1.5, 0.1, 3, 0.05
+
+
+def _stump_sql() -> str:
+    def part(side: str, l1: float, l2: float) -> str:
+        return f"power(greatest(abs(g_{side}) - {l1}, 0), 2) / (n_{side} + {l2})"
+
+    def gain(l1: float, l2: float) -> str:
+        return f"{part('l', l1, l2)} + {part('r', l1, l2)} - {part('a', l1, l2)}"
+
+    def leaf(side: str, l1: float, l2: float, rate: float) -> str:
+        return f"round(-sign(g_{side}) * greatest(abs(g_{side}) - {l1}, 0) / (n_{side} + {l2}) * {rate}, 6)"
+    return f"""WITH toy_ AS (SELECT event_id, floor(x1 * 10) / 10 AS x1, floor(x2 * 2) / 2 AS x2, CAST({_LAT} AS DOUBLE) AS lat, CAST({_LON} AS DOUBLE) AS lon
+  FROM (SELECT event_id, CAST({_X1} AS DOUBLE) AS x1, CAST({_X2} AS DOUBLE) AS x2 FROM events)),
+long_ AS (SELECT 'lat' AS target, lat AS y, x1, x2 FROM toy_ UNION ALL SELECT 'lon', lon, x1, x2 FROM toy_),
+centred_ AS (SELECT target, avg(y) OVER (PARTITION BY target) - y AS g, x1, x2 FROM long_),
+by_ AS (SELECT target, feature, x, sum(g) AS g, count(*) AS n FROM (
+  SELECT target, 0 AS feature, x1 AS x, g FROM centred_ UNION ALL SELECT target, 1, x2, g FROM centred_) GROUP BY ALL),
+run_ AS (SELECT target, feature, x, sum(g) OVER up AS g_l, sum(n) OVER up AS n_l, sum(g) OVER alls AS g_a, sum(n) OVER alls AS n_a
+  FROM by_ WINDOW up AS (PARTITION BY target, feature ORDER BY x), alls AS (PARTITION BY target, feature)),
+cut_ AS (SELECT *, g_a - g_l AS g_r, n_a - n_l AS n_r FROM run_ WHERE n_a > n_l),
+one_ AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY {gain(_ALPHA, _LAMBDA)} DESC, feature, x) AS place
+  FROM cut_ WHERE n_l >= {_WEIGHT} AND n_r >= {_WEIGHT} AND {gain(_ALPHA, _LAMBDA)} > {2 * _GAMMA}),
+sums_ AS (SELECT feature, x, sum({gain(0, 0)}) AS gain FROM cut_ GROUP BY feature, x),
+both_ AS (SELECT feature, x, row_number() OVER (ORDER BY gain DESC, feature, x) AS place FROM sums_)
+SELECT 'XGBoost' AS model_name, target, feature, round(x, 6) AS cut, {leaf('l', _ALPHA, _LAMBDA, _RATE)} AS left_value, {leaf('r', _ALPHA, _LAMBDA, _RATE)} AS right_value
+FROM one_ WHERE place = 1
+UNION ALL SELECT 'RandomForest', c.target, c.feature, round(c.x, 6), {leaf('l', 0, 0, 1.0)}, {leaf('r', 0, 0, 1.0)}
+FROM cut_ c JOIN both_ b ON c.feature = b.feature AND c.x = b.x WHERE b.place = 1"""
+
+
+@register("toy_first_splits", _stump_sql())
+def toy_first_splits(spark, sf_dir):
+    """R2: the first split of each target by the regularised second-order gain; R1: that of both targets together."""
+    from geotrace.operators import ensembles
+    from geotrace.operators.trees import Grower
+    d = linear_toy(spark, sf_dir).select("trajectory_id", F.floor(F.col("x1") * 10).alias("a"), F.floor(F.col("x2") * 2).alias("b"), *TARGETS)
+    d = d.select("trajectory_id", (F.col("a") / 10).alias("x1"), (F.col("b") / 2).alias("x2"), *TARGETS)
+    design = ensembles.design(VectorAssembler(inputCols=["x1", "x2"], outputCol="features").transform(d), "features", TARGETS)
+    growers = {"XGBoost": Grower("boost", 1, 1, _RATE, l1=_ALPHA, l2=_LAMBDA, min_gain=2 * _GAMMA, min_weight=_WEIGHT),
+               "RandomForest": Grower("bag", 1, 1, joint=True)}
+    pieces = ensembles.fit_many(design, [ensembles.Job(g) for g in growers.values()]).pieces
+    rows = []
+    for i, name in enumerate(growers):
+        for piece in pieces[i]:
+            tree = piece.ensemble.trees[0]
+            feature = int(tree.feature[0])
+            for at, t in enumerate(piece.targets):
+                rows.append((name, TARGETS[t], feature, round(float(design.edges[feature][tree.cut[0]]), 6),
+                             round(float(tree.value[1, at]), 6), round(float(tree.value[2, at]), 6)))
+    return spark.createDataFrame(rows, "model_name string, target string, feature int, cut double, left_value double, right_value double")
+
+
+# --- Lloyd iterations from given centres -------------------------------------------------------
+
+_STARTS = {3: [(2.0, 1.0), (5.0, 14.0), (8.0, 7.0)], 2: [(9.0, 15.0), (1.0, 0.0)]}
+_ROUNDS = 4
+
+
+def _lloyd_sql() -> str:
+    ctes = [f"toy_ AS (SELECT event_id, CAST({_X1} AS DOUBLE) AS x1, CAST({_X2} AS DOUBLE) AS x2 FROM events)",
+            "c0_ AS (SELECT * FROM (VALUES " + ", ".join(f"({k}, {j}, CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))"
+                                                         for k, cs in _STARTS.items() for j, (a, b) in enumerate(cs)) + ") t(k, cluster, a, b))"]
+    for i in range(_ROUNDS + 1):
+        ctes.append(f"""n{i}_ AS (SELECT event_id, x1, x2, k, min_by(cluster, (d, cluster)) AS cluster, min(d) AS d FROM (
+  SELECT event_id, x1, x2, k, cluster, (x1 - a) * (x1 - a) + (x2 - b) * (x2 - b) AS d FROM toy_, c{i}_) GROUP BY ALL)""")
+        ctes.append(f"c{i + 1}_ AS (SELECT c.k, c.cluster, coalesce(avg(x1), any_value(a)) AS a, coalesce(avg(x2), any_value(b)) AS b "
+                    f"FROM c{i}_ c LEFT JOIN n{i}_ n ON c.k = n.k AND c.cluster = n.cluster GROUP BY c.k, c.cluster)")
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT c.k, c.cluster, round(a, 6) AS x1, round(b, 6) AS x2, round(cost, 4) AS cost FROM c{_ROUNDS}_ c
+JOIN (SELECT k, sum(d) AS cost FROM n{_ROUNDS}_ GROUP BY k) t ON c.k = t.k"""
+
+
+@register("toy_lloyd", _lloyd_sql())
+def toy_lloyd(spark, sf_dir):
+    """K3: two K-means runs from given centres in the same jobs, after a fixed number of iterations."""
+    import numpy as np
+
+    from geotrace.operators import kmeans
+    rows = stored(linear_toy(spark, sf_dir).select(F.xxhash64("trajectory_id").alias("id"), F.array("x1", "x2").alias("x")))
+    runs = kmeans.lloyd(rows, [kmeans.Run(k, 0, np.array(c)) for k, c in _STARTS.items()], max_iter=_ROUNDS, tol=0.0)
+    out = [(r.k, j, round(float(c[0]), 6), round(float(c[1]), 6), round(r.cost, 4)) for r in runs for j, c in enumerate(r.centres)]
+    return spark.createDataFrame(out, "k int, cluster int, x1 double, x2 double, cost double")
