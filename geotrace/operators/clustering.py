@@ -6,7 +6,7 @@ a 1-row aggregate. K-means runs all restarts (and all k) together, see ``kmeans.
 cost is kept. k is chosen by silhouette with ``ClusteringEvaluator`` (squared Euclidean, O(n k),
 instead of the O(n^2) plain Euclidean score of the reference, so the chosen k may differ).
 
-DBSCAN (K5) is ``method="dbscan"``: an exact blocked grid search (operators/dbscan.py).
+DBSCAN (K5) is ``method="dbscan"``: exact, on k-d tree blocks (operators/dbscan.py).
 """
 
 from __future__ import annotations
