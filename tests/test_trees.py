@@ -149,6 +149,34 @@ def test_waves_grow_the_trees_that_tasks_grow(spark):
     assert all(np.allclose(rows[0][k], rows[1][k], atol=1e-6) for k in rows[0])
 
 
+@pytest.mark.parametrize("subtree_rows", [0, 40])
+def test_subtrees_finished_in_tasks_are_those_of_waves_and_tasks(spark, subtree_rows):
+    d = E.design(frame(spark), "features", ("dx", "dy"), "fold")
+    jobs = [E.Job(g) for g in GROWERS]
+    near, far = E.fit_many(d, jobs), E.fit_many(d, jobs, memory_rows=0, subtree_rows=subtree_rows)
+    for i in near.pieces:
+        for a, b in zip(near.pieces[i], far.pieces[i], strict=True):
+            for x, y in zip(a.ensemble.trees, b.ensemble.trees, strict=True):
+                assert all((getattr(x, c) == getattr(y, c)).all() for c in ("feature", "cut", "left")) and np.allclose(x.value, y.value, rtol=1e-9, atol=1e-9), i
+
+
+def test_whole_histograms_give_the_cuts_of_keys():
+    _, Y, B, _, _ = table()
+    Y, B = np.tile(Y, (7, 1))[:2000], np.tile(B, (7, 1))[:2000]
+    rng, features = np.random.default_rng(3), np.broadcast_to(np.arange(6), (3, 6))
+    slot, rows = rng.integers(0, 3, 1500), np.sort(rng.permutation(2000)[:1500])
+    weight, grads = rng.integers(0, 3, 2000).astype(float), [np.rint(Y[:, 0] * 64), np.rint(Y[:, 1] * 64)]
+    for g in (K.Grower("boost", 1, 3), K.Grower("boost", 1, 3, min_leaf=30, l1=0.5, l2=1.5, min_gain=0.2, min_weight=3.0), K.Grower("boost", 1, 3, min_split=400)):
+        keys, sums = K.wave_sums(B, rows, slot, features, weight, grads)
+        a = K.best_by_segment(g, keys, sums, 6)
+        grid = K.dense_sums(K.by_feature(B), rows, slot, features, weight, grads)
+        assert all((x == y).all() for x, y in zip([keys, *sums], [K.sparse(grid)[0], *K.sparse(grid)[1]], strict=True))
+        for b in (K.dense_cuts(g, grid), K.dense_cuts(g, K.whole_grid(keys, sums, 3, 6))):
+            on = a.gain > -np.inf
+            assert on.any() and (a.gain == b.gain).all() and (a.total == b.total).all()
+            assert (a.cut[on] == b.cut[on]).all() and (a.left[on] == b.left[on]).all()
+
+
 def test_held_out_rows_are_never_learned_and_jobs_do_not_grow_with_models(spark):
     df = frame(spark)
     d = E.design(df, "features", ("dx", "dy"), "fold")
