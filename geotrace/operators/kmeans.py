@@ -19,6 +19,8 @@ from pyspark.sql import types as T
 
 #: Distances computed at once in a task.
 BLOCK = 1 << 22
+#: Distances whose running sums are held at once.
+CACHED = 1 << 13
 
 
 @dataclass
@@ -37,8 +39,32 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _distances(X: np.ndarray, C: np.ndarray) -> np.ndarray:
-    """Squared distances, from the differences themselves (no cancellation)."""
-    return ((X[:, None, :] - C[None]) ** 2).sum(axis=2)
+    """Squared distances, from the differences themselves (no cancellation).
+
+    Coordinate by coordinate over a few rows, whose sums stay in the cache. Eight running sums are added up in pairs, as in
+    numpy's sum along a row, so that costs keep their last digits."""
+    out = np.empty((len(X), len(C)))
+    columns, width = np.ascontiguousarray(C.T), C.shape[1]
+    whole = width - width % 8 
+    step = max(1, CACHED // max(1, len(C)))
+    for at in range(0, len(X), step):
+        x = X[at:at + step]
+
+        def square(j, x=x):
+            gap = x[:, j][:, None] - columns[j]
+            gap *= gap
+            return gap
+
+        run = [square(j) for j in range(min(8, whole))]
+        for j in range(8, whole):
+            run[j % 8] += square(j)
+        while len(run) > 1:
+            run = [np.add(a, b, out=a) for a, b in zip(run[::2], run[1::2])]
+        total = run[0] if run else np.zeros((len(x), len(C)))
+        for j in range(whole, width):
+            total += square(j)
+        out[at:at + step] = total
+    return out
 
 
 def _blocks(batches, centres: int, x_at: int):

@@ -65,3 +65,20 @@ def test_choose_k_finds_the_planted_groups(spark):
     assert k == 4 and [r["k"] for r in table.collect()] == [2, 3, 4, 5, 6]
     best = C.best_of_kmeans(vec, 4)
     assert sorted(r["count"] for r in C.cluster_sizes(best.labeled).collect()) == [60] * 4
+
+
+def test_distances_are_row_sums_of_squares_in_little_memory():
+    import tracemalloc
+
+    from geotrace.operators import kmeans
+    rng = np.random.default_rng(5)
+    for width in (1, 3, 7, 8, 13, 16, 40):
+        X, C = rng.normal(size=(301, width)), rng.normal(size=(57, width))
+        assert (kmeans._distances(X, C) == ((X[:, None, :] - C[None]) ** 2).sum(axis=2)).all(), width
+    assert kmeans._distances(X[:0], C).shape == (0, 57) and kmeans._distances(X[:, :0], C[:, :0]).tolist() == np.zeros((301, 57)).tolist()
+    X, C = rng.normal(size=(3000, 13)), rng.normal(size=(100, 13))
+    tracemalloc.start()
+    kmeans._distances(X, C)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * 8 * 3000 * 100  # the distances, not the differences of all coordinates
