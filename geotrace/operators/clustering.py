@@ -25,6 +25,8 @@ from geotrace.operators.features import extract_features
 from geotrace.session import ensure_checkpoint_dir, stored
 
 ROWS_PER_PARTITION = 50_000
+#: Rows that a core should have at least before fewer cores do the work.
+ROWS_A_CORE = 2_000
 CLUSTER_FEATURES = ["start_lat", "start_lon", "end_lat", "end_lon", "centroid_lat", "centroid_lon",
                     "lat_range", "lon_range", "total_distance", "straight_distance", "straightness",
                     "num_points", "bearing"]
@@ -79,10 +81,13 @@ def best_of_all(vec: DataFrame, ks: list[int], seed: int = 42, n_init: int = 10,
 
 
 def compact(vec: DataFrame) -> DataFrame:
-    """The vectors written once, in as many partitions as their number asks for (many fits read them)."""
+    """The vectors written once, in as many partitions as their number and the cores ask for (many fits read them)."""
     ensure_checkpoint_dir(vec.sparkSession)
     stored = vec.checkpoint()
-    return stored.coalesce(max(1, -(-stored.count() // ROWS_PER_PARTITION))).checkpoint()
+    n, cores = stored.count(), vec.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, -(-n // ROWS_PER_PARTITION), min(cores, n // ROWS_A_CORE))
+    few = stored.rdd.getNumPartitions() < parts
+    return (stored.repartition(parts) if few else stored.coalesce(parts)).checkpoint()
 
 
 def choose_k(vec: DataFrame, seed: int = 42, max_k: int = 10, n_init: int = 10,

@@ -21,6 +21,8 @@ from pyspark.sql import types as T
 BLOCK = 1 << 22
 #: Distances whose running sums are held at once.
 CACHED = 1 << 13
+#: Bound of the error of a distance by products, times the squares of both vectors (some 2**-48 for 13 coordinates).
+PRODUCT_ERROR = 2.0 ** -40
 
 
 @dataclass
@@ -67,6 +69,29 @@ def _distances(X: np.ndarray, C: np.ndarray) -> np.ndarray:
     return out
 
 
+def _nearest(X: np.ndarray, runs: list[np.ndarray]) -> list[np.ndarray]:
+    """Index of each row's nearest centre in each run (ties: the lowest), as by :func:`_distances`.
+
+    Matrix products with an error bound leave the few rows whose distances are compared from the differences themselves."""
+    C = np.concatenate(runs)
+    cc = (C * C).sum(axis=1)
+    with np.errstate(over="ignore", invalid="ignore"):
+        far = cc[:, None] - 2.0 * (C @ X.T)
+        slack = PRODUCT_ERROR * ((X * X).sum(axis=1) + cc.max())
+    if not (np.isfinite(slack).all() and np.isfinite(far).all()):
+        return [_distances(X, c).argmin(axis=1) for c in runs]
+    out, at = [], 0
+    for c in runs:
+        d = far[at:at + len(c)]
+        at += len(c)
+        own = d.argmin(axis=0)
+        close = np.flatnonzero((d <= d.min(axis=0) + slack).sum(axis=0) > 1)
+        if len(close):
+            own[close] = _distances(X[close], c).argmin(axis=1)
+        out.append(own)
+    return out
+
+
 def _blocks(batches, centres: int, x_at: int):
     for b in batches:
         if b.num_rows:
@@ -128,7 +153,7 @@ def lloyd(rows: DataFrame, runs: list[Run], max_iter: int = 300, tol: float = 1e
         todo = [i for i, r in enumerate(runs) if r.moving]
         if not todo:
             break
-        for i, (count, total, _) in _sums(spark, rows, runs, todo).items():
+        for i, (count, total, _) in _sums(spark, rows, runs, todo, False).items():
             r = runs[i]
             new = np.where(count[:, None] > 0, total / np.maximum(count, 1)[:, None], r.centres)
             r.moving = float(((new - r.centres) ** 2).sum()) > still
@@ -139,25 +164,29 @@ def lloyd(rows: DataFrame, runs: list[Run], max_iter: int = 300, tol: float = 1e
     return runs
 
 
-def _sums(spark, rows: DataFrame, runs: list[Run], todo: list[int]) -> dict[int, tuple]:
-    """(count, sums, cost) by cluster of each run in ``todo``: one aggregate."""
+def _sums(spark, rows: DataFrame, runs: list[Run], todo: list[int], costs: bool = True) -> dict[int, tuple]:
+    """(count, sums, cost) by cluster of each run in ``todo``: one aggregate. Without ``costs`` they are 0."""
     given = spark.sparkContext.broadcast([(i, runs[i].centres) for i in todo])
 
     def part(batches):
         total: dict[int, list] = {}
         for _, X in _blocks(batches, sum(len(c) for _, c in given.value), 0):
-            every = _distances(X, np.concatenate([c for _, c in given.value]))
+            if costs:
+                every, at, owns = _distances(X, np.concatenate([c for _, c in given.value])), 0, []
+                for _, c in given.value:
+                    owns.append(every[:, at:at + len(c)].argmin(axis=1))
+                    at += len(c)
+            else:
+                owns = _nearest(X, [c for _, c in given.value])
             at = 0
-            for i, c in given.value:
-                d = every[:, at:at + len(c)]
-                at += len(c)
-                own = d.argmin(axis=1)
+            for (i, c), own in zip(given.value, owns):
                 one = np.zeros((len(X), len(c)))
                 one[np.arange(len(X)), own] = 1.0
                 s = total.setdefault(i, [np.zeros(len(c)), np.zeros(c.shape), 0.0])
                 s[0] += one.sum(axis=0)
                 s[1] += one.T @ X
-                s[2] += float(d[np.arange(len(X)), own].sum())
+                s[2] += float(every[np.arange(len(X)), at + own].sum()) if costs else 0.0
+                at += len(c)
         out = [(i, j, float(n[j]), s[j].tolist(), cost if j == 0 else 0.0) for i, (n, s, cost) in total.items() for j in range(len(n))]
         cols = list(zip(*out)) if out else [[]] * 5
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.float64()),
