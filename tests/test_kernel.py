@@ -65,3 +65,15 @@ def test_large_models_stay_in_the_checkpoint_folder(spark, monkeypatch, name, pa
     far = model.transform(df).orderBy("trajectory_id").collect()
     assert len(far) == 240 and far[0].asDict().keys() == near[0].asDict().keys()
     assert np.allclose([(r["pred_dx"], r["pred_dy"]) for r in far], [(r["pred_dx"], r["pred_dy"]) for r in near], rtol=1e-12)
+
+
+def test_large_values_lie_in_row_groups_of_their_own(spark):
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from geotrace.session import stored
+    df = stored(spark.range(0, 12, numPartitions=1).select(F.expr("encode(array_join(transform(sequence(0, 8000), x -> sha2(string(id * 10000 + x), 512)), ''), 'UTF-8')").alias("nodes")), 1 << 20)
+    files = [f.removeprefix("file:") for f in df.inputFiles()]
+    assert sum(pq.ParquetFile(Path(f)).metadata.num_row_groups for f in files) >= 6
