@@ -77,3 +77,16 @@ def test_large_values_lie_in_row_groups_of_their_own(spark):
     df = stored(spark.range(0, 12, numPartitions=1).select(F.expr("encode(array_join(transform(sequence(0, 8000), x -> sha2(string(id * 10000 + x), 512)), ''), 'UTF-8')").alias("nodes")), 1 << 20)
     files = [f.removeprefix("file:") for f in df.inputFiles()]
     assert sum(pq.ParquetFile(Path(f)).metadata.num_row_groups for f in files) >= 6
+
+
+def test_adaboost_of_many_rows_grows_in_waves_beside_the_jvm(spark, monkeypatch):
+    d = E.design(frame(spark), "features", ("dx", "dy"), "fold")
+    jobs = [E.Job(g, f) for g in (K.Grower("adaboost", 4, 3, 1.0), GROWERS[0]) for f in (1, None)]
+    near = E.fit_many(d, jobs)
+    monkeypatch.setattr(E, "PYTHON_ROWS", 0)
+    monkeypatch.setattr(E, "_in_python", None)
+    far = E.fit_many(d, jobs)
+    a, b = (sorted((r["job"], r["row"], r["p0"], r["p1"]) for r in x.out.collect()) for x in (near, far))
+    assert len(a) == 160 and np.allclose(a, b, rtol=1e-6)
+    assert near.pieces.keys() == far.pieces.keys() == {1, 3}
+    assert [x.place for x in near.pieces[1]] == [x.place for x in far.pieces[1]]
